@@ -52,38 +52,44 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "predicted_recommend
 
 
 def metrics(pred: DataFrame, label: str = "recommend", prediction: str = "prediction",
-            digits: int | None = 6) -> DataFrame:
-    """m09/m10: accuracy, weighted precision and weighted recall in one pass.
+            digits: int | None = 6, keys: Sequence[str] = ()) -> DataFrame:
+    """m09/m10: accuracy, weighted precision and weighted recall in one pass,
+    per group of ``keys`` (one row per group; a single row when no keys).
 
     Weighted over the label classes present, precision 0 for a class that is
-    never predicted (MulticlassMetrics semantics).
+    never predicted (MulticlassMetrics semantics).  All work after the first
+    aggregate is on the (groups x classes^2) cell table.
     """
-    cells = pred.groupBy(F.col(label).cast("double").alias("_y"),
+    keys = list(keys)
+    cells = pred.groupBy(*keys, F.col(label).cast("double").alias("_y"),
                          F.col(prediction).cast("double").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    by_label = cells.groupBy("_y").agg(F.sum("_n").alias("n_c"),
-                                       F.sum(F.when(F.col("_y") == F.col("_p"), F.col("_n")).otherwise(0)).alias("tp_c"))
-    by_pred = cells.groupBy(F.col("_p").alias("_y")).agg(F.sum("_n").alias("p_c"))
-    per = by_label.join(by_pred, "_y", "left")
+    by_label = cells.groupBy(*keys, "_y").agg(
+        F.sum("_n").alias("n_c"),
+        F.sum(F.when(F.col("_y") == F.col("_p"), F.col("_n")).otherwise(0)).alias("tp_c"))
+    by_pred = cells.groupBy(*keys, F.col("_p").alias("_y")).agg(F.sum("_n").alias("p_c"))
+    per = by_label.join(by_pred, [*keys, "_y"], "left")
     total = F.sum("n_c").cast("double")
     prec = F.coalesce(F.try_divide(F.col("tp_c").cast("double"), F.col("p_c").cast("double")), F.lit(0.0))
     recall = F.try_divide(F.col("tp_c").cast("double"), F.col("n_c").cast("double"))
-    out = per.agg(
+    out = per.groupBy(*keys).agg(
         (F.sum("tp_c") / total).alias("accuracy"),
         (F.sum(F.col("n_c") * prec) / total).alias("weighted_precision"),
         (F.sum(F.col("n_c") * recall) / total).alias("weighted_recall"),
     )
     if digits is not None:
-        out = out.select(*[F.round(c, digits).alias(c) for c in out.columns])
+        out = out.select(*keys, *[F.round(c, digits).alias(c) for c in
+                                  ("accuracy", "weighted_precision", "weighted_recall")])
     return out
 
 
 def metric_rows(pred: DataFrame, label: str = "recommend", prediction: str = "prediction",
-                **tags: str) -> DataFrame:
-    """m11: metrics as long rows ``(tags..., metric, value)`` for a report table."""
-    wide = metrics(pred, label, prediction)
-    long = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in wide.columns])).alias("_m"))
-    return long.select(*[F.lit(v).alias(k) for k, v in tags.items()], "_m.metric", "_m.value")
+                keys: Sequence[str] = ()) -> DataFrame:
+    """m11: metrics as long rows ``(keys..., metric, value)`` for a report table."""
+    wide = metrics(pred, label, prediction, keys=keys)
+    names = ("accuracy", "weighted_precision", "weighted_recall")
+    long = wide.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in names])).alias("_m"))
+    return long.select(*keys, "_m.metric", "_m.value")
 
 
 def feature_names(df: DataFrame, features: str = "features") -> list[str]:

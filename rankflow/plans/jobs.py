@@ -36,11 +36,22 @@ def cap_rate(df: DataFrame, col: str = "conversionRate", bound: float = 1.0) ->
     return df.withColumn(col, F.when(F.col(col) > bound, cap).otherwise(F.col(col)))
 
 
-def build_product_rankings(ranking: DataFrame, detail: DataFrame) -> DataFrame:
-    """c01: ranking minus live counters, joined with detail, conversion rate capped."""
+def build_product_rankings(ranking: DataFrame, detail: DataFrame, materialize: bool = False) -> DataFrame:
+    """c01: ranking minus live counters, joined with detail, conversion rate capped.
+
+    The cap needs a global aggregate before the final projection, so the joined
+    table is read twice.  By default Catalyst recomputes it for the subquery
+    (pruned to the two columns the cap needs); with ``materialize=True`` it is
+    checkpointed once to the shared checkpoint folder and both passes read that,
+    which is cheaper when the inputs are raw scans far larger than the join.
+    """
     r = ranking.drop(*[c for c in LIVE_COUNTERS if c in ranking.columns])
     joined = R.join_snapshots(r, detail)
     rated = joined.withColumn("conversionRate", M.conversion_rate("totalSales", "views"))
+    if materialize:
+        from rankflow.session import cut_lineage
+
+        rated = cut_lineage(rated)
     return cap_rate(rated)
 
 
@@ -185,30 +196,41 @@ def recommend_stages(seed: int = 42, label: str = "recommend") -> list:
 
 
 def recommend(features: DataFrame, categories: Sequence[str], train_fraction: float = 0.7,
-              seed: int = 42, split: str = "random") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """c08: one forest per category; returns (predictions, metric report, confusion).
-
-    The feature table is persisted once (recomputed from lineage if an executor
-    is lost) instead of replaying the scan for every fit and evaluation.
+              seed: int = 42, split: str = "hash", parallel: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """c08: one forest per category; returns (test predictions, metric report, confusion).
+
+    * The feature table is persisted once (recomputed from lineage if an
+      executor is lost) instead of replaying the scans for every fit.
+    * The per-category fits are independent Spark jobs and are submitted from
+      a small thread pool, so small categories do not serialise behind each other.
+    * All metrics (every category x split) come from one aggregate over the
+      union of the prediction frames, not one evaluator pass per metric.
+    * ``split="hash"`` (default) is an MD5 split on the product key: stable
+      under recomputation and repartitioning; ``"random"`` is ``randomSplit``.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     data = features.withColumns({c: F.col(c).cast("double") for c in NUMERIC_FEATURES})
     data = data.withColumn("recommend", F.col("recommend").cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
-    preds, reports = [], []
-    for cat in categories:
+    data.count()  # materialise once, before the concurrent fits read it
+
+    def one(cat: str) -> list[DataFrame]:
         subset = R.for_category(data, cat)
         if split == "hash":
             train, test = MO.split_hash(subset, "productId", train_fraction)
         else:
             train, test = MO.split_random(subset, train_fraction, seed)
         model = MO.fit(recommend_stages(seed), train)
-        for name, part in (("train", train), ("test", test)):
-            p = MO.predict(model, part)
-            reports.append(MO.metric_rows(p, "recommend", "prediction", category=cat, split=name))
-            if name == "test":
-                preds.append(p.select("productId", "category", F.col("recommend").cast("int").alias("recommend"),
-                                      "predicted_recommend"))
-    predictions = R.union_all(preds)
-    return predictions, R.union_all(reports), A.confusion_by(predictions, "category")
+        return [MO.predict(model, part).select("productId", "category", "recommend", "prediction",
+                                                "predicted_recommend", F.lit(name).alias("split"))
+                for name, part in (("train", train), ("test", test))]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        scored = R.union_all([df for dfs in pool.map(one, categories) for df in dfs])
+    report = MO.metric_rows(scored, "recommend", "prediction", keys=("category", "split"))
+    test = scored.filter(F.col("split") == "test").select(
+        "productId", "category", F.col("recommend").cast("int").alias("recommend"), "predicted_recommend")
+    return test, report, A.confusion_by(test, "category")
 
 
 # -- c09 / c10 ---------------------------------------------------------------
