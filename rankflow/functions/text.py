@@ -148,8 +148,9 @@ def extract_colors(name: Column | str, colors: Sequence[str] = COLORS,
     """f13: dictionary colours contained in the lower-cased name, in dictionary
     order, joined by ``sep``; NULL when none is found."""
     low = F.lower(_c(name))
-    found = F.filter(F.array(*[F.lit(x) for x in colors]), lambda x: F.contains(low, x))
-    return F.nullif(F.array_join(found, sep), F.lit(""))
+    # concat_ws skips NULLs: one codegen'd expression, no per-row array or lambda.
+    found = F.concat_ws(sep, *[F.when(F.contains(low, F.lit(x)), F.lit(x)) for x in colors])
+    return F.nullif(found, F.lit(""))
 
 
 def trending_flag(text: Column | str, mark: str = TRENDING_MARK) -> Column:
@@ -165,3 +166,16 @@ def strip_text(c: Column | str) -> Column:
 def with_vocabulary(df, arr: str, vocabulary: Column, out: str, tmp: str = "_vocab"):
     """f12 on a DataFrame: bind the (bounded) vocabulary array, then filter ``arr``."""
     return df.withColumn(tmp, vocabulary).withColumn(out, keep_vocabulary(arr, tmp)).drop(tmp)
+
+
+def remove_stop_words_df(df, col: str, out: str, words: Sequence[str] | None = None, case_sensitive: bool = False):
+    """f07 as Spark ML's ``StopWordsRemover`` (JVM hash-set lookup per token).
+
+    Same result as :func:`remove_stop_words`, cheaper on long texts: the column
+    form scans the word list per token, the transformer probes a hash set.
+    """
+    from pyspark.ml.feature import StopWordsRemover
+
+    remover = StopWordsRemover(inputCol=col, outputCol=out, caseSensitive=case_sensitive,
+                               stopWords=list(words or english_stop_words()), locale="en_US")
+    return remover.transform(df)

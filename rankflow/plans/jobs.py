@@ -43,15 +43,16 @@ def build_product_rankings(ranking: DataFrame, detail: DataFrame, materialize: b
     table is read twice.  By default Catalyst recomputes it for the subquery
     (pruned to the two columns the cap needs); with ``materialize=True`` it is
     checkpointed once to the shared checkpoint folder and both passes read that,
-    which is cheaper when the inputs are raw scans far larger than the join.
+    which is cheaper when the inputs are raw scans far larger than the join
+    (Parquet, so the cap pass reads one column).
     """
     r = ranking.drop(*[c for c in LIVE_COUNTERS if c in ranking.columns])
     joined = R.join_snapshots(r, detail)
     rated = joined.withColumn("conversionRate", M.conversion_rate("totalSales", "views"))
     if materialize:
-        from rankflow.session import cut_lineage
+        from rankflow.session import materialize as write_once
 
-        rated = cut_lineage(rated)
+        rated = write_once(rated, "product-rankings")
     return cap_rate(rated)
 
 
@@ -97,8 +98,8 @@ def enriched_lines(enriched: DataFrame) -> DataFrame:
 
 def stopword_keywords(df: DataFrame, name: str = "productName", key: str = "productId") -> DataFrame:
     """c04: cleaned, whitespace-tokenised, stop-word-free keywords per row."""
-    tokens = X.whitespace_tokens(X.clean_name(name))
-    return df.select(key, X.remove_stop_words(tokens).alias("keywords"))
+    tokens = df.select(key, X.whitespace_tokens(X.clean_name(name)).alias("_tokens"))
+    return X.remove_stop_words_df(tokens, "_tokens", "keywords").select(key, "keywords")
 
 
 # -- c05 / c06 ---------------------------------------------------------------
@@ -171,15 +172,24 @@ def vocabulary(df: DataFrame, col: str = "keywords", k: int = 100) -> Column:
 
 
 def recommendation_features(rankings: DataFrame, keywords: DataFrame, k: int = 150,
-                            top_keywords: int = 100, tiebreak: Sequence[str] = ()) -> DataFrame:
+                            top_keywords: int = 100, tiebreak: Sequence[str] = (),
+                            materialize_input: bool = True) -> DataFrame:
     """c08 feature table: newest row per product, label, keywords cleaned once and
-    restricted to the top vocabulary (same cleaned tokens on both sides)."""
+    restricted to the top vocabulary (same cleaned tokens on both sides).
+
+    The per-product table is written once (``materialize_input``) so the
+    vocabulary subquery and the final projection read it instead of re-running
+    the joins and windows behind it."""
     latest = W.latest_per_key(rankings, ["productId"], "date", tiebreak)
     labelled = R.label_top(latest, "ranking", k).drop("ranking")
     joined = R.join_keywords(labelled, keywords)
     filled = R.fill_defaults(joined, {"colors": "unknown", "rating": 0, "ratingCount": 0})
     cleaned = filled.withColumn("keywords", X.drop_blank(F.transform(F.coalesce(
         "keywords", F.array().cast("array<string>")), X.normalise_keyword)))
+    if materialize_input:
+        from rankflow.session import materialize
+
+        cleaned = materialize(cleaned, "recommend-features")
     vocab = vocabulary(cleaned, "keywords", top_keywords)
     return X.with_vocabulary(cleaned, "keywords", vocab, "filtered_keywords")
 
@@ -210,9 +220,14 @@ def recommend(features: DataFrame, categories: Sequence[str], train_fraction: fl
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    from rankflow.session import materialize
+
     data = features.withColumns({c: F.col(c).cast("double") for c in NUMERIC_FEATURES})
-    data = data.withColumn("recommend", F.col("recommend").cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
-    data.count()  # materialise once, before the concurrent fits read it
+    # Hash-partition by product and let AQE size the partitions to the data
+    # (advisory partition size), then persist once before the concurrent fits.
+    data = (data.withColumn("recommend", F.col("recommend").cast("double"))
+            .repartition("productId").persist(StorageLevel.MEMORY_AND_DISK))
+    data.count()
 
     def one(cat: str) -> list[DataFrame]:
         subset = R.for_category(data, cat)
@@ -227,6 +242,10 @@ def recommend(features: DataFrame, categories: Sequence[str], train_fraction: fl
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         scored = R.union_all([df for dfs in pool.map(one, categories) for df in dfs])
+    # Score every row once; metrics and confusion tables read the stored scores.
+    scored = materialize(scored.drop("prediction").withColumn("prediction", F.col("predicted_recommend")),
+                         "recommend-scores")
+    data.unpersist()
     report = MO.metric_rows(scored, "recommend", "prediction", keys=("category", "split"))
     test = scored.filter(F.col("split") == "test").select(
         "productId", "category", F.col("recommend").cast("int").alias("recommend"), "predicted_recommend")

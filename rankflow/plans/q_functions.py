@@ -332,7 +332,7 @@ def f27(spark, sf):
     from rankflow.operators.relational import join_snapshots
     from rankflow.plans.jobs import cap_rate
 
-    j = join_snapshots(D.ranking(spark, sf), D.detail(spark, sf))
+    j = join_snapshots(*D.snapshots(spark, sf))
     rated = j.select("productId", "date", M.conversion_rate("totalSales", "views").alias("conversionRate"))
     return cap_rate(rated)
 
@@ -416,3 +416,11 @@ def f35(spark, sf):
 
 # Keep the keyword predicate text importable for tests.
 KEYWORD_SQL = _SQL_KEYWORD
+
+
+@query("f36_snapshot_stamp", """
+SELECT o_orderkey, strftime(o_orderdate + INTERVAL (o_orderkey % 24) HOUR, '%Y%m%d%H') AS stamp FROM orders""")
+def f36(spark, sf):
+    o = _t(spark, sf, "orders")
+    at = F.col("o_orderdate").cast("timestamp") + F.make_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    return o.select("o_orderkey", M.snapshot_stamp(at).alias("stamp"))

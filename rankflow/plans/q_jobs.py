@@ -29,7 +29,7 @@ _RATED = """rated AS (
 SELECT * EXCLUDE (rate), CASE WHEN rate > 1 THEN (SELECT max(rate) FROM rated WHERE rate < 1) ELSE rate END
        AS conversionRate FROM rated""")
 def c01(spark: SparkSession, sf: str) -> DataFrame:
-    return J.build_product_rankings(D.ranking(spark, sf), D.detail(spark, sf))
+    return J.build_product_rankings(*D.snapshots(spark, sf))
 
 
 _EV_RATED = """rated AS (
@@ -45,7 +45,8 @@ FROM rated QUALIFY row_number() OVER (PARTITION BY productId ORDER BY date DESC)
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Per user: newest day's purchases, views and capped conversion rate (c01 on events)."""
-    rated = J.build_product_rankings(D.event_sales(spark, sf), D.event_views(spark, sf))
+    daily = D.events_daily(spark, sf)
+    rated = J.build_product_rankings(D.event_sales(spark, sf, daily), D.event_views(spark, sf, daily))
     latest = W.latest_per_key(rated, ["productId"], "date")
     return latest.select("productId", "date", "totalSales", "views", "likes", "conversionRate") \
                  .orderBy(F.col("conversionRate").desc(), "productId")
@@ -79,7 +80,7 @@ def c02(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("c03_enriched", D.with_ctes(D.RANKING_SQL, D.DETAIL_SQL, D.ENRICHED_SQL) + "SELECT * FROM enriched")
 def c03(spark: SparkSession, sf: str) -> DataFrame:
-    e = J.enrich_with_price_and_season(D.ranking(spark, sf), D.detail(spark, sf))
+    e = J.enrich_with_price_and_season(*D.snapshots(spark, sf))
     return e.withColumn("date", F.col("date").cast("timestamp_ntz"))
 
 
@@ -117,7 +118,8 @@ def c06s(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("c07_feature_importance")
 def c07(spark: SparkSession, sf: str) -> DataFrame:
-    l = labelled(spark, sf).join(D.detail(spark, sf).drop("totalSales"), ["productId", "date"])
+    ranking, detail = D.snapshots(spark, sf)
+    l = labelled(spark, sf, ranking=ranking).join(detail.drop("totalSales"), ["productId", "date"])
     return J.feature_importance(l.drop("productName"))
 
 

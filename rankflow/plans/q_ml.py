@@ -75,8 +75,9 @@ def m05(spark, sf):
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     """c08 feature table on the driver tables (label: top-2 of its category and day)."""
-    rankings = J.build_product_rankings(D.ranking(spark, sf), D.detail(spark, sf)).drop("detailTotalSales")
-    keywords = J.build_product_keywords(D.ranking(spark, sf))
+    ranking, detail = D.snapshots(spark, sf)
+    rankings = J.build_product_rankings(ranking, detail, materialize=True).drop("detailTotalSales")
+    keywords = J.build_product_keywords(ranking)
     return J.recommendation_features(rankings, keywords, k=2, tiebreak=("ranking",))
 
 
@@ -193,5 +194,22 @@ def m15(spark, sf):
 
 @query("m17_feature_importance")
 def m17(spark, sf):
-    l = labelled(spark, sf).join(D.detail(spark, sf).drop("totalSales"), ["productId", "date"])
+    ranking, detail = D.snapshots(spark, sf)
+    l = labelled(spark, sf, ranking=ranking).join(detail.drop("totalSales"), ["productId", "date"])
     return J.feature_importance(l.drop("brandName", "productName"))
+
+
+@query("m16_dtype_pipeline")
+def m16(spark, sf):
+    """Column-wise preprocessing chosen by dtype: numeric -> mean impute + scale,
+    string -> mode impute + one-hot; one assembled vector per product."""
+    ranking, detail = D.snapshots(spark, sf)
+    data = labelled(spark, sf, ranking=ranking).join(detail.drop("totalSales"), ["productId", "date"])
+    data = data.drop("category", "keywords", "date", "ranking", "productName")
+    num, cat = FE.split_by_dtype(data, exclude=("productId", "recommend"))
+    data = FE.mode_impute(data.withColumns({c: F.col(c).cast("double") for c in num}), cat)
+    stages = [FE.mean_imputer(num, "_imp"), FE.assembler([c + "_imp" for c in num], "_num"),
+              FE.scaler("_num", "_num_scaled"), *FE.encoder_stages(cat),
+              FE.assembler(["_num_scaled"] + [f"{c}_ohe" for c in cat])]
+    out = Pipeline(stages=stages).fit(data).transform(data)
+    return out.select("productId", "recommend", FE.vector_cells("features"))

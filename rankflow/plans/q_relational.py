@@ -126,7 +126,7 @@ def p12(spark, sf):
 SELECT r.productId, r.date, r.totalSales, r.ranking, d.views, d.likes, d.totalSales AS detailTotalSales
 FROM ranking r JOIN detail d ON r.productId = d.productId AND r.date = d.date""")
 def j01(spark, sf):
-    j = R.join_snapshots(D.ranking(spark, sf), D.detail(spark, sf))
+    j = R.join_snapshots(*D.snapshots(spark, sf))
     return j.select("productId", "date", "totalSales", "ranking", "views", "likes", "detailTotalSales")
 
 
@@ -134,7 +134,7 @@ def j01(spark, sf):
 SELECT r.productId, r.date, d.productId AS detailProductId, r.category, d.views
 FROM ranking r JOIN detail d ON r.productId = d.productId AND r.date = d.date""")
 def j02(spark, sf):
-    j = R.join_on(D.ranking(spark, sf), D.detail(spark, sf), ["productId", "date"], ["productId", "date"])
+    j = R.join_on(*D.snapshots(spark, sf), ["productId", "date"], ["productId", "date"])
     return j.select("l.productId", "l.date", F.col("r.productId").alias("detailProductId"), "l.category", "r.views")
 
 
@@ -167,8 +167,9 @@ SELECT r.productId, r.date, r.ranking FROM ranking r
 WHERE NOT EXISTS (SELECT 1 FROM detail d WHERE d.views IS NOT NULL AND d.productId = r.productId
                   AND d.date = r.date)""")
 def j05(spark, sf):
-    done = D.detail(spark, sf).filter(F.col("views").isNotNull())
-    return R.not_yet_collected(D.ranking(spark, sf).select("productId", "date", "ranking"), done)
+    ranking, detail = D.snapshots(spark, sf)
+    done = detail.filter(F.col("views").isNotNull())
+    return R.not_yet_collected(ranking.select("productId", "date", "ranking"), done)
 
 
 @query("j06_already_collected", _RD + """
@@ -176,8 +177,9 @@ SELECT r.productId, r.date, r.ranking FROM ranking r
 WHERE EXISTS (SELECT 1 FROM detail d WHERE d.views IS NOT NULL AND d.productId = r.productId
               AND d.date = r.date)""")
 def j06(spark, sf):
-    done = D.detail(spark, sf).filter(F.col("views").isNotNull())
-    return R.already_collected(D.ranking(spark, sf).select("productId", "date", "ranking"), done)
+    ranking, detail = D.snapshots(spark, sf)
+    done = detail.filter(F.col("views").isNotNull())
+    return R.already_collected(ranking.select("productId", "date", "ranking"), done)
 
 
 # -- a01-a14 ------------------------------------------------------------------------
@@ -213,7 +215,7 @@ _RATE = "CASE WHEN d.views <> 0 THEN r.totalSales / d.views ELSE 0.0 END"
 SELECT max(rate) FILTER (WHERE rate < 1) AS cap FROM
   (SELECT {_RATE} AS rate FROM ranking r JOIN detail d ON r.productId = d.productId AND r.date = d.date)""")
 def a04(spark, sf):
-    j = R.join_snapshots(D.ranking(spark, sf), D.detail(spark, sf))
+    j = R.join_snapshots(*D.snapshots(spark, sf))
     rated = j.withColumn("rate", M.conversion_rate("totalSales", "views"))
     return spark.range(1).select(A.conditional_max_below(rated, "rate").alias("cap"))
 
@@ -236,9 +238,9 @@ _LABELLED_SQL = """labelled AS (
   FROM (SELECT * FROM ranking QUALIFY row_number() OVER (PARTITION BY productId ORDER BY date DESC) = 1))"""
 
 
-def labelled(spark: SparkSession, sf: str, k: int = 2) -> DataFrame:
+def labelled(spark: SparkSession, sf: str, k: int = 2, ranking: DataFrame | None = None) -> DataFrame:
     """Newest ranking row per product with label and name keywords."""
-    r = D.ranking(spark, sf).withColumn("keywords", F.split("productName", " "))
+    r = (ranking if ranking is not None else D.ranking(spark, sf)).withColumn("keywords", F.split("productName", " "))
     return R.label_top(W.latest_by_max(r, ["productId"], "date"), "ranking", k)
 
 
@@ -267,9 +269,10 @@ FROM ld GROUP BY category""")
 
 
 def labelled_detail(spark: SparkSession, sf: str) -> DataFrame:
-    l = labelled(spark, sf).select("productId", "date", "category", "recommend",
-                                   F.col("totalSales").cast("double").alias("totalSales"))
-    return l.join(D.detail(spark, sf).select("productId", "date", "views"), ["productId", "date"])
+    ranking, detail = D.snapshots(spark, sf)
+    l = labelled(spark, sf, ranking=ranking).select("productId", "date", "category", "recommend",
+                                                    F.col("totalSales").cast("double").alias("totalSales"))
+    return l.join(detail.select("productId", "date", "views"), ["productId", "date"])
 
 
 @query("a07_mean_ratio_views", _mean_ratio_sql("views"))
@@ -436,5 +439,5 @@ def u04(spark, sf):
 @query("u05_intersect", _RD + """
 SELECT productId, date FROM ranking INTERSECT SELECT productId, date FROM detail WHERE views IS NOT NULL""")
 def u05(spark, sf):
-    done = D.detail(spark, sf).filter(F.col("views").isNotNull())
-    return R.key_overlap(D.ranking(spark, sf), done, ["productId", "date"])
+    ranking, detail = D.snapshots(spark, sf)
+    return R.key_overlap(ranking, detail.filter(F.col("views").isNotNull()), ["productId", "date"])

@@ -149,7 +149,7 @@ _S12_SQL = D.with_ctes(D.RANKING_SQL, D.DETAIL_SQL, D.ENRICHED_SQL) + \
 
 @query("s12_tsv_lines", _S12_SQL)
 def s12(spark: SparkSession, sf: str) -> DataFrame:
-    e = J.enrich_with_price_and_season(D.ranking(spark, sf), D.detail(spark, sf))
+    e = J.enrich_with_price_and_season(*D.snapshots(spark, sf))
     return IO.to_tsv_lines(e, _TSV_COLS, two_dp=("discountRate", "conversionRate")).select(
         F.col("value").alias("line"))
 
@@ -321,3 +321,13 @@ def t01(spark: SparkSession, sf: str) -> DataFrame:
     ingest_snapshots(spark, src, sink, ckpt, schema, keys=("user_id", "ts"), fmt="parquet",
                      event_time="ts")
     return spark.read.parquet(sink)
+
+
+@query("s13_preview", _R + """SELECT productId, date, ranking, category FROM ranking
+ORDER BY date DESC, ranking, productId LIMIT 20""")
+def s13(spark: SparkSession, sf: str) -> DataFrame:
+    """The bounded rows a preview shows (``IO.preview`` prints the same frame)."""
+    from rankflow.operators import windows as W
+
+    r = D.ranking(spark, sf).select("productId", "date", "ranking", "category")
+    return W.top_k(r, [F.col("date").desc(), F.col("ranking"), F.col("productId")], 20)

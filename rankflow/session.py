@@ -81,3 +81,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the shared checkpoint folder (reliable, not local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it
+    back: later passes scan compact columnar files (with pruning and pushdown)
+    instead of recomputing the lineage, and executor loss cannot lose it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
