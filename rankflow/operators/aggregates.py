@@ -28,7 +28,10 @@ def regroup_tokens(exploded: DataFrame, keys: Sequence[str], token: str = "keywo
     Only for data that arrives exploded; arrays produced in-row should stay in
     row (higher-order functions) and never pay this shuffle.
     """
-    grouped = exploded.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(pos, token))).alias("_t"))
+    # Distinct (key, pos, token) first: the list per key is bounded by the
+    # distinct tokens of that key, however many times its rows were repeated.
+    distinct = exploded.select(*keys, pos, token).dropDuplicates([*keys, pos, token])
+    grouped = distinct.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(pos, token))).alias("_t"))
     return grouped.select(*keys, F.transform("_t", lambda x: x[token]).alias(out))
 
 
