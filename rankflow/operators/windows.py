@@ -45,9 +45,14 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Co
     return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
 
 
-def sort_desc(df: DataFrame, col: str) -> DataFrame:
-    """o01: global descending sort (presentation only; range-partitioned sort)."""
-    return df.orderBy(F.col(col).desc())
+def sort_desc(df: DataFrame, col: str, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """o01: global descending sort (presentation only; range-partitioned sort).
+
+    ``tiebreak`` columns make the order total; they also let the range
+    partitioner split a heavily repeated value (e.g. every rank-1 row) across
+    partitions instead of sending all of its rows to one.
+    """
+    return df.orderBy(F.col(col).desc(), *[F.col(t) for t in tiebreak])
 
 
 def sort_by(df: DataFrame, *order: str | Column) -> DataFrame:

@@ -136,11 +136,15 @@ def feature_importance(labelled: DataFrame, drop: Sequence[str] = ("category", "
                        label: str = "recommend", top: int = 10, seed: int = 42,
                        train_fraction: float = 0.7) -> DataFrame:
     """c07: impute/scale numerics, impute/one-hot categoricals, forest, top features."""
-    data = labelled.drop(*[c for c in drop if c in labelled.columns])
-    num, cat = FE.split_by_dtype(data, exclude=(label,))
-    data = data.withColumns({c: F.col(c).cast("double") for c in num})
-    train, _ = MO.split_random(data, train_fraction, seed)
-    train = FE.mode_impute(train, cat)
+    # Hash split on the product key (stable under recomputation), then drop the key.
+    train, _ = MO.split_hash(labelled, "productId", train_fraction)
+    train = train.drop(*[c for c in drop if c in labelled.columns])
+    num, cat = FE.split_by_dtype(train, exclude=(label,))
+    train = FE.mode_impute(train.withColumns({c: F.col(c).cast("double") for c in num}), cat)
+    # Every estimator below is a pass over the training rows: write them once.
+    from rankflow.session import materialize
+
+    train = materialize(train, "importance-train")
     stages = [FE.mean_imputer(num, "_imp"), FE.assembler([c + "_imp" for c in num], "_num"),
               FE.scaler("_num", "_num_scaled")]
     for c in cat:

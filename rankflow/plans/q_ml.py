@@ -13,6 +13,7 @@ from rankflow.plans import driver as D
 from rankflow.plans import jobs as J
 from rankflow.plans.q_relational import labelled
 from rankflow.plans.registry import query
+from rankflow.session import materialize
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -208,6 +209,7 @@ def m16(spark, sf):
     data = data.drop("category", "keywords", "date", "ranking", "productName")
     num, cat = FE.split_by_dtype(data, exclude=("productId", "recommend"))
     data = FE.mode_impute(data.withColumns({c: F.col(c).cast("double") for c in num}), cat)
+    data = materialize(data, "dtype-pipeline-input")  # each estimator is a pass over it
     stages = [FE.mean_imputer(num, "_imp"), FE.assembler([c + "_imp" for c in num], "_num"),
               FE.scaler("_num", "_num_scaled"), *FE.encoder_stages(cat),
               FE.assembler(["_num_scaled"] + [f"{c}_ohe" for c in cat])]

@@ -361,7 +361,7 @@ def w03(spark, sf):
 
 @query("o01_sort_desc", _R + "SELECT productId, date, ranking FROM ranking ORDER BY ranking DESC")
 def o01(spark, sf):
-    return W.sort_desc(D.ranking(spark, sf).select("productId", "date", "ranking"), "ranking")
+    return W.sort_desc(D.ranking(spark, sf).select("productId", "date", "ranking"), "ranking", ["date", "productId"])
 
 
 @query("o02_sort_multi", D.with_ctes(D.RANKING_SQL, _LABELLED_SQL) + """

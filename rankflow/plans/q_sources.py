@@ -29,10 +29,10 @@ def s01(spark: SparkSession, sf: str) -> DataFrame:
     return IO.read_snapshot(spark, path, "ranking")
 
 
-def _deliver_tree(spark: SparkSession, sf: str, name: str) -> str:
+def _deliver_tree(spark: SparkSession, sf: str, name: str, r: DataFrame | None = None) -> str:
     """Two CSV deliveries in nested folders plus a non-CSV file the scan must skip."""
     root = scratch_path(spark, name)
-    r = D.ranking(spark, sf)
+    r = r if r is not None else D.ranking(spark, sf)
     IO.write_csv(r.filter(F.col("date") < 19980101), f"{root}/20241127")
     IO.write_csv(r.filter(F.col("date") >= 19980101), f"{root}/nested/20241128")
     r.limit(0).write.mode("overwrite").json(f"{root}/nested/ignored_json")
@@ -120,8 +120,8 @@ def s09(spark: SparkSession, sf: str) -> DataFrame:
 def s10(spark: SparkSession, sf: str) -> DataFrame:
     r = D.ranking(spark, sf).select("productId", "date", "category", "totalSales")
     path = scratch_path(spark, "s10")
-    IO.append_distinct(spark, r.filter(F.col("date") < 19980101), path, ["productId", "date"])
-    IO.append_distinct(spark, r.filter(F.col("date") >= 19970101), path, ["productId", "date"])
+    IO.append_distinct(spark, r.filter(F.col("date") < 19980101), path, ["productId", "date"], range_col="date")
+    IO.append_distinct(spark, r.filter(F.col("date") >= 19970101), path, ["productId", "date"], range_col="date")
     return spark.read.parquet(path)
 
 
@@ -303,8 +303,9 @@ SELECT productId, brandName, productName, price, discountRate,
        ranking, trending, totalSales, colors, date, category
 FROM ranking WHERE substr(CAST(date AS VARCHAR), 1, 6) = '199803' AND date > 19980315""")
 def c10(spark: SparkSession, sf: str) -> DataFrame:
-    landing = _deliver_tree(spark, sf, "c10")
-    done = D.ranking(spark, sf).filter(F.col("date") <= 19980315).select("productId", "date")
+    ranking = D.ranking(spark, sf)
+    landing = _deliver_tree(spark, sf, "c10", ranking)
+    done = ranking.filter(F.col("date") <= 19980315).select("productId", "date")
     return J.ingest_batch(spark, landing, done, "199803", width=6)
 
 

@@ -102,12 +102,14 @@ def append_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ("ca
 
 
 def append_distinct(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str] | None = None,
-                    partition_by: Sequence[str] = ()) -> int:
+                    partition_by: Sequence[str] = (), range_col: str | None = None) -> None:
     """s10: append only rows not already stored (full row, or ``keys`` when given).
 
     The new batch is de-duplicated and anti-joined against what is stored, then
     appended: stored files are never rewritten, so a failed run leaves them
-    intact.  Returns nothing heavy: the caller reads the table back.
+    intact.  With ``range_col`` (e.g. the snapshot date the table is
+    partitioned by) only stored rows inside the batch's [min, max] of that
+    column are read, so the check does not grow with the whole history.
     """
     new = df.dropDuplicates(list(keys)) if keys else df.distinct()
     try:
@@ -115,10 +117,14 @@ def append_distinct(spark: SparkSession, df: DataFrame, path: str, keys: Sequenc
     except Exception:  # first delivery: nothing stored yet
         existing = None
     if existing is not None:
-        on = list(keys) if keys else list(new.columns)
-        new = new.join(existing.select(*on), on=on, how="left_anti") if keys else new.subtract(existing.select(*new.columns))
+        if range_col is not None:
+            lo, hi = new.agg(F.min(range_col), F.max(range_col)).first()  # two values
+            existing = existing.filter(F.col(range_col).between(lo, hi))
+        if keys:
+            new = new.join(existing.select(*keys), on=list(keys), how="left_anti")
+        else:
+            new = new.subtract(existing.select(*new.columns))
     write_table(new, path, partition_by=partition_by, mode="append")
-    return 0
 
 
 def publish(spark: SparkSession, src_root: str, dst: str, kind: str = "ranking",

@@ -125,3 +125,22 @@ def test_recommend_smoke(spark):
     assert vals and all(0.0 <= v <= 1.0 for v in vals)
     total = confusion.filter("category = 'ALL'").first()
     assert total.tp + total.fn + total.fp + total.tn == preds.count()
+
+
+def test_rank_in_groups_matches_row_number_with_hot_group(spark):
+    """A group holding most rows is split across range partitions; ranks equal row_number."""
+    from pyspark.sql import Window
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") < 2000, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("g"),
+        (F.col("id") * 7919 % 1000).alias("v"), F.col("id"))
+    got = W.rank_in_groups(df, ["g"], [F.col("v").desc(), F.col("id")], "r", num_partitions=8)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id"))
+    want = df.withColumn("r", F.row_number().over(w))
+    assert sorted(got.select("id", "r").collect()) == sorted(want.select("id", "r").collect())
+
+
+def test_rank_in_groups_null_key(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "g string, v long")
+    got = {(r.g, r.v): r.r for r in W.rank_in_groups(df, ["g"], ["v"], "r").collect()}
+    assert got == {(None, 1): 1, (None, 3): 2, ("a", 2): 1}
