@@ -61,8 +61,12 @@ def for_category(df: DataFrame, category: str, col: str = "category") -> DataFra
 
 
 def stamp(df: DataFrame, **constants: object) -> DataFrame:
-    """p10: add constant columns such as the snapshot date and category."""
-    return df.withColumns({k: F.lit(v) for k, v in constants.items()})
+    """p10: add constant columns such as the snapshot date and category
+    (integers as BIGINT, like the snapshot schemas)."""
+    def lit(v: object) -> Column:
+        return F.lit(v).cast("bigint") if isinstance(v, int) and not isinstance(v, bool) else F.lit(v)
+
+    return df.withColumns({k: lit(v) for k, v in constants.items()})
 
 
 def copy_column(df: DataFrame, src: str, dst: str) -> DataFrame:
