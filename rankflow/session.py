@@ -58,12 +58,16 @@ def get_session(master: str | None = None, app: str = "rankflow",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a private one only if unset."""
     global _LOCAL_CHECKPOINT
-    sc = spark.sparkContext
-    path = sc.getConf().get(CHECKPOINT_KEY, None) or _LOCAL_CHECKPOINT
+    try:
+        sc = spark.sparkContext
+        path = sc.getConf().get(CHECKPOINT_KEY, None)
+    except Exception:  # noqa: BLE001  (remote session: no SparkContext)
+        sc, path = None, spark.conf.get(CHECKPOINT_KEY, None)
+    path = path or _LOCAL_CHECKPOINT
     if not path:
         # Local tests only: the cluster always names a shared folder.
         path = _LOCAL_CHECKPOINT = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
