@@ -164,6 +164,8 @@ def feature_importance(labelled: DataFrame, drop: Sequence[str] = ("category", "
 
 # -- c08 ---------------------------------------------------------------------
 
+ROWS_PER_FIT_PARTITION = 200_000
+
 NUMERIC_FEATURES = ("price", "discountRate", "conversionRate", "trending", "totalSales", "views", "likes",
                     "rating", "ratingCount")
 
@@ -231,7 +233,14 @@ def recommend(features: DataFrame, categories: Sequence[str], train_fraction: fl
     # (advisory partition size), then persist once before the concurrent fits.
     data = (data.withColumn("recommend", F.col("recommend").cast("double"))
             .repartition("productId").persist(StorageLevel.MEMORY_AND_DISK))
-    data.count()
+    rows = data.count()
+    # Partitions sized by rows (narrow coalesce over the cache): a small
+    # feature table does not pay per-task overhead on every forest pass, a
+    # large one keeps one partition per ROWS_PER_FIT_PARTITION rows.
+    target = max(1, -(-rows // ROWS_PER_FIT_PARTITION))
+    cached = data
+    if target < data.rdd.getNumPartitions():
+        data = data.coalesce(target)
 
     def one(cat: str) -> list[DataFrame]:
         subset = R.for_category(data, cat)
@@ -249,7 +258,7 @@ def recommend(features: DataFrame, categories: Sequence[str], train_fraction: fl
     # Score every row once; metrics and confusion tables read the stored scores.
     scored = materialize(scored.drop("prediction").withColumn("prediction", F.col("predicted_recommend")),
                          "recommend-scores")
-    data.unpersist()
+    cached.unpersist()
     report = MO.metric_rows(scored, "recommend", "prediction", keys=("category", "split"))
     test = scored.filter(F.col("split") == "test").select(
         "productId", "category", F.col("recommend").cast("int").alias("recommend"), "predicted_recommend")

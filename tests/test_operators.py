@@ -144,3 +144,19 @@ def test_rank_in_groups_null_key(spark):
     df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "g string, v long")
     got = {(r.g, r.v): r.r for r in W.rank_in_groups(df, ["g"], ["v"], "r").collect()}
     assert got == {(None, 1): 1, (None, 3): 2, ("a", 2): 1}
+
+
+def test_metrics_equal_mllib_evaluator(spark):
+    """m09/m10 from one cell table equal MulticlassClassificationEvaluator's numbers."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    from rankflow.operators import model as MO
+
+    df = spark.range(500).select(
+        ((F.col("id") * 7919 % 13) < 6).cast("double").alias("recommend"),
+        ((F.col("id") * 104729 % 11) < 4).cast("double").alias("prediction"))
+    got = MO.metrics(df, digits=None).first()
+    for metric, col in (("accuracy", "accuracy"), ("weightedPrecision", "weighted_precision"),
+                        ("weightedRecall", "weighted_recall")):
+        ev = MulticlassClassificationEvaluator(labelCol="recommend", predictionCol="prediction", metricName=metric)
+        assert abs(ev.evaluate(df) - got[col]) < 1e-12, metric
