@@ -29,12 +29,17 @@ def s01(spark: SparkSession, sf: str) -> DataFrame:
     return IO.read_snapshot(spark, path, "ranking")
 
 
-def _deliver_tree(spark: SparkSession, sf: str, name: str, r: DataFrame | None = None) -> str:
-    """Two CSV deliveries in nested folders plus a non-CSV file the scan must skip."""
+def _deliver_tree(spark: SparkSession, sf: str, name: str, r: DataFrame | None = None,
+                  reorder: bool = False) -> str:
+    """Two CSV deliveries in nested folders plus a non-CSV file the scan must skip;
+    with ``reorder`` the second delivery has its columns in reverse order."""
     root = scratch_path(spark, name)
     r = r if r is not None else D.ranking(spark, sf)
+    second = r.filter(F.col("date") >= 19980101)
+    if reorder:
+        second = second.select(*reversed(second.columns))
     IO.write_csv(r.filter(F.col("date") < 19980101), f"{root}/20241127")
-    IO.write_csv(r.filter(F.col("date") >= 19980101), f"{root}/nested/20241128")
+    IO.write_csv(second, f"{root}/nested/20241128")
     r.limit(0).write.mode("overwrite").json(f"{root}/nested/ignored_json")
     return root
 
@@ -44,6 +49,12 @@ def s02(spark: SparkSession, sf: str) -> DataFrame:
     return IO.read_tree(spark, _deliver_tree(spark, sf, "s02"), "ranking")
 
 
+@query("s02_csv_tree_by_header", _RANKING_ALL)
+def s02h(spark: SparkSession, sf: str) -> DataFrame:
+    """s02 over deliveries whose column order differs: each file read through its own header."""
+    return IO.read_tree(spark, _deliver_tree(spark, sf, "s02h", reorder=True), "ranking", per_file_header=True)
+
+
 _S03_NAME = "concat('2024-ranking-', regexp_extract(url, '/(fr|en|de|es)/', 1), '-summary.csv')"
 
 

@@ -44,15 +44,52 @@ def category_from_filename(name: Column | str) -> Column:
     return F.when(got == "", F.lit(UNKNOWN_CATEGORY)).otherwise(schemas.normalise_category(got))
 
 
+MAX_CSV_COLUMNS = 64
+
+
+def read_by_file_header(spark: SparkSession, root: str, key: str = "productId") -> DataFrame:
+    """Every ``*.csv`` below ``root``, each row mapped through its own file's header.
+
+    Spark's CSV reader maps all files positionally to the first file's header,
+    which mixes columns when header families differ in order.  Here files are
+    read header-less; a file's header row is the one naming ``key`` (data rows
+    hold numbers there); a small per-file table of headers (one row per file,
+    broadcast by AQE) is joined back, and each row becomes a name -> value map.
+    Columns come out lower-cased and canonicalised by ``schemas.normalise_columns``.
+    """
+    cols = [f"_c{i}" for i in range(MAX_CSV_COLUMNS)]
+    raw = (spark.read.schema(", ".join(f"{c} string" for c in cols)).option("header", False)
+           .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("mode", "PERMISSIVE")
+           .csv(root).select("*", F.col("_metadata.file_path").alias("_path"),
+                             F.col("_metadata.file_name").alias("_file")))
+    cells = F.array(*[F.col(c) for c in cols])
+    clean = F.transform(cells, lambda x: F.lower(F.trim(F.regexp_replace(x, "^\ufeff", ""))))
+    # (array_contains is NULL when the array holds NULLs and no match: coalesce)
+    is_header = F.coalesce(F.array_contains(clean, F.lit(key.lower())), F.lit(False))
+    headers = raw.filter(is_header).select("_path", clean.alias("_names")).dropDuplicates(["_path"])
+    data = raw.filter(~is_header).join(headers, "_path")
+    pairs = F.filter(F.arrays_zip(F.col("_names").alias("n"), cells.alias("v")),
+                     lambda p: p["n"].isNotNull() & (p["n"] != ""))
+    mapped = data.select("_file", F.map_from_entries(pairs).alias("_row"))
+    names = sorted({f.name.lower() for s in (schemas.RANKING, schemas.DETAIL) for f in s.fields})
+    return mapped.select("_file", *[F.col("_row")[n].alias(n) for n in names])
+
+
 def read_tree(spark: SparkSession, root: str, kind: str = "ranking",
-              categories: Iterable[str] | None = None) -> DataFrame:
+              categories: Iterable[str] | None = None, per_file_header: bool = False) -> DataFrame:
     """s02-s04: every ``*.csv`` below ``root`` (recursive) as one scan.
 
     The category comes from each file's name (hidden ``_metadata`` column) when
-    the file has none, and an include-list prunes categories.
+    the file has none, and an include-list prunes categories.  With
+    ``per_file_header`` each file is read through its own header
+    (:func:`read_by_file_header`), for trees whose header families differ in
+    column order; by default the faster positional CSV scan is used.
     """
-    raw = (_reader(spark).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-           .csv(root).select("*", F.col("_metadata.file_name").alias("_file")))
+    if per_file_header:
+        raw = read_by_file_header(spark, root)
+    else:
+        raw = (_reader(spark).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+               .csv(root).select("*", F.col("_metadata.file_name").alias("_file")))
     df = schemas.normalise_columns(raw)
     from_file = category_from_filename("_file")
     df = df.withColumn("category", F.coalesce(F.col("category"), from_file) if "category" in df.columns else from_file)

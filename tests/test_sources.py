@@ -118,3 +118,16 @@ def test_stream_ingest_watermark_policy(spark):
     ingest_snapshots(spark, src, sink, ckpt, df.schema, keys=("productId", "ts"), fmt="parquet",
                      policy="watermark", event_time="ts", delay="1 day")
     assert spark.read.parquet(sink).count() == 2
+
+
+def test_read_tree_per_file_header_orders(spark):
+    """Header families in different column order and case still line up."""
+    root = scratch_path(spark, "t-tree-hdr")
+    _write(f"{root}/a/20241127-ranking-bags-summary.csv",
+           BOM + "productId,brandName,ranking,date\n1,b1,5,20241127\n2,b2,6,20241127\n")
+    _write(f"{root}/b/20241127-ranking-shoes-summary.csv",
+           "Date,Ranking,ProductID,BrandName\n20241128,7,3,b3\n")
+    rows = sorted(IO.read_tree(spark, root, per_file_header=True).collect())
+    got = [(r.productId, r.brandName, r.ranking, r.date, r.category) for r in rows]
+    assert got == [(1, "b1", 5, 20241127, "bags"), (2, "b2", 6, 20241127, "bags"),
+                   (3, "b3", 7, 20241128, "shoes")]
