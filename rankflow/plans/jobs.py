@@ -200,37 +200,45 @@ def recommendation_features(rankings: DataFrame, keywords: DataFrame, k: int = 1
     return X.with_vocabulary(cleaned, "keywords", vocab, "filtered_keywords")
 
 
-def recommend_stages(seed: int = 42, label: str = "recommend") -> list:
+def feature_stages() -> list:
+    """Encoders shared by every category: brand/colour one-hot (unknown -> zeros),
+    keyword counts over the top vocabulary, mean-imputed numerics, one vector."""
     numeric = list(NUMERIC_FEATURES)
     return [
         *FE.encoder_stages(["brandName", "colors"]),
         FE.keyword_vectorizer("filtered_keywords", "keyword_features"),
         FE.mean_imputer(numeric, "_imp"),
         FE.assembler(["brandName_ohe", "colors_ohe", "keyword_features", *[c + "_imp" for c in numeric]]),
-        MO.forest(label=label, seed=seed),
     ]
 
 
+def recommend_stages(seed: int = 42, label: str = "recommend") -> list:
+    """Encoders plus the forest, as one pipeline (for a single model)."""
+    return [*feature_stages(), MO.forest(label=label, seed=seed)]
+
+
 def recommend(features: DataFrame, categories: Sequence[str], train_fraction: float = 0.7,
               seed: int = 42, split: str = "hash", parallel: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
     """c08: one forest per category; returns (test predictions, metric report, confusion).
 
     * The feature table is persisted once (recomputed from lineage if an
       executor is lost) instead of replaying the scans for every fit.
-    * The per-category fits are independent Spark jobs and are submitted from
-      a small thread pool, so small categories do not serialise behind each other.
-    * All metrics (every category x split) come from one aggregate over the
-      union of the prediction frames, not one evaluator pass per metric.
+    * The encoders (indexers, one-hot, keyword counts, imputer) are fitted once
+      on the training rows of all categories, as the reference fitted them
+      once for all categories, but without its leak of test rows.
+    * The per-category forests are independent Spark jobs submitted from a
+      small thread pool, so small categories do not serialise behind each other.
+    * Every row is scored once into a stored table; all metrics (every
+      category x split) and the confusion counts are aggregates over it.
     * ``split="hash"`` (default) is an MD5 split on the product key: stable
-      under recomputation and repartitioning; ``"random"`` is ``randomSplit``.
+      under recomputation and repartitioning; ``"random"`` is ``randomSplit``
+      per category.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from rankflow.session import materialize
 
     data = features.withColumns({c: F.col(c).cast("double") for c in NUMERIC_FEATURES})
-    # Hash-partition by product and let AQE size the partitions to the data
-    # (advisory partition size), then persist once before the concurrent fits.
     data = (data.withColumn("recommend", F.col("recommend").cast("double"))
             .repartition("productId").persist(StorageLevel.MEMORY_AND_DISK))
     rows = data.count()
@@ -242,22 +250,26 @@ def recommend(features: DataFrame, categories: Sequence[str], train_fraction: fl
     if target < data.rdd.getNumPartitions():
         data = data.coalesce(target)
 
-    def one(cat: str) -> list[DataFrame]:
-        subset = R.for_category(data, cat)
-        if split == "hash":
-            train, test = MO.split_hash(subset, "productId", train_fraction)
-        else:
-            train, test = MO.split_random(subset, train_fraction, seed)
-        model = MO.fit(recommend_stages(seed), train)
-        return [MO.predict(model, part).select("productId", "category", "recommend", "prediction",
-                                                "predicted_recommend", F.lit(name).alias("split"))
-                for name, part in (("train", train), ("test", test))]
+    if split == "hash":
+        bucket = MO.hash_bucket("productId")
+        data = data.withColumn("split", F.when(bucket < int(round(train_fraction * 100)), "train")
+                               .otherwise("test"))
+    else:
+        parts = [MO.split_random(R.for_category(data, c), train_fraction, seed) for c in categories]
+        data = R.union_all([p.withColumn("split", F.lit(n)) for tr, te in parts
+                            for n, p in (("train", tr), ("test", te))])
+    encoders = MO.fit(feature_stages(), data.filter(F.col("split") == "train"))
+    encoded = encoders.transform(data)
+
+    def one(cat: str) -> DataFrame:
+        subset = R.for_category(encoded, cat)
+        model = MO.fit([MO.forest(label="recommend", seed=seed)], subset.filter(F.col("split") == "train"))
+        return MO.predict(model, subset).select("productId", "category", "recommend", "predicted_recommend",
+                                                 "split")
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        scored = R.union_all([df for dfs in pool.map(one, categories) for df in dfs])
-    # Score every row once; metrics and confusion tables read the stored scores.
-    scored = materialize(scored.drop("prediction").withColumn("prediction", F.col("predicted_recommend")),
-                         "recommend-scores")
+        scored = R.union_all(list(pool.map(one, categories)))
+    scored = materialize(scored.withColumn("prediction", F.col("predicted_recommend")), "recommend-scores")
     cached.unpersist()
     report = MO.metric_rows(scored, "recommend", "prediction", keys=("category", "split"))
     test = scored.filter(F.col("split") == "test").select(

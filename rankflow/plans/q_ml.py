@@ -44,7 +44,7 @@ def m02(spark, sf):
                       F.nullif(F.array_position(arr, 1.0) - 1, F.lit(-1)).cast("int").alias("hot"))
 
 
-@query("m03_encoder_pipeline")
+@query("m03_encoder_fit")
 def m03(spark, sf):
     r = D.ranking(spark, sf).fillna({"colors": "unknown"})
     out = FE.fit_encoders(r, ["brandName", "colors"]).transform(r)
@@ -200,7 +200,7 @@ def m17(spark, sf):
     return J.feature_importance(l.drop("brandName", "productName"))
 
 
-@query("m16_dtype_pipeline")
+@query("m16_dtype_preprocess")
 def m16(spark, sf):
     """Column-wise preprocessing chosen by dtype: numeric -> mean impute + scale,
     string -> mode impute + one-hot; one assembled vector per product."""
@@ -209,7 +209,7 @@ def m16(spark, sf):
     data = data.drop("category", "keywords", "date", "ranking", "productName")
     num, cat = FE.split_by_dtype(data, exclude=("productId", "recommend"))
     data = FE.mode_impute(data.withColumns({c: F.col(c).cast("double") for c in num}), cat)
-    data = materialize(data, "dtype-pipeline-input")  # each estimator is a pass over it
+    data = materialize(data, "dtype-preprocess-input")  # each estimator is a pass over it
     stages = [FE.mean_imputer(num, "_imp"), FE.assembler([c + "_imp" for c in num], "_num"),
               FE.scaler("_num", "_num_scaled"), *FE.encoder_stages(cat),
               FE.assembler(["_num_scaled"] + [f"{c}_ohe" for c in cat])]
