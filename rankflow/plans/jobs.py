@@ -218,7 +218,8 @@ def recommend_stages(seed: int = 42, label: str = "recommend") -> list:
 
 
 def recommend(features: DataFrame, categories: Sequence[str], train_fraction: float = 0.7,
-              seed: int = 42, split: str = "hash", parallel: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
+              seed: int = 42, split: str = "hash", parallel: int | None = None
+              ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """c08: one forest per category; returns (test predictions, metric report, confusion).
 
     * The feature table is persisted once (recomputed from lineage if an
@@ -267,7 +268,8 @@ def recommend(features: DataFrame, categories: Sequence[str], train_fraction: fl
         return MO.predict(model, subset).select("productId", "category", "recommend", "predicted_recommend",
                                                  "split")
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+    workers = parallel or min(len(categories), 8)
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         scored = R.union_all(list(pool.map(one, categories)))
     scored = materialize(scored.withColumn("prediction", F.col("predicted_recommend")), "recommend-scores")
     cached.unpersist()
