@@ -96,3 +96,24 @@ def test_no_python_udfs_in_keyword_and_unit_plans(spark):
     df = spark.createDataFrame([("22만 회 이상 black 후드",)], "t string")
     p = plan(df.select(X.product_keywords("t"), N.parse_unit_number("t"), X.extract_colors("t")))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    import uuid
+
+    from rankflow.session import scratch_path
+    from rankflow.sources import files as IO
+
+    a = spark.range(2000).select((F.col("id") % 300).alias("productId"), (F.col("id") % 7).alias("date"),
+                                 F.col("id").alias("x"))
+    b = a.select("productId", "date", (F.col("x") * 2).alias("y")).dropDuplicates(["productId", "date"])
+    ta = IO.write_bucketed(a, f"ta_{uuid.uuid4().hex[:8]}", scratch_path(spark, "ta"), ["productId", "date"], 8)
+    tb = IO.write_bucketed(b, f"tb_{uuid.uuid4().hex[:8]}", scratch_path(spark, "tb"), ["productId", "date"], 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = ta.join(tb, ["productId", "date"])
+        assert "Exchange" not in plan(j) and "SortMergeJoin" in plan(j)
+        assert j.count() == a.join(b, ["productId", "date"]).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
