@@ -10,7 +10,7 @@ from rankflow.functions import metrics as M
 from rankflow.plans import driver as D
 from rankflow.plans import jobs as J
 from rankflow.plans.registry import query
-from rankflow.session import scratch_path
+from rankflow.session import materialize, scratch_path
 from rankflow.sources import files as IO
 from rankflow.sources import html as H
 from rankflow.sources import json_items as JS
@@ -34,7 +34,7 @@ def _deliver_tree(spark: SparkSession, sf: str, name: str, r: DataFrame | None =
     """Two CSV deliveries in nested folders plus a non-CSV file the scan must skip;
     with ``reorder`` the second delivery has its columns in reverse order."""
     root = scratch_path(spark, name)
-    r = r if r is not None else D.ranking(spark, sf)
+    r = r if r is not None else materialize(D.ranking(spark, sf), f"{name}-ranking")  # read twice below
     second = r.filter(F.col("date") >= 19980101)
     if reorder:
         second = second.select(*reversed(second.columns))
@@ -314,7 +314,7 @@ SELECT productId, brandName, productName, price, discountRate,
        ranking, trending, totalSales, colors, date, category
 FROM ranking WHERE substr(CAST(date AS VARCHAR), 1, 6) = '199803' AND date > 19980315""")
 def c10(spark: SparkSession, sf: str) -> DataFrame:
-    ranking = D.ranking(spark, sf)
+    ranking = materialize(D.ranking(spark, sf), "c10-ranking")  # feeds both deliveries and `done`
     landing = _deliver_tree(spark, sf, "c10", ranking)
     done = ranking.filter(F.col("date") <= 19980315).select("productId", "date")
     return J.ingest_batch(spark, landing, done, "199803", width=6)
