@@ -36,15 +36,14 @@ def cap_rate(df: DataFrame, col: str = "conversionRate", bound: float = 1.0) ->
     return df.withColumn(col, F.when(F.col(col) > bound, cap).otherwise(F.col(col)))
 
 
-def build_product_rankings(ranking: DataFrame, detail: DataFrame, materialize: bool = False) -> DataFrame:
+def build_product_rankings(ranking: DataFrame, detail: DataFrame, materialize: bool = True) -> DataFrame:
     """c01: ranking minus live counters, joined with detail, conversion rate capped.
 
     The cap needs a global aggregate before the final projection, so the joined
-    table is read twice.  By default Catalyst recomputes it for the subquery
-    (pruned to the two columns the cap needs); with ``materialize=True`` it is
-    checkpointed once to the shared checkpoint folder and both passes read that,
-    which is cheaper when the inputs are raw scans far larger than the join
-    (Parquet, so the cap pass reads one column).
+    table is read twice.  By default it is written once (Parquet) to the shared
+    checkpoint folder and both passes read that: the join runs once and the cap
+    pass reads a single column (measured faster even at sf0.1).  With
+    ``materialize=False`` Catalyst recomputes the join for the subquery.
     """
     r = ranking.drop(*[c for c in LIVE_COUNTERS if c in ranking.columns])
     joined = R.join_snapshots(r, detail)

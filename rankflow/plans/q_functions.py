@@ -414,9 +414,6 @@ def f35(spark, sf):
     return u.select("user_id", M.round_half_even(share, 2).alias("share"))
 
 
-# Keep the keyword predicate text importable for tests.
-KEYWORD_SQL = _SQL_KEYWORD
-
 
 @query("f36_snapshot_stamp", """
 SELECT o_orderkey, strftime(o_orderdate + INTERVAL (o_orderkey % 24) HOUR, '%Y%m%d%H') AS stamp FROM orders""")

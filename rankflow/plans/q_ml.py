@@ -77,7 +77,7 @@ def m05(spark, sf):
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     """c08 feature table on the driver tables (label: top-2 of its category and day)."""
     ranking, detail = D.snapshots(spark, sf)
-    rankings = J.build_product_rankings(ranking, detail, materialize=True).drop("detailTotalSales")
+    rankings = J.build_product_rankings(ranking, detail).drop("detailTotalSales")
     keywords = J.build_product_keywords(ranking)
     return J.recommendation_features(rankings, keywords, k=2, tiebreak=("ranking",))
 
