@@ -9,7 +9,7 @@ from rankflow.functions import metrics as M
 from rankflow.functions import numbers as N
 from rankflow.functions import text as X
 from rankflow.plans import driver as D
-from rankflow.plans.q_relational import _SQL_KEYWORD, sql_keyword_tokens, sql_round2
+from rankflow.plans.q_relational import sql_keyword_tokens, sql_round2
 from rankflow.plans.registry import query
 
 
