@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.functions import text as X
 from rankflow.operators import windows as W
 from rankflow.plans import driver as D
 from rankflow.plans import jobs as J
