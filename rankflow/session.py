@@ -81,6 +81,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "rankflow-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists on its (Hadoop) file system; ``None`` when unknown."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # noqa: BLE001  (remote session)
+        return None
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the shared checkpoint folder (reliable, not local)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -166,11 +166,15 @@ def append_distinct(spark: SparkSession, df: DataFrame, path: str, keys: Sequenc
     partitioned by) only stored rows inside the batch's [min, max] of that
     column are read, so the check does not grow with the whole history.
     """
+    from rankflow.session import path_exists
+
     new = df.dropDuplicates(list(keys)) if keys else df.distinct()
-    try:
-        existing = spark.read.parquet(path)
-    except Exception:  # first delivery: nothing stored yet
-        existing = None
+    existing = None
+    if path_exists(spark, path) is not False:
+        try:
+            existing = spark.read.parquet(path)
+        except Exception:  # noqa: BLE001  (first delivery: nothing stored yet)
+            existing = None
     if existing is not None:
         if range_col is not None:
             lo, hi = new.agg(F.min(range_col), F.max(range_col)).first()  # two values

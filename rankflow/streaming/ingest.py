@@ -23,9 +23,13 @@ from pyspark.sql import types as T
 
 
 def _stored_keys(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame | None:
+    from rankflow.session import path_exists
+
+    if path_exists(spark, sink) is False:  # nothing stored yet
+        return None
     try:
         return spark.read.parquet(sink).select(*keys)
-    except Exception:  # nothing stored yet
+    except Exception:  # noqa: BLE001  (nothing stored yet)
         return None
 
 
