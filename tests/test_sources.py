@@ -12,7 +12,7 @@ from rankflow.sources import html as H
 from rankflow.sources import json_items as JS
 from rankflow.streaming.ingest import ingest_snapshots
 
-BOM = "﻿"
+BOM = "\ufeff"
 
 
 def _write(path, text):
