@@ -1,0 +1 @@
+"""Scalar Column functions: tokenizers, keyword filters, colours, unit numbers, metrics, stamps."""

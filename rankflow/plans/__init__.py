@@ -1,0 +1 @@
+"""End-to-end jobs and the driver-table query catalogue (queries + DuckDB oracle SQL)."""

@@ -1,0 +1 @@
+"""Structured Streaming: incremental snapshot ingest that writes each key once."""
