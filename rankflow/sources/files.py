@@ -145,12 +145,6 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
     return path
 
 
-def export_single_csv(df: DataFrame, path: str) -> str:
-    """s07 export form: one CSV part file (for a hand-off of a small result only)."""
-    flatten_arrays(df).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    return path
-
-
 def append_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ("category", "date")) -> str:
     """s09: append-only snapshot log, partitioned for pruning; no dedupe."""
     return write_table(df, path, partition_by=partition_by, mode="append")
