@@ -131,3 +131,34 @@ def test_read_tree_per_file_header_orders(spark):
     got = [(r.productId, r.brandName, r.ranking, r.date, r.category) for r in rows]
     assert got == [(1, "b1", 5, 20241127, "bags"), (2, "b2", 6, 20241127, "bags"),
                    (3, "b3", 7, 20241128, "shoes")]
+
+
+def test_ingest_batch_c10(spark):
+    """Snapshot rows of the requested hour not yet collected, one per key."""
+    from rankflow.plans import jobs as J
+
+    root = scratch_path(spark, "t-ingest")
+    header = "productId,brandName,productName,price,discountRate,currentlyViewing,currentlyBuying,ranking," \
+             "trending,colors,date\n"
+    _write(f"{root}/a/2024120120-ranking-bags-summary.csv", BOM + header +
+           "1,b,n,100,10,1,2,1,0,,2024120120\n2,b,n,100,10,1,2,2,0,,2024120120\n"
+           "2,b,n,100,10,1,2,2,0,,2024120120\n3,b,n,100,10,1,2,3,0,,2024120119\n")
+    done = spark.createDataFrame([(1, 2024120120)], "productId long, date long")
+    got = J.ingest_batch(spark, root, done, "202412012035").collect()
+    assert sorted((r.productId, r.date, r.category) for r in got) == [(2, 2024120120, "bags")]
+
+
+def test_enriched_lines_c03(spark):
+    from rankflow.plans import jobs as J
+
+    r = spark.createDataFrame([(1, 2024112800, "B", "black tee", "black", 3, 7000, 30.0, 5, "tops")],
+                              "productId long, date long, brandName string, productName string, colors string, "
+                              "ranking int, price long, discountRate double, totalSales long, category string")
+    d = spark.createDataFrame([(1, 2024112800, 10.0, 2.0, None, None)],
+                              "productId long, date long, views double, likes double, rating double, "
+                              "ratingCount double")
+    e = J.enrich_with_price_and_season(r, d)
+    row = e.first()
+    assert row.originalPrice == 10000.0 and row.season == "fall" and row.conversionRate == 0.5
+    line = J.enriched_lines(e).first().value.split("\t")
+    assert line[0] == "1" and line[1] == "2024-11-28 00:00:00" and line[8] == "30.00" and line[13] == "None"
