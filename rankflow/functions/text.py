@@ -6,10 +6,6 @@ they run inside whole-stage codegen with no Python on the executors.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -41,22 +37,23 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@functools.lru_cache(maxsize=None)
-def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop-word list, read from the MLlib jar.
+# Spark ML's default English stop words, in its order.
+ENGLISH_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself
+it its itself they them their theirs themselves what which who whom this that these those am is are was were be
+been being have has had having do does did doing a an the and but if or because as until while of at by for with
+about against between into through during before after above below to from up down in out on off over under
+again further then once here there when where why how all any both each few more most other some such no nor not
+only own same so than too very s t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd
+he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot
+could here's how's let's ought that's there's what's when's where's who's why's would
+""".split()
 
-    Reading the resource directly gives the same list ``StopWordsRemover`` uses
-    without a JVM round trip, so SQL text can inline it too.
-    """
-    import pyspark
 
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = "org/apache/spark/ml/feature/stopwords/english.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").splitlines() if w)
-    raise FileNotFoundError("spark-mllib jar with english stop words not found")
+def english_stop_words() -> tuple[str, ...]:
+    """Spark ML's default English stop words (``StopWordsRemover``'s list), as a constant."""
+    return tuple(ENGLISH_STOP_WORDS)
 
 
 def split_space(c: Column | str) -> Column:
@@ -113,8 +110,9 @@ def whitespace_tokens(c: Column | str) -> Column:
 
 def remove_stop_words(arr: Column | str, words: Sequence[str] | None = None) -> Column:
     """f07: drop stop words, case-insensitively (StopWordsRemover semantics)."""
-    stop = F.array(*[F.lit(w.lower()) for w in (words or english_stop_words())])
-    return F.filter(_c(arr), lambda x: ~F.array_contains(stop, F.lower(x)))
+    stop = [w.lower() for w in (words or ENGLISH_STOP_WORDS)]
+    # a long literal list is a hash-set probe per token
+    return F.filter(_c(arr), lambda x: ~F.lower(x).isin(stop))
 
 
 def array_to_text(arr: Column | str, sep: str = ",") -> Column:
@@ -169,11 +167,7 @@ def with_vocabulary(df, arr: str, vocabulary: Column, out: str, tmp: str = "_voc
 
 
 def remove_stop_words_df(df, col: str, out: str, words: Sequence[str] | None = None, case_sensitive: bool = False):
-    """f07 as Spark ML's ``StopWordsRemover`` (JVM hash-set lookup per token).
-
-    Same result as :func:`remove_stop_words`, cheaper on long texts: the column
-    form scans the word list per token, the transformer probes a hash set.
-    """
+    """f07 as Spark ML's ``StopWordsRemover``; same result as :func:`remove_stop_words`."""
     from pyspark.ml.feature import StopWordsRemover
 
     remover = StopWordsRemover(inputCol=col, outputCol=out, caseSensitive=case_sensitive,

@@ -39,15 +39,19 @@ def get_session(master: str | None = None, app: str = "rankflow",
                 shuffle_partitions: int = 8, extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with rankflow defaults.
 
-    On a cluster ``master`` stays ``None`` and the submitter's settings win; a
-    checkpoint folder is only invented when none is configured.
+    With ``master=None`` (a submitted job) defaults are applied only to settings
+    that the submitter left unset; ``extra`` always applies.
     """
+    from pyspark import SparkConf
+
     builder = SparkSession.builder.appName(app)
+    submitted = SparkConf()  # holds what spark-submit passed
     if master:
         builder = builder.master(master)
-    conf = session_defaults(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    for k, v in session_defaults(shuffle_partitions).items():
+        if master or not submitted.contains(k):
+            builder = builder.config(k, v)
+    for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -56,18 +60,20 @@ def get_session(master: str | None = None, app: str = "rankflow",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only if unset."""
+    """The shared folder named in ``spark.checkpoint.dir``.
+
+    A private folder stands in only for a ``local`` master (tests).  On any
+    other master an unset folder is an error: executors do not share a
+    machine-local folder.
+    """
     global _LOCAL_CHECKPOINT
-    try:
-        sc = spark.sparkContext
-        path = sc.getConf().get(CHECKPOINT_KEY, None)
-    except Exception:  # noqa: BLE001  (remote session: no SparkContext)
-        sc, path = None, spark.conf.get(CHECKPOINT_KEY, None)
-    path = path or _LOCAL_CHECKPOINT
+    sc = spark.sparkContext
+    path = sc.getConf().get(CHECKPOINT_KEY, None)
     if not path:
-        # Local tests only: the cluster always names a shared folder.
-        path = _LOCAL_CHECKPOINT = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    if sc is not None and sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
+        path = _LOCAL_CHECKPOINT = _LOCAL_CHECKPOINT or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
@@ -81,20 +87,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "rankflow-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool | None:
-    """Whether ``path`` exists on its (Hadoop) file system; ``None`` when unknown."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:  # noqa: BLE001  (remote session)
-        return None
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (reliable, not local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (Hadoop) file system; access errors raise."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
