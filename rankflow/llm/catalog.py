@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import decontaminate, licenses, quality, secrets
+from rankflow.llm import decontaminate, langid, licenses, quality, secrets, toxicity
 from rankflow.llm.oracles import ORACLES
 
 
@@ -26,6 +26,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs)).select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
     n_base = F.aggregate("base_counts", F.lit(0).cast("long"), lambda a, x: a + x)
@@ -36,8 +41,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, sf_dir, "documents")).drop("n_linked")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op4_quality, op8_licenses, op9_secrets)}
+    f.__name__: f for f in (op2_decontaminate, op4_quality, op5_language, op8_licenses, op9_secrets, op10_toxicity)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
