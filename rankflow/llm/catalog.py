@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import decontaminate, langid, licenses, quality, secrets, toxicity
+from rankflow.llm import decontaminate, langid, licenses, quality, secrets, tokens, toxicity
 from rankflow.llm.oracles import ORACLES
 
 
@@ -31,6 +31,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs)).select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.store_path(spark)
+    tokens.write_tokens(_table(spark, sf_dir, "documents"), path)
+    return tokens.token_index(spark, path)
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
     n_base = F.aggregate("base_counts", F.lit(0).cast("long"), lambda a, x: a + x)
@@ -47,7 +53,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op4_quality, op5_language, op8_licenses, op9_secrets, op10_toxicity)}
+    f.__name__: f for f in (op2_decontaminate, op4_quality, op5_language, op6_tokens, op8_licenses, op9_secrets, op10_toxicity)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
