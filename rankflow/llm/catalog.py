@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import decontaminate, langid, licenses, quality, secrets, tokens, toxicity
+from rankflow.llm import decontaminate, langid, licenses, mixing, quality, secrets, tokens, toxicity
 from rankflow.llm.oracles import ORACLES
 
 
@@ -37,6 +37,10 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_index(spark, path)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
     n_base = F.aggregate("base_counts", F.lit(0).cast("long"), lambda a, x: a + x)
@@ -53,7 +57,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op4_quality, op5_language, op6_tokens, op8_licenses, op9_secrets, op10_toxicity)}
+    f.__name__: f for f in (op2_decontaminate, op4_quality, op5_language, op6_tokens, op7_mixing, op8_licenses, op9_secrets, op10_toxicity)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
