@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import decontaminate, langid, licenses, mixing, quality, secrets, tokens, toxicity
+from rankflow.llm import decontaminate, langid, licenses, mixing, neardup, quality, secrets, tokens, toxicity
 from rankflow.llm.oracles import ORACLES
 
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -57,7 +61,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op4_quality, op5_language, op6_tokens, op7_mixing, op8_licenses, op9_secrets, op10_toxicity)}
+    f.__name__: f for f in (op1_neardup, op2_decontaminate, op4_quality, op5_language, op6_tokens, op7_mixing, op8_licenses, op9_secrets, op10_toxicity)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
