@@ -8,12 +8,14 @@
    batch by batch of the signature: given the matches so far, a pair is dropped once the
    posterior probability that its similarity reaches the bound falls below ``miss``
    (uniform prior).  Survivors are confirmed on full shingle sets.
-4. Buckets whose nodes are still in several components are compared inside, across
-   components only, in cells of bounded size; survivors are confirmed likewise.
-5. Components are found by alternating stars.
-
-No step lists all pairs of a bucket: rows between steps are nodes, buckets' members and
-survivors.  Texts in one component after step 3 are never compared again.
+4. In buckets whose nodes are still in several components, each node outside the largest
+   one is paired with its best match in another component, while such pairs join some.
+5. What likely pairs across components remain then are all confirmed where they meet, in
+   cells of bounded size; only links that join something leave a cell.
+6. Components are found by alternating stars.
+
+No step lists the pairs of a bucket: rows between steps are nodes, members of buckets
+and one pair a member.  Nodes known to be connected are not compared again.
 """
 
 from __future__ import annotations
@@ -216,55 +218,115 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, spec: NearDupSpec) -> DataFra
     return both.select("b", "part", "role", "a", "text").mapInArrow(run, "a long, b long")
 
 
-def _across(buckets: DataFrame, roots: DataFrame, sigs: DataFrame, spec: NearDupSpec) -> DataFrame:
-    """Likely pairs inside buckets between nodes of different components.
-
-    In each bucket the nodes outside its largest component (the few) are compared with
-    all its nodes.  Both sides are dealt to cells of a bounded number of rows each.
-    """
+def _mixed(buckets: DataFrame, roots: DataFrame, spec: NearDupSpec) -> tuple[DataFrame, DataFrame]:
+    """Members (key, id, root) of the buckets, and the buckets whose members are still in several
+    components: key, main (the component of most members), and the parts of all and of the others."""
     rooted = buckets.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     sizes = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    mixed = mixed.select("key", F.col("top.root").alias("main"), F.ceil(F.col("n") / spec.cell).cast("int").alias("rows"),
-                         F.ceil((F.col("n") - F.col("top.n")) / spec.cell).cast("int").alias("fews"))
-    own = rooted.join(mixed, "key").join(sigs, "id")
+    return rooted, mixed.select("key", F.col("top.root").alias("main"), F.ceil(F.col("n") / spec.cell).cast("int").alias("rows"),
+                                F.ceil((F.col("n") - F.col("top.n")) / spec.cell).cast("int").alias("fews"))
+
+
+def _cells(members: DataFrame, few: DataFrame, payload: list[str]) -> DataFrame:
+    """Both sides of each bucket's comparison, dealt to cells (key, i, j): all members by i, those of
+    other components than the main one (side 0, sorted first) by j."""
     part = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    all_side = own.select("key", part("rows").alias("i"), F.explode(F.sequence(F.lit(0), F.col("fews") - 1)).alias("j"), F.lit(1).alias("side"), "id", "root", "sig")
-    few_side = own.where("root <> main").select("key", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), part("fews").alias("j"),
-                                                F.lit(0).alias("side"), "id", "root", "sig")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = members.select("key", part("rows").alias("i"), every("fews").alias("j"), F.lit(1).alias("side"), "id", "root", *payload)
+    fews = few.select("key", every("rows").alias("i"), part("fews").alias("j"), F.lit(0).alias("side"), "id", "root", *payload)
+    return fews.unionByName(rows).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+
+
+def _by_cell(batches, spec: NearDupSpec, extra=None):
+    """(few, rows) of each cell; a row is (id, root, signature, extra)."""
+    cell, few, rows = None, [], []
+    for batch in batches:
+        for part in steps(batch, 6 if extra is None else 7):
+            sig, more = _sig_array(part.column(6), spec), extra(part.column(7)) if extra else [None] * part.num_rows
+            cols = [part.column(k).to_pylist() for k in range(6)]
+            for n, (key, i, j, side, node, root) in enumerate(zip(*cols)):
+                if (key, i, j) != cell:
+                    if few and rows:
+                        yield cell, few, rows
+                    cell, few, rows = (key, i, j), [], []
+                (few if side == 0 else rows).append((node, root, sig[n].copy(), more[n]))
+    if few and rows:
+        yield cell, few, rows
+
+
+def _likely_rows(one, ids, roots, sigs, plan):
+    """Rows of other components that pass the sequential test against ``one``, best match first."""
+    other = np.flatnonzero(roots != one[1])
+    if not len(other):
+        return other
+    other = other[_survive(np.broadcast_to(one[2], (len(other), len(one[2]))), sigs[other], plan)]
+    matches = (sigs[other] == one[2]).sum(1)
+    return other[np.lexsort((ids[other], -matches))]
+
+
+def _best_across(members: DataFrame, mixed: DataFrame, sigs: DataFrame, spec: NearDupSpec) -> DataFrame:
+    """(key, id, a, b, likely): for members outside the main component that have likely partners
+    in other components, the best one (a pair a > b) and how many there are."""
     plan = least_matches(spec)
 
-    def pairs_of(few, rows):
-        found = []
-        for i, root, sig in few:
-            ids, roots_, sigs_ = rows
-            other = np.flatnonzero(roots_ != root)
-            alive = _survive(np.broadcast_to(sig, (len(other), len(sig))), sigs_[other], plan) if len(other) else []
-            found += [(max(i, x), min(i, x)) for x in ids[other[alive]].tolist()] if len(other) else []
-        return found
+    def run(batches):
+        for (key, _, _), few, rows in _by_cell(batches, spec):
+            ids, roots, sigs_ = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.stack([r[2] for r in rows])
+            found = []
+            for one in few:
+                order = _likely_rows(one, ids, roots, sigs_, plan)
+                if len(order):
+                    best = int(ids[order[0]])
+                    found.append((key, one[0], max(best, one[0]), min(best, one[0]), len(order)))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["key", "id", "a", "b", "likely"])
+
+    own = members.join(mixed, "key").join(sigs, "id")
+    cells = _cells(own, own.where("root <> main"), ["sig"])
+    return cells.mapInArrow(run, "key long, id long, a long, b long, likely long")
+
+
+def _rest_across(members: DataFrame, mixed: DataFrame, undecided: DataFrame, sigs: DataFrame, texts: DataFrame, spec: NearDupSpec) -> DataFrame:
+    """Links (a, b) between components among all likely pairs of the ``undecided`` (key, id).
+
+    Confirmed on full sets inside the cell; of the links found there only those that join
+    something new are returned, so rows grow with the members, not with their pairs.
+    """
+    plan = least_matches(spec)
 
     def run(batches):
-        cell, few, rows = None, [], []
+        sets = lambda column: [x for x in _split(*shingles(column, spec.words)[:2])]
+        for _, few, rows in _by_cell(batches, spec, sets):
+            ids, roots, sigs_ = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.stack([r[2] for r in rows])
+            up: dict[int, int] = {}
+
+            def top(x):
+                while (y := up.get(x, x)) != x:
+                    x = y
+                return x
+
+            found = []
+            for one in few:
+                for k in _likely_rows(one, ids, roots, sigs_, plan).tolist():
+                    if (x := top(one[1])) == (y := top(rows[k][1])):
+                        continue
+                    same = len(np.intersect1d(one[3], rows[k][3], assume_unique=True))
+                    if 100 * same >= spec.percent * (len(one[3]) + len(rows[k][3]) - same):
+                        up[max(x, y)] = min(x, y)
+                        found.append((max(one[0], rows[k][0]), min(one[0], rows[k][0])))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
-        def flush():
-            if few and rows:
-                block = (np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.stack([r[2] for r in rows]))
-                found = sorted(set(pairs_of(few, block)))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+    open_keys = undecided.select("key").distinct()
+    own = members.join(mixed, "key").join(open_keys, "key", "left_semi").join(sigs, "id").join(texts, "id")
+    few = own.join(undecided.select("key", "id").distinct(), ["key", "id"], "left_semi")
+    return _cells(own, few, ["sig", "text"]).mapInArrow(run, "a long, b long").distinct()
 
-        for batch in batches:
-            sig = _sig_array(batch.column(6), spec)
-            cols = [batch.column(k).to_pylist() for k in range(6)]
-            for n, (key, i, j, side, node, root) in enumerate(zip(*cols)):
-                if (key, i, j) != cell:
-                    yield from flush()
-                    cell, few, rows = (key, i, j), [], []
-                (few if side == 0 else rows).append((node, root, sig[n].copy()))
-        yield from flush()
 
-    both = few_side.unionByName(all_side).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
-    return both.mapInArrow(run, "a long, b long").distinct()
+def _split(codes: np.ndarray, per: np.ndarray) -> list[np.ndarray]:
+    ends = np.cumsum(per)
+    return [codes[e - n:e].copy() for e, n in zip(ends.tolist(), per.tolist())]
 
 
 def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
@@ -292,12 +354,22 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     stars = buckets.groupBy("id").agg(F.min("least").alias("b")).where("b < id").select(F.col("id").alias("a"), "b")
     near = materialize(_confirmed(materialize(_likely(stars, sigs, spec), "likely"), texts, spec), "near")
     roots = components(near, "a", "b")
-    across = materialize(_across(buckets.select("key", "id"), roots, sigs, spec), "likely")
-    more = materialize(_confirmed(across, texts, spec), "near")
+    links = near
+    while True:  # each node's best partner outside its component, until that joins nothing more
+        members_of, mixed = _mixed(buckets.select("key", "id"), roots, spec)
+        members_of, mixed = materialize(members_of.join(mixed, "key", "left_semi"), "members"), materialize(mixed, "mixed")
+        best = materialize(_best_across(members_of, mixed, sigs, spec), "best")
+        near = materialize(_confirmed(best.select("a", "b").distinct(), texts, spec), "near")
+        if near.isEmpty():
+            break
+        links = links.union(near)
+        roots = components(links, "a", "b")
+    undecided = best.groupBy("key", "id").agg(F.sum("likely").alias("n")).where("n > 1")
+    more = materialize(_rest_across(members_of, mixed, undecided, sigs, texts, spec), "near")
     # rows of one doc_id with several texts tie their nodes together
     tied = members.where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     tied = tied.join(sigs.select(F.col("id").alias("a")), "a", "left_semi")
-    final = components(near.union(more).union(tied), "a", "b")
+    final = components(links.union(more).union(tied), "a", "b")
     of_doc = members.groupBy("doc_id").agg(F.min("id").alias("id")).join(final.withColumnRenamed("node", "id"), "id", "left").select(
         "doc_id", F.coalesce("root", "id").alias("component_id"))
     out = rows.select("doc_id", "n_shingles").join(of_doc, "doc_id", "left")
