@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import decontaminate, langid, licenses, mixing, neardup, quality, secrets, tokens, toxicity
+from rankflow.llm import decontaminate, langid, licenses, mixing, neardup, quality, secrets, suffixes, tokens, toxicity
 from rankflow.llm.oracles import ORACLES
 
 
@@ -25,6 +25,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -61,7 +65,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_neardup, op2_decontaminate, op4_quality, op5_language, op6_tokens, op7_mixing, op8_licenses, op9_secrets, op10_toxicity)}
+    f.__name__: f for f in (op1_neardup, op2_decontaminate, op3_suffixes, op4_quality, op5_language, op6_tokens, op7_mixing, op8_licenses, op9_secrets, op10_toxicity)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
