@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import ALNUM, STEP_BYTES, mix64, span_hashes, steps, text_bytes, word_spans
+from rankflow.llm.common import ALNUM, STEP_BYTES, mix64, offsets, span_hashes, steps, text_bytes, word_spans
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -220,10 +220,18 @@ def sampled_bags(docs: DataFrame, label: Column, usable: Column, spec: SubwordSp
         run, f"label {kind}, h long, doc_id {id_kind}, ids binary, weights binary").toArrow()
     got = sorted(zip(made["h"].to_pylist(), made["doc_id"].to_pylist(), made["label"].to_pylist(), range(made.num_rows)),
                  key=lambda r: (r[0], r[1], str(r[2])))
-    ids, weights = made["ids"], made["weights"]
-    take = [(r[2], r[3]) for r in got]
-    samples = [(np.frombuffer(ids[i].as_py(), np.int32), np.frombuffer(weights[i].as_py(), np.float32)) for _, i in take]
-    return samples, [x for x, _ in take], [r[0] for r in got], counts
+    ids, weights = _views(made["ids"], np.int32), _views(made["weights"], np.float32)
+    return [(ids[r[3]], weights[r[3]]) for r in got], [r[2] for r in got], [r[0] for r in got], counts
+
+
+def _views(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """The values of a binary column as arrays that share its memory."""
+    out = []
+    for chunk in column.chunks:
+        off = offsets(chunk)
+        data = np.frombuffer(chunk.buffers()[2] or b"", np.uint8)
+        out += [data[a:b].view(kind) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+    return out
 
 
 def score_batches(batch: pa.RecordBatch, model: SubwordModel):

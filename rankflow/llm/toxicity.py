@@ -22,7 +22,7 @@ class ToxicitySpec:
     """``per_class`` in ``features`` bounds the labelled documents of each label that are used."""
 
     features: subword.SubwordSpec = subword.SubwordSpec(
-        sizes=(2, 3, 4), buckets=1 << 17, dim=16, epochs=12, rate=1.8, squash=0.7, per_class=3000)
+        sizes=(2, 3, 4), buckets=1 << 17, dim=16, epochs=12, rate=1.8, squash=0.7, per_class=1500)
     folds: int = 5
     held_out_fold: int = 0
     threshold: float = 0.5
@@ -42,7 +42,10 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicitySpec = ToxicitySpec(
     if sorted(counts) != [0, 1]:
         return None
     priors = np.array([counts[0], counts[1]], float)
-    return subword.fit(bags, y, [0, 1], spec.features, priors / priors.sum())
+    model = subword.fit(bags, y, [0, 1], spec.features, priors / priors.sum())
+    del bags
+    pa.default_memory_pool().release_unused()  # the driver keeps the model alone
+    return model
 
 
 def score(docs: DataFrame, model: subword.SubwordModel | None, spec: ToxicitySpec = ToxicitySpec()) -> DataFrame:
