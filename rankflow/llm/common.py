@@ -14,7 +14,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: White space that ends a word.
 SPACES = " \t\n\x0b\x0c\r"
 #: UTF-8 bytes that one step of a vectorised pass takes at once (a longer text is one step).
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 
 def doc_crc32(doc_id: Column | str = "doc_id") -> Column:

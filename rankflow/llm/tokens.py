@@ -10,6 +10,7 @@ payload (the bits).  Blocks of a part follow each other by seq, parts by their n
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from rankflow.session import materialize, scratch_path
 #: A special token that stands between words encoded in one call; a word that holds it goes alone.
 BETWEEN = "<|startoftext|>"
 #: Words whose ids a worker remembers (some 150 bytes each), and bytes of text that become words at once.
-CACHE_WORDS, BATCH_BYTES = 400_000, 24_000_000
+CACHE_WORDS, BATCH_BYTES = 300_000, 16_000_000
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Latin letters, then ASCII punctuation but no apostrophe, which may belong to the letters.
+_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+
+
+def _byte_characters() -> dict[int, str]:
+    """Letters à to ÿ (and ß) as byte-level vocabularies write their UTF-8 bytes: printable bytes of
+    Latin-1 as themselves, the others as the characters from U+0100 on, in their order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    sign = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in own)}
+    return {c: "".join(sign[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
+
+
+_AS_BYTES = _byte_characters()
+
+
 class WordTokenizer:
     """Ids of whole texts, made word by word.
 
@@ -58,6 +74,7 @@ class WordTokenizer:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.between = self.tokenizer.token_to_id(BETWEEN)
@@ -65,7 +82,14 @@ class WordTokenizer:
         self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = WhitespaceSplit()
+        self.ends = np.zeros(self.size, bool)  # ids that end a word
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = token.endswith(self.tokenizer.model.end_of_word_suffix or " ")
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as the tokenizer makes them."""
         plain = [w for w in words if "<|" not in w] if self.between is not None else []
         found: dict[str, bytes] = {}
         for at in range(0, len(plain), 1000):
@@ -78,22 +102,57 @@ class WordTokenizer:
         return [found[w] if w in found else np.array(
             self.tokenizer.encode(w, add_special_tokens=False).ids, self.kind).tobytes() for w in words]
 
+    def _ids_of_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case words of Latin letters: one piece for the tokenizer's regular expressions,
+        which its normaliser leaves as it is, so its model alone makes the ids."""
+        out = []
+        for at in range(0, len(words), 1000):
+            group = words[at:at + 1000]
+            text = " ".join(w if w.isascii() else w.translate(_AS_BYTES) for w in group)
+            ids = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            cuts, data = (np.flatnonzero(self.ends[ids]) + 1).tolist(), ids.astype(self.kind)
+            if len(cuts) != len(group):  # a vocabulary without some byte
+                out += self._ids(group)
+                continue
+            out += [data[a:b].tobytes() for a, b in zip([0, *cuts], cuts)]
+        return out
+
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words.  Latin letters with punctuation behind them are two pieces for
+        the tokenizer: the letters in lower case, and the punctuation."""
+        known, whole, letters, tails, rest = self.known, [], [], [], []
+        for w in words:
+            if m := _LETTERS(w):
+                whole.append(w)
+                letters.append(m[1].lower())
+                tails.append(m[2])
+            else:
+                rest.append(w)
+        simple = [x for x in set(letters) if x not in known]
+        made = dict(zip(simple, self._ids_of_letters(simple)))
+        rest += set(tails)
+        made.update(zip(rest, self._ids(rest)))
+        heads = [made[x] if x in made else known[x] for x in letters]
+        made.update((w, h + made[t] if t else h) for w, h, t in zip(whole, heads, tails))
+        return made
+
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, each closed by ``end_id``, and the ids of each text."""
-        lists = pc.split_pattern_regex(texts, "[ \t\n\r]+")
+        lists = pc.ascii_split_whitespace(texts)
         flat = lists.flatten().dictionary_encode()
         words = flat.dictionary.to_pylist()
         new = [w for w in words if w not in self.known]
-        made = dict(zip(new, self._encode(new)))
-        if len(self.known) < CACHE_WORDS:
-            self.known.update(list(made.items())[:CACHE_WORDS - len(self.known)])
+        made = self._encode(new)
+        which = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(self.known) < CACHE_WORDS:  # a word met twice is likely to come again
+            often = np.bincount(which, minlength=len(words)) > 1
+            self.known.update((w, made[w]) for w, again in zip(words, often.tolist()) if again and w in made)
         blobs = [self.known[w] if w in self.known else made[w] for w in words]
         width = np.dtype(self.kind).itemsize
         size = np.array([len(b) // width for b in blobs], np.int64)
         pool = np.concatenate([np.frombuffer(b"".join(blobs), self.kind), np.array([end_id], self.kind)])
         base = np.cumsum(size) - size
         # the end id is one more word, behind the last word of each text
-        which = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         cuts = offsets_of_lists(lists)
         which = np.insert(which, cuts[1:], len(size))
         size, base = np.append(size, 1), np.append(base, len(pool) - 1)
