@@ -10,6 +10,7 @@ payload (the bits).  Blocks of a part follow each other by seq, parts by their n
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from dataclasses import dataclass
@@ -192,7 +193,11 @@ def tokenized(docs: DataFrame, spec: TokenSpec = TokenSpec()) -> DataFrame:
         words = _tokenizer(path)
         for batch in batches:
             for part in steps(batch, 1, BATCH_BYTES):
-                ids, per = words.encode(part.column(1), end_id)
+                gc.disable()  # millions of small strings and no cycles: collections would only walk them
+                try:
+                    ids, per = words.encode(part.column(1), end_id)
+                finally:
+                    gc.enable()
                 width = ids.dtype.itemsize
                 off = pa.py_buffer(np.concatenate([[0], np.cumsum(per) * width]).astype(np.int32).tobytes())
                 yield pa.RecordBatch.from_arrays(
