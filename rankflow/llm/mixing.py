@@ -201,9 +201,9 @@ def repeated(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     plan = mix(docs, spec).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     d = docs.withColumn("_size", text_words(F.col("text"))).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d._size") == F.col("p.size"))
-    single = d.join(plan.where("rows = 1 AND copies > 0").alias("p"), same).select("d.*", F.col("copies").alias("_n"))
+    single = d.join(plan.where("rows = 1 AND copies > 0").alias("p"), same).select("d.*", F.col("p.copies").alias("_n"))
     own = Window.partitionBy("d.doc_id", "d.source", "d._size").orderBy("d.text")
     several = d.join(plan.where("rows > 1 AND copies > 0").alias("p"), same).select("d.*", (
-        F.floor(F.col("copies") / F.col("rows")) + (F.row_number().over(own) <= F.col("copies") % F.col("rows")).cast("int")).alias("_n"))
+        F.floor(F.col("p.copies") / F.col("p.rows")) + (F.row_number().over(own) <= F.col("p.copies") % F.col("p.rows")).cast("int")).alias("_n"))
     both = single.unionByName(several)
     return both.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int")))).select(*names)
