@@ -26,12 +26,18 @@ LICENSES = """
 mit | mit | mit license, mit licence, expat license | permission is hereby granted free of charge to any person obtaining a copy, opensource org licenses mit, spdx license identifier mit
 apache-2 | apache | apache license version 2( 0)?, apache license 2 0, apache 2( 0)? license, asl 2 0 | apache org licenses license 2 0, spdx license identifier apache 2 0, unless required by applicable law or agreed to in writing software
 apache-1.1 | apache | apache (software )?license version 1 1, apache license 1 1 | spdx license identifier apache 1 1, this product includes software developed by the apache software foundation
-cc-by-nc | cc | cc by nc, creative commons attribution non ?commercial | creativecommons org licenses by nc( [0-9])?
-cc-by-nc-sa | cc | cc by nc sa, creative commons attribution non ?commercial share ?alike | creativecommons org licenses by nc sa
-cc-by-nc-nd | cc | cc by nc nd, creative commons attribution non ?commercial no ?deriv[a-z]* | creativecommons org licenses by nc nd
-cc-by-nd | cc | cc by nd, creative commons attribution no ?deriv[a-z]* | creativecommons org licenses by nd
-cc-by-sa | cc | cc by sa, creative commons attribution share ?alike | creativecommons org licenses by sa
-cc-by | cc | cc by( [0-9] [0-9])?, creative commons attribution( [0-9] [0-9])? | creativecommons org licenses by [0-9]
+cc-by-nc | cc | cc by nc | spdx license identifier cc by nc
+cc-by-nc | creative | creative commons attribution non ?commercial | creativecommons org licenses by nc( [0-9])?
+cc-by-nc-sa | cc | cc by nc sa | spdx license identifier cc by nc sa
+cc-by-nc-sa | creative | creative commons attribution non ?commercial share ?alike | creativecommons org licenses by nc sa
+cc-by-nc-nd | cc | cc by nc nd | spdx license identifier cc by nc nd
+cc-by-nc-nd | creative | creative commons attribution non ?commercial no ?deriv[a-z]* | creativecommons org licenses by nc nd
+cc-by-nd | cc | cc by nd | spdx license identifier cc by nd
+cc-by-nd | creative | creative commons attribution no ?deriv[a-z]* | creativecommons org licenses by nd
+cc-by-sa | cc | cc by sa | spdx license identifier cc by sa
+cc-by-sa | creative | creative commons attribution share ?alike | creativecommons org licenses by sa
+cc-by | cc | cc by( [0-9] [0-9])? | spdx license identifier cc by
+cc-by | creative | creative commons attribution( [0-9] [0-9])? | creativecommons org licenses by [0-9]
 cc0 | cc0 | cc0( 1 0)?, cc zero, creative commons zero | creativecommons org publicdomain zero, spdx license identifier cc0
 gpl-2 | gpl | gpl ?v?2( 0)?, gpl version 2 | spdx license identifier gpl 2 0( only| or later)?, gnu org licenses gpl 2 0
 gpl-3 | gpl | gpl ?v?3( 0)?, gpl version 3 | spdx license identifier gpl 3 0( only| or later)?, gnu org licenses gpl 3 0

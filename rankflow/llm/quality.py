@@ -53,10 +53,6 @@ def _words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
 def _windows(words: str, n: str) -> Column:
     """All 3-word windows of a text, in order."""
     w = F.col(words)
@@ -89,16 +85,16 @@ def base_counts(docs: DataFrame) -> DataFrame:
     swept = F.aggregate(at, F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
                         lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["last"])).alias("n"), i.alias("last")))
     return df.withColumns({
-        "word_chars": F.length(_without(F.col("_text"), SPACES)).cast("long"),
-        "n_symbols": (F.length("_text") - F.length(_without(F.col("_text"), SYMBOLS))).cast("long"),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_symbols": F.regexp_count("_text", F.lit(f"[{SYMBOLS}]")).cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_repeat_words": swept["n"].cast("long"),
     }).drop("_lines", "_windows", "_sorted", "_n")
 
 
 def histograms(counted: DataFrame) -> DataFrame:
-    """Adds ``_classes`` (array<double>, characters by class) and ``_common`` (the
-    text's words that any language lists, lower-cased and without outer punctuation)."""
+    """Adds ``_classes`` (array<double>, characters by class), ``_tokens`` (number of the lower-cased
+    text's parts between blanks) and ``_common`` (those that any language lists)."""
     # one pass per class over what the classes before it left
     df, left, names = counted, "_text", []
     for k, cls in enumerate(CLASSES):
@@ -106,26 +102,27 @@ def histograms(counted: DataFrame) -> DataFrame:
         names.append(F.length(left) - F.length(f"_left{k}"))
         left = f"_left{k}"
     listed = sorted({w for words in COMMON_WORDS.values() for w in words.split()})
-    lowered = F.split(F.btrim(F.regexp_replace(F.lower("_text"), "[\\x20\\x09-\\x0D.,;:!?]+", " "), F.lit(" ")), " ")
+    df = df.withColumn("_parts", F.split(F.lower("_text"), " "))
     df = df.withColumn("_classes", F.array(*[c.cast("double") for c in [*names, F.length(left)]]))
-    df = df.withColumn("_common", F.filter(lowered, lambda x: x.isin(listed)))
-    return df.drop(*[f"_left{k}" for k in range(len(CLASSES))])
+    df = df.withColumns({"_common": F.filter("_parts", lambda x: x.isin(listed)), "_tokens": F.size("_parts")})
+    return df.drop("_parts", *[f"_left{k}" for k in range(len(CLASSES))])
 
 
 def references(histogrammed: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
     """Per listed language that has documents: its class and common-word histograms,
     summed over all its documents (one partial aggregate; a row for each language)."""
-    n_classes, out = len(CLASSES) + 1, {}
-    listed = sorted({w for words in COMMON_WORDS.values() for w in words.split()})
     known = histogrammed.where(F.col("lang").isin(list(COMMON_WORDS)))
-    totals = known.groupBy("lang").agg(
-        *[F.sum(F.col("_classes")[k]).alias(f"c{k}") for k in range(n_classes)], F.sum("n_words").alias("n"))
-    words = known.select("lang", F.explode("_common").alias("w")).where(F.col("w").isin(listed)).groupBy("lang", "w").count()
-    counts = {(r["lang"], r["w"]): float(r["count"]) for r in words.collect()}  # languages x listed words
-    for r in totals.collect():
-        lang = r["lang"]
-        by_word = [counts.get((lang, w), 0.0) for w in COMMON_WORDS[lang].split()]
-        out[lang] = ([float(r[f"c{k}"] or 0) for k in range(n_classes)], [*by_word, max(0.0, float(r["n"] or 0) - sum(by_word))])
+    entry = lambda key, n: F.struct(key.alias("key"), n.cast("double").alias("n"))
+    cells = F.concat(F.transform("_common", lambda w: entry(w, F.lit(1))), F.transform(
+        "_classes", lambda n, k: entry(F.concat(F.lit("#"), k.cast("string")), n)), F.array(entry(F.lit("#tokens"), F.col("_tokens"))))
+    summed = known.select("lang", F.explode(cells).alias("cell")).groupBy("lang", "cell.key").agg(F.sum("cell.n").alias("n"))
+    counts: dict[str, dict[str, float]] = {}
+    for r in summed.collect():  # listed languages x (listed words and classes)
+        counts.setdefault(r["lang"], {})[r["key"]] = r["n"]
+    out = {}
+    for lang, n in counts.items():
+        by_word = [n.get(w, 0.0) for w in COMMON_WORDS[lang].split()]
+        out[lang] = ([n.get(f"#{k}", 0.0) for k in range(len(CLASSES) + 1)], [*by_word, max(0.0, n.get("#tokens", 0.0) - sum(by_word))])
     return out
 
 
@@ -163,14 +160,13 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     if "lang" not in docs.columns:
         docs = docs.withColumn("lang", F.lit(None).cast("string"))
     df = histograms(base_counts(docs))
-    slim = histograms(docs.select("lang", F.coalesce("text", F.lit("")).alias("_text"))
-                      .withColumn("_words", _words(F.col("_text"))).withColumn("n_words", F.size("_words").cast("long")))
+    slim = histograms(docs.select("lang", F.coalesce("text", F.lit("")).alias("_text")))
     refs = [F.struct(F.lit(lang).alias("lang"), F.array(*map(F.lit, COMMON_WORDS[lang].split())).alias("words"),
                      F.array(*map(F.lit, _shares(classes))).alias("classes"), F.array(*map(F.lit, _shares(words))).alias("shares"))
             for lang, (classes, words) in sorted(references(slim).items())]
     judged = (F.length("_text") >= rules.min_chars) & (F.col("n_words") >= rules.min_words)
     if refs:
-        common, n = F.col("_common"), F.col("n_words").cast("double")
+        common, n = F.col("_common"), F.col("_tokens").cast("double")
         df = df.withColumn("_refs", F.array(*refs))
         own = F.filter("_refs", lambda r: r["lang"] == F.col("lang"))
         df = df.withColumn("_own", F.when(~judged, F.slice("_refs", 1, 0)).when(
@@ -193,4 +189,4 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     df = df.withColumn("base_failed", failed)
     fine = (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= rules.max_class_distance) & (
         F.coalesce(F.col("word_distance"), F.lit(0.0)) <= rules.max_word_distance)
-    return df.withColumn("kept", ~F.col("base_failed") & fine).drop("_text", "_words", "_classes", "_common")
+    return df.withColumn("kept", ~F.col("base_failed") & fine).drop("_text", "_words", "_classes", "_common", "_tokens")
