@@ -163,16 +163,12 @@ def append_distinct(spark: SparkSession, df: DataFrame, path: str, keys: Sequenc
     from rankflow.session import path_exists
 
     new = df.dropDuplicates(list(keys)) if keys else df.distinct()
-    existing = None
-    if path_exists(spark, path) is not False:
-        try:
-            existing = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001  (first delivery: nothing stored yet)
-            existing = None
+    # Only a missing path means that nothing is stored; a store that can't be read raises.
+    existing = spark.read.parquet(path) if path_exists(spark, path) else None
     if existing is not None:
         if range_col is not None:
             lo, hi = new.agg(F.min(range_col), F.max(range_col)).first()  # two values
-            existing = existing.filter(F.col(range_col).between(lo, hi))
+            existing = existing.filter(F.col(range_col).isNull() | F.col(range_col).between(lo, hi))
         if keys:
             new = new.join(existing.select(*keys), on=list(keys), how="left_anti")
         else:
@@ -182,8 +178,11 @@ def append_distinct(spark: SparkSession, df: DataFrame, path: str, keys: Sequenc
 
 def publish(spark: SparkSession, src_root: str, dst: str, kind: str = "ranking",
             partition_by: Sequence[str] = ("category",)) -> str:
-    """s11: land a folder of CSV snapshots in the lake as partitioned Parquet (overwrite)."""
-    return write_table(read_tree(spark, src_root, kind), dst, partition_by=partition_by)
+    """s11: land a folder of CSV snapshots in the lake as partitioned Parquet; a delivery
+    overwrites the partitions it holds and leaves the others."""
+    df = read_tree(spark, src_root, kind)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(dst)
+    return dst
 
 
 def to_tsv_lines(df: DataFrame, cols: Sequence[str], two_dp: Sequence[str] = (), none: str = "None") -> DataFrame:

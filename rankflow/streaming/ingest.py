@@ -22,29 +22,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _stored_keys(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame | None:
-    from rankflow.session import path_exists
-
-    if path_exists(spark, sink) is False:  # nothing stored yet
-        return None
-    try:
-        return spark.read.parquet(sink).select(*keys)
-    except Exception:  # noqa: BLE001  (nothing stored yet)
-        return None
-
-
 def _append_new(batch: DataFrame, sink: str, keys: Sequence[str], range_col: str | None,
                 partition_by: Sequence[str]) -> None:
+    from rankflow.session import path_exists
+
     spark = batch.sparkSession
     fresh = batch.dropDuplicates(list(keys))
-    stored = _stored_keys(spark, sink, keys)
-    if stored is not None:
+    if path_exists(spark, sink):  # a sink that exists but can't be read raises
+        stored = spark.read.parquet(sink)
         if range_col is not None:
             lo, hi = fresh.agg(F.min(range_col), F.max(range_col)).first()
-            if lo is None:
-                return
-            stored = stored.filter(F.col(range_col).between(lo, hi))
-        fresh = fresh.join(stored, on=list(keys), how="left_anti")
+            stored = stored.filter(F.col(range_col).isNull() | F.col(range_col).between(lo, hi))
+        same = [F.col(f"n.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]  # a null key equals a null key
+        fresh = fresh.alias("n").join(stored.select(*keys).alias("s"), same, "left_anti")
     w = fresh.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from rankflow import schemas
@@ -162,3 +164,26 @@ def test_enriched_lines_c03(spark):
     assert row.originalPrice == 10000.0 and row.season == "fall" and row.conversionRate == 0.5
     line = J.enriched_lines(e).first().value.split("\t")
     assert line[0] == "1" and line[1] == "2024-11-28 00:00:00" and line[8] == "30.00" and line[13] == "None"
+
+
+def test_appends_keep_null_ranges_once_and_publish_keeps_other_partitions(spark, tmp_path):
+    from rankflow.sources import files as IO
+    from rankflow.sources import html
+    from rankflow.streaming.ingest import _append_new
+
+    rows = spark.createDataFrame([(1, 10), (2, None), (None, None)], "k long, day long")
+    for write in (lambda p: IO.append_distinct(spark, rows, p, keys=["k"], range_col="day"),
+                  lambda p: _append_new(rows, p, ["k", "day"], "day", ())):
+        path = str(tmp_path / f"sink{id(write)}")
+        write(path)
+        first = spark.read.parquet(path).where("k = 2").count()
+        write(path)
+        assert first == 1 and spark.read.parquet(path).where("k = 2").count() == 1
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_text("no parquet")
+    for write in (lambda: IO.append_distinct(spark, rows, str(broken)), lambda: _append_new(rows, str(broken), ["k"], None, ())):
+        with pytest.raises(Exception):
+            write()
+    page = spark.createDataFrame([("<h1>T</h1><br>not bold<b>bold</b>",)], "html string")
+    assert page.select(html.extract_labelled("html", "T", "h1", "b")).first()[0] == "bold"
