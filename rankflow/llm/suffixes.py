@@ -6,7 +6,7 @@ Sorting every suffix would move a hundred times the text.  Only suffixes at anch
 sorted: the positions whose ``gram``-byte string has the least hash among all those of some
 string of ``length`` bytes around it.  Equal strings have equal anchors, so two equal
 strings of ``length`` bytes always meet at an anchor they share; about one position in
-forty is one.  Around an anchor, all strings that hold its gram lie in its context,
+thirty-three is one.  Around an anchor, all strings that hold its gram lie in its context,
 ``length - gram`` bytes before it and ``length`` bytes from it on.
 
 1. A suffix is its leading tokens: the code of its first gram, the code of its whole
