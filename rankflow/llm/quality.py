@@ -54,11 +54,12 @@ def _words(text: Column) -> Column:
 
 
 def _windows(words: str, n: str) -> Column:
-    """All 3-word windows of a text, in order."""
+    """64-bit hashes of all 3-word windows of a text, in order.  Only windows of one text are
+    compared (two of a million unequal ones meet by chance with odds of 1 in 30 million)."""
     w = F.col(words)
-    windows = F.transform(F.sequence(F.lit(1), F.col(n) - 2), lambda i: F.concat_ws(
-        " ", F.element_at(w, i), F.element_at(w, i + 1), F.element_at(w, i + 2)))
-    return F.when(F.col(n) >= 4, windows).otherwise(F.array().cast("array<string>"))
+    windows = F.transform(F.sequence(F.lit(1), F.col(n) - 2), lambda i: F.xxhash64(
+        F.element_at(w, i), F.element_at(w, i + 1), F.element_at(w, i + 2)))
+    return F.when(F.col(n) >= 4, windows).otherwise(F.array().cast("array<bigint>"))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
     pairs = F.sort_array(F.transform("_windows", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     df = df.withColumn("_sorted", F.when(repeats, pairs).otherwise(
-        F.array().cast("array<struct<g:string,i:int>>")))
+        F.array().cast("array<struct<g:bigint,i:int>>")))
     s = F.col("_sorted")
     again = F.filter(s, lambda x, k: (F.get(s, k - 1)["g"] == x["g"]) | (F.get(s, k + 1)["g"] == x["g"]))
     at = F.sort_array(F.transform(again, lambda x: x["i"]))
