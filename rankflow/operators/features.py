@@ -45,8 +45,9 @@ def fit_encoders(df: DataFrame, cols: Sequence[str]) -> PipelineModel:
 
 
 def keyword_vectorizer(col: str = "filtered_keywords", out: str = "keyword_features",
-                       vocab_size: int = 1 << 18, min_df: float = 1.0) -> CountVectorizer:
-    """m04: bag-of-keywords counts."""
+                       vocab_size: int = (1 << 31) - 1, min_df: float = 1.0) -> CountVectorizer:
+    """m04: bag-of-keywords counts, over all terms unless ``vocab_size`` is given (the driver
+    holds the vocabulary)."""
     return CountVectorizer(inputCol=col, outputCol=out, vocabSize=vocab_size, minDF=min_df)
 
 
@@ -112,6 +113,11 @@ def split_by_dtype(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str
     return num, cat
 
 
+def sparse_parts(col: str) -> Column:
+    """A sparse vector as a struct with ``size``, ``indices`` and ``values`` (only its non-zero cells)."""
+    return F.unwrap_udt(F.col(col))
+
+
 def vector_cells(col: str, out: str | None = None) -> Column:
     """Expose a vector as ``array<double>`` (for SQL-comparable output)."""
     return vector_to_array(F.col(col)).alias(out or col)

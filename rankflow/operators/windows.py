@@ -29,7 +29,8 @@ def latest_by_max(df: DataFrame, keys: Sequence[str], ts: str,
                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """w02: newest row per key as an aggregate: ``max_by(row, (ts, tiebreak...))``.
 
-    A hash aggregate with partial combine: no sort, skew-safe.
+    Rows are combined before the shuffle, so a hot key is safe; Spark sorts on the keys for
+    it (struct buffers take no hash aggregate), which :func:`latest_per_key` does too.
     """
     rest = [c for c in df.columns if c not in keys]
     order = F.struct(*[F.col(c) for c in (ts, *tiebreak)])

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,7 +106,7 @@ def latest_labelled(rankings: DataFrame, keywords: DataFrame, k: int = 150,
                     tiebreak: Sequence[str] = ()) -> DataFrame:
     """Shared head of c05-c07: merge, newest row per product, label by rank."""
     merged = R.join_keywords(rankings, keywords)
-    latest = W.latest_by_max(merged, ["productId"], "date", tiebreak)
+    latest = W.latest_per_key(merged, ["productId"], "date", tiebreak)
     return R.label_top(latest, "ranking", k)
 
 
@@ -163,8 +162,6 @@ def feature_importance(labelled: DataFrame, drop: Sequence[str] = ("category", "
 
 # -- c08 ---------------------------------------------------------------------
 
-ROWS_PER_FIT_PARTITION = 200_000
-
 NUMERIC_FEATURES = ("price", "discountRate", "conversionRate", "trending", "totalSales", "views", "likes",
                     "rating", "ratingCount")
 
@@ -216,13 +213,15 @@ def recommend_stages(seed: int = 42, label: str = "recommend") -> list:
     return [*feature_stages(), MO.forest(label=label, seed=seed)]
 
 
-def recommend(features: DataFrame, categories: Sequence[str], train_fraction: float = 0.7,
+def recommend(features: DataFrame, categories: Sequence[str] | None = None, train_fraction: float = 0.7,
               seed: int = 42, split: str = "hash", parallel: int | None = None
               ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """c08: one forest per category; returns (test predictions, metric report, confusion).
 
-    * The feature table is persisted once (recomputed from lineage if an
-      executor is lost) instead of replaying the scans for every fit.
+    * Without ``categories`` every category with training rows gets a forest, rows
+      of a null category one of their own; the report names those trained.
+    * The feature table is written once, and so are the encoded rows, partitioned
+      by category and split: each fit and each scoring reads its own folder.
     * The encoders (indexers, one-hot, keyword counts, imputer) are fitted once
       on the training rows of all categories, as the reference fitted them
       once for all categories, but without its leak of test rows.
@@ -236,42 +235,47 @@ def recommend(features: DataFrame, categories: Sequence[str], train_fraction: fl
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from rankflow.session import materialize
+    from rankflow.session import materialize, scratch_path
 
+    # The folder of a category; a null or empty one has its own.
+    folder = F.coalesce(F.concat(F.lit("c-"), F.col("category")), F.lit("none"))
     data = features.withColumns({c: F.col(c).cast("double") for c in NUMERIC_FEATURES})
-    data = (data.withColumn("recommend", F.col("recommend").cast("double"))
-            .repartition("productId").persist(StorageLevel.MEMORY_AND_DISK))
-    rows = data.count()
-    # Partitions sized by rows (narrow coalesce over the cache): a small
-    # feature table does not pay per-task overhead on every forest pass, a
-    # large one keeps one partition per ROWS_PER_FIT_PARTITION rows.
-    target = max(1, -(-rows // ROWS_PER_FIT_PARTITION))
-    cached = data
-    if target < data.rdd.getNumPartitions():
-        data = data.coalesce(target)
+    data = data.withColumns({"recommend": F.col("recommend").cast("double"), "folder": folder})
+    if categories is not None:
+        data = data.filter(F.col("folder").isin([f"c-{c}" for c in categories]))
+    data = materialize(data, "recommend-input")
 
     if split == "hash":
         bucket = MO.hash_bucket("productId")
         data = data.withColumn("split", F.when(bucket < int(round(train_fraction * 100)), "train")
                                .otherwise("test"))
     else:
-        parts = [MO.split_random(R.for_category(data, c), train_fraction, seed) for c in categories]
+        named = [r[0] for r in data.select("folder").distinct().collect()]  # one for each model
+        parts = [MO.split_random(data.filter(F.col("folder") == c), train_fraction, seed) for c in named]
         data = R.union_all([p.withColumn("split", F.lit(n)) for tr, te in parts
                             for n, p in (("train", tr), ("test", te))])
     encoders = MO.fit(feature_stages(), data.filter(F.col("split") == "train"))
-    encoded = encoders.transform(data)
-
-    def one(cat: str) -> DataFrame:
-        subset = R.for_category(encoded, cat)
+    encoded = encoders.transform(data).select("productId", "category", "recommend", "features", "folder", "split")
+    # AQE sizes the files: a hot category is split, small ones are not scattered; rows in a
+    # fixed order, since the forest draws its samples by position
+    spark, path = encoded.sparkSession, scratch_path(features.sparkSession, "recommend-encoded")
+    spark.sql("SELECT /*+ REBALANCE(folder, split) */ * FROM {encoded}", encoded=encoded) \
+         .sortWithinPartitions("folder", "split", "productId").write.partitionBy("folder", "split").parquet(path)
+    encoded = spark.read.schema(encoded.schema).parquet(path)
+    trained = sorted(r[0] for r in encoded.filter(F.col("split") == "train").select("folder").distinct().collect())
+    if not trained:
+        raise ValueError("no category has training rows")
+
+    def one(name: str) -> DataFrame:
+        subset = encoded.filter(F.col("folder") == name)
         model = MO.fit([MO.forest(label="recommend", seed=seed)], subset.filter(F.col("split") == "train"))
         return MO.predict(model, subset).select("productId", "category", "recommend", "predicted_recommend",
                                                  "split")
 
-    workers = parallel or min(len(categories), 8)
+    workers = parallel or min(len(trained), 8)
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        scored = R.union_all(list(pool.map(one, categories)))
+        scored = R.union_all(list(pool.map(one, trained)))
     scored = materialize(scored.withColumn("prediction", F.col("predicted_recommend")), "recommend-scores")
-    cached.unpersist()
     report = MO.metric_rows(scored, "recommend", "prediction", keys=("category", "split"))
     test = scored.filter(F.col("split") == "test").select(
         "productId", "category", F.col("recommend").cast("int").alias("recommend"), "predicted_recommend")

@@ -9,7 +9,7 @@ from rankflow.operators import windows as W
 from rankflow.plans import driver as D
 from rankflow.plans import jobs as J
 from rankflow.plans.q_functions import _SQL_CLEAN, sql_stop_words
-from rankflow.plans.q_ml import CATEGORIES, _features
+from rankflow.plans.q_ml import _features
 from rankflow.plans.q_relational import (_LABELLED_SQL, _SQL_KEYWORD, _mean_ratio_sql, labelled,
                                          labelled_detail)
 from rankflow.plans.registry import query
@@ -91,8 +91,9 @@ def c04(spark: SparkSession, sf: str) -> DataFrame:
     docs = D.table(spark, sf, "documents")
     kw = J.stopword_keywords(docs, name="text", key="doc_id")
     path = IO.write_csv(kw, scratch_path(spark, "c04"))
+    # keywords hold no white space, so every line is a record and files can be split
     return (spark.read.schema("doc_id bigint, keywords string").option("header", True)
-            .option("multiLine", True).csv(path).fillna({"keywords": ""}))
+            .csv(path).fillna({"keywords": ""}))
 
 
 @query("c05_keyword_frequency", D.with_ctes(D.RANKING_SQL, _LABELLED_SQL) + """
@@ -124,5 +125,5 @@ def c07(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("c08_recommend")
 def c08(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, confusion = J.recommend(_features(spark, sf), CATEGORIES)
+    _, _, confusion = J.recommend(_features(spark, sf))
     return confusion

@@ -39,9 +39,8 @@ FROM part p JOIN idx ON p.p_brand = idx.p_brand""")
 def m02(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", "p_brand")
     enc = FE.fit_encoders(p, ["p_brand"]).transform(p)
-    arr = vector_to_array(F.col("p_brand_ohe"))
-    return enc.select("p_partkey", F.size(arr).alias("width"),
-                      F.nullif(F.array_position(arr, 1.0) - 1, F.lit(-1)).cast("int").alias("hot"))
+    v = FE.sparse_parts("p_brand_ohe")
+    return enc.select("p_partkey", v["size"].alias("width"), F.get(v["indices"], F.lit(0)).alias("hot"))
 
 
 @query("m03_encoder_fit")
@@ -60,10 +59,12 @@ def m04(spark, sf):
     p = _t(spark, sf, "part").select(
         "p_partkey", F.split(F.concat_ws(" ", "p_name", F.lower("p_type"), "p_name"), " ").alias("terms"))
     model = FE.keyword_vectorizer("terms", "tf").fit(p)
-    vocab = F.array(*[F.lit(t) for t in model.vocabulary])  # bounded by vocabSize
-    cells = model.transform(p).select("p_partkey", F.posexplode(vector_to_array("tf")).alias("i", "c"))
-    return cells.filter(F.col("c") > 0).select(
-        "p_partkey", F.element_at(vocab, F.col("i") + 1).alias("term"), F.col("c").cast("bigint").alias("count"))
+    terms = spark.createDataFrame(list(enumerate(model.vocabulary)), "i int, term string")
+    v = FE.sparse_parts("tf")
+    cells = model.transform(p).select("p_partkey", F.explode(F.arrays_zip(
+        v["indices"].alias("i"), v["values"].alias("c"))).alias("cell"))
+    return cells.select("p_partkey", "cell.i", F.col("cell.c").cast("bigint").alias("count")) \
+                .join(terms, "i").select("p_partkey", "term", "count")
 
 
 @query("m05_assemble", D.with_ctes(D.RANKING_SQL) + """
@@ -82,12 +83,9 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     return J.recommendation_features(rankings, keywords, k=2, tiebreak=("ranking",))
 
 
-CATEGORIES = ("economy", "large", "medium", "promo", "small", "standard")
-
-
 @query("m06_forest_per_category")
 def m06(spark, sf):
-    preds, _, _ = J.recommend(_features(spark, sf), CATEGORIES)
+    preds, _, _ = J.recommend(_features(spark, sf))
     return preds
 
 
@@ -135,7 +133,7 @@ def m10(spark, sf):
 
 @query("m11_metric_report")
 def m11(spark, sf):
-    _, report, _ = J.recommend(_features(spark, sf), CATEGORIES)
+    _, report, _ = J.recommend(_features(spark, sf))
     return report
 
 
@@ -188,9 +186,8 @@ FROM customer c LEFT JOIN idx ON c.c_mktsegment = idx.c_mktsegment""")
 def m15(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     model = FE.fit_encoders(c.filter(F.col("c_mktsegment") != "MACHINERY"), ["c_mktsegment"])
-    arr = vector_to_array(F.col("c_mktsegment_ohe"))
-    return model.transform(c).select("c_custkey", F.size(arr).alias("width"),
-                                     F.nullif(F.array_position(arr, 1.0) - 1, F.lit(-1)).cast("int").alias("hot"))
+    v = FE.sparse_parts("c_mktsegment_ohe")
+    return model.transform(c).select("c_custkey", v["size"].alias("width"), F.get(v["indices"], F.lit(0)).alias("hot"))
 
 
 @query("m17_feature_importance")

@@ -241,7 +241,7 @@ _LABELLED_SQL = """labelled AS (
 def labelled(spark: SparkSession, sf: str, k: int = 2, ranking: DataFrame | None = None) -> DataFrame:
     """Newest ranking row per product with label and name keywords."""
     r = (ranking if ranking is not None else D.ranking(spark, sf)).withColumn("keywords", F.split("productName", " "))
-    return R.label_top(W.latest_by_max(r, ["productId"], "date"), "ranking", k)
+    return R.label_top(W.latest_per_key(r, ["productId"], "date"), "ranking", k)
 
 
 @query("a06_keyword_counts_by", D.with_ctes(D.RANKING_SQL, _LABELLED_SQL) + """
@@ -322,9 +322,9 @@ def a12(spark, sf):
     return A.row_count(_t(spark, sf, "lineitem"))
 
 
-@query("a13_work_list", _R + "SELECT DISTINCT productId FROM ranking WHERE date >= 19980101")
+@query("a13_work_list", _R + "SELECT DISTINCT productId FROM ranking")
 def a13(spark, sf):
-    return A.work_list(D.ranking(spark, sf).filter(F.col("date") >= 19980101))
+    return A.work_list(D.ranking(spark, sf))
 
 
 @query("a14_shape", "SELECT count(*) AS rows, 11 AS columns FROM lineitem")
@@ -395,8 +395,8 @@ def o04(spark, sf):
 @query("u01_union_all", _R + "SELECT productId, date, category FROM ranking")
 def u01(spark, sf):
     r = D.ranking(spark, sf).select("productId", "date", "category")
-    return R.union_all([r.filter(F.col("category") == c) for c in
-                        ("economy", "large", "medium", "promo", "small", "standard")])
+    first = F.coalesce(F.col("category") < "medium", F.lit(False))  # the other half holds a null category too
+    return R.union_all([r.filter(first), r.filter(~first)])
 
 
 @query("u02_union_predictions", """

@@ -30,11 +30,16 @@ def _reader(spark: SparkSession):
 def read_snapshot(spark: SparkSession, path: str | Sequence[str], kind: str = "ranking") -> DataFrame:
     """s01: CSV snapshot(s) with header, conformed by name to the fixed schema.
 
-    The header is read as text columns and conformed by name, so files whose
-    header differs in case (``ProductID``) or column order still line up.
+    Each path's header is read as text columns and conformed by name, so paths whose
+    header differs in case (``ProductID``) or column order still line up.  (Files of one
+    folder must share a header; :func:`read_by_file_header` reads those that don't.)
     """
-    raw = _reader(spark).csv(path if isinstance(path, str) else list(path))
-    return schemas.conform(schemas.normalise_columns(raw), schemas.SCHEMAS[kind])
+    read = [schemas.conform(schemas.normalise_columns(_reader(spark).csv(p)), schemas.SCHEMAS[kind])
+            for p in ([path] if isinstance(path, str) else path)]
+    out = read[0]
+    for other in read[1:]:
+        out = out.unionByName(other)
+    return out
 
 
 def category_from_filename(name: Column | str) -> Column:
@@ -44,34 +49,37 @@ def category_from_filename(name: Column | str) -> Column:
     return F.when(got == "", F.lit(UNKNOWN_CATEGORY)).otherwise(schemas.normalise_category(got))
 
 
-MAX_CSV_COLUMNS = 64
-
-
 def read_by_file_header(spark: SparkSession, root: str, key: str = "productId") -> DataFrame:
     """Every ``*.csv`` below ``root``, each row mapped through its own file's header.
 
     Spark's CSV reader maps all files positionally to the first file's header,
     which mixes columns when header families differ in order.  Here files are
-    read header-less; a file's header row is the one naming ``key`` (data rows
-    hold numbers there); a small per-file table of headers (one row per file,
-    broadcast by AQE) is joined back, and each row becomes a name -> value map.
+    read header-less, as wide as their widest line; a file's header row names
+    ``key`` and another known column; a small per-file table of headers (one row
+    per file, broadcast by AQE) is joined back, and each row becomes a name ->
+    value map.  A file without such a row raises.
     Columns come out lower-cased and canonicalised by ``schemas.normalise_columns``.
     """
-    cols = [f"_c{i}" for i in range(MAX_CSV_COLUMNS)]
-    raw = (spark.read.schema(", ".join(f"{c} string" for c in cols)).option("header", False)
-           .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("mode", "PERMISSIVE")
+    tree = lambda: spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    # commas inside quotes make this too wide at most, never too narrow
+    width = tree().text(root).agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+    cols = [f"_c{i}" for i in range(width)]
+    raw = (tree().schema(", ".join(f"{c} string" for c in cols)).option("header", False).option("mode", "PERMISSIVE")
            .csv(root).select("*", F.col("_metadata.file_path").alias("_path"),
                              F.col("_metadata.file_name").alias("_file")))
     cells = F.array(*[F.col(c) for c in cols])
     clean = F.transform(cells, lambda x: F.lower(F.trim(F.regexp_replace(x, "^\ufeff", ""))))
+    names = sorted({f.name.lower() for s in (schemas.RANKING, schemas.DETAIL) for f in s.fields})
+    known = F.array_intersect(clean, F.array(*map(F.lit, names)))
     # (array_contains is NULL when the array holds NULLs and no match: coalesce)
-    is_header = F.coalesce(F.array_contains(clean, F.lit(key.lower())), F.lit(False))
+    is_header = F.coalesce(F.array_contains(clean, F.lit(key.lower())), F.lit(False)) & (
+        F.size(known) >= F.least(F.lit(2), F.size(F.filter(clean, lambda x: x.isNotNull()))))
     headers = raw.filter(is_header).select("_path", clean.alias("_names")).dropDuplicates(["_path"])
-    data = raw.filter(~is_header).join(headers, "_path")
+    data = raw.filter(~is_header).join(headers, "_path", "left")
     pairs = F.filter(F.arrays_zip(F.col("_names").alias("n"), cells.alias("v")),
                      lambda p: p["n"].isNotNull() & (p["n"] != ""))
-    mapped = data.select("_file", F.map_from_entries(pairs).alias("_row"))
-    names = sorted({f.name.lower() for s in (schemas.RANKING, schemas.DETAIL) for f in s.fields})
+    missing = F.raise_error(F.concat(F.lit(f"no header row naming {key} in "), F.col("_path")))
+    mapped = data.select("_file", F.coalesce(F.map_from_entries(pairs), missing).alias("_row"))
     return mapped.select("_file", *[F.col("_row")[n].alias(n) for n in names])
 
 
