@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,6 +27,14 @@ def ascii_lower(c: Column | str) -> Column:
     return F.translate(F.col(c) if isinstance(c, str) else c, UPPER, LOWER)
 
 
+def release_memory() -> None:
+    """Hand back what this worker has freed; Spark keeps idle workers, whose memory counts on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` over batches, each cut into steps of bounded bytes.
 
@@ -37,6 +46,7 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
         for batch in batches:
             for part in steps(batch):
                 yield from fn(part)
+        release_memory()
 
     return df.mapInArrow(run, schema)
 

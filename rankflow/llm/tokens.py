@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankflow.llm import huffman
-from rankflow.llm.common import offsets, steps
+from rankflow.llm.common import offsets, release_memory, steps
 from rankflow.session import materialize, scratch_path
 
 #: A special token that stands between words encoded in one call; a word that holds it goes alone.
@@ -140,11 +140,13 @@ class WordTokenizer:
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, each closed by ``end_id``, and the ids of each text."""
         lists = pc.ascii_split_whitespace(texts)
+        cuts = offsets_of_lists(lists)
         flat = lists.flatten().dictionary_encode()
         words = flat.dictionary.to_pylist()
         new = [w for w in words if w not in self.known]
         made = self._encode(new)
         which = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        del lists, flat  # each part is let go once the next is made
         if len(self.known) < CACHE_WORDS:  # a word met twice is likely to come again
             often = np.bincount(which, minlength=len(words)) > 1
             self.known.update((w, made[w]) for w, again in zip(words, often.tolist()) if again and w in made)
@@ -153,8 +155,8 @@ class WordTokenizer:
         size = np.array([len(b) // width for b in blobs], np.int64)
         pool = np.concatenate([np.frombuffer(b"".join(blobs), self.kind), np.array([end_id], self.kind)])
         base = np.cumsum(size) - size
+        del words, new, made, blobs
         # the end id is one more word, behind the last word of each text
-        cuts = offsets_of_lists(lists)
         which = np.insert(which, cuts[1:], len(size))
         size, base = np.append(size, 1), np.append(base, len(pool) - 1)
         per_word = size[which]
@@ -190,6 +192,7 @@ def tokenized(docs: DataFrame, spec: TokenSpec = TokenSpec()) -> DataFrame:
     path, end_id = tokenizer_path(spec.tokenizer), spec.end_id
 
     def run(batches):
+        release_memory()
         words = _tokenizer(path)
         for batch in batches:
             for part in steps(batch, 1, BATCH_BYTES):
@@ -201,8 +204,10 @@ def tokenized(docs: DataFrame, spec: TokenSpec = TokenSpec()) -> DataFrame:
                 width = ids.dtype.itemsize
                 off = pa.py_buffer(np.concatenate([[0], np.cumsum(per) * width]).astype(np.int32).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.Array.from_buffers(pa.binary(), part.num_rows, [None, off, pa.py_buffer(ids.tobytes())])],
+                    [part.column(0), pa.Array.from_buffers(pa.binary(), part.num_rows, [None, off, pa.py_buffer(ids)])],
                     names=["doc_id", "ids"])
+                del ids, off
+                release_memory()
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
