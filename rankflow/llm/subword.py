@@ -13,15 +13,17 @@ number a class for every bucket.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import ALNUM, STEP_BYTES, mix64, offsets, span_hashes, steps, text_bytes, word_spans
+from rankflow.llm.common import ALNUM, STEP_BYTES, mix64, span_hashes, steps, text_bytes, word_spans
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -120,7 +122,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(-1, keepdims=True)
 
 
-def fit(samples: list[tuple[np.ndarray, np.ndarray]], labels: list[int], classes: list, spec: SubwordSpec,
+def fit(samples: Sequence[tuple[np.ndarray, np.ndarray]], labels: list[int], classes: list, spec: SubwordSpec,
         priors: np.ndarray | None = None) -> SubwordModel:
     """Train on the bags; ``priors`` are the classes' shares among all labelled rows, for
     a bias that undoes an uneven sample.  The same samples give the same model."""
@@ -188,13 +190,13 @@ def temperature(all_logits: np.ndarray, labels: np.ndarray) -> float:
     return float(best[1])
 
 
-def sampled_bags(docs: DataFrame, label: Column, usable: Column, spec: SubwordSpec) -> tuple[list, list, list, dict]:
+def sampled_bags(docs: DataFrame, label: Column, usable: Column, spec: SubwordSpec) -> tuple[Sequence, list, list, dict]:
     """Bags and labels of at most ``per_class`` usable documents of each label, in a fixed
     order, and the labels' counts among all usable rows.
 
     The sample is chosen by (hash of the id, id) from ids alone; texts are read again only
     for it and become bags in tasks, so the driver gets at most ``per_class`` bags a label of
-    at most ``buckets`` entries each.
+    at most ``buckets`` entries each, compressed, and opens one at a time.
     """
     rows = docs.where(usable).select("doc_id", label.alias("label"), F.xxhash64(F.lit(spec.seed), "doc_id").alias("h"))
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -208,30 +210,43 @@ def sampled_bags(docs: DataFrame, label: Column, usable: Column, spec: SubwordSp
     own = own.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")  # per_class ids a label
 
     def run(batches):
+        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for part in steps(batch, 0):
-                found = bags(part.column(0), spec)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array([x.tobytes() for x, _ in found], pa.binary()), pa.array([x.tobytes() for _, x in found], pa.binary())],
-                    names=["label", "h", "doc_id", "ids", "weights"])
+                    [*part.columns[1:], pa.array([_packed(bag, press) for bag in bags(part.column(0), spec)], pa.binary())],
+                    names=["label", "h", "doc_id", "bag"])
 
     kind, id_kind = rows.schema["label"].dataType.simpleString(), docs.schema["doc_id"].dataType.simpleString()
     made = own.select(F.coalesce("text", F.lit("")).alias("text"), "label", "h", "doc_id").mapInArrow(
-        run, f"label {kind}, h long, doc_id {id_kind}, ids binary, weights binary").toArrow()
+        run, f"label {kind}, h long, doc_id {id_kind}, bag binary").toArrow()
     got = sorted(zip(made["h"].to_pylist(), made["doc_id"].to_pylist(), made["label"].to_pylist(), range(made.num_rows)),
                  key=lambda r: (r[0], r[1], str(r[2])))
-    ids, weights = _views(made["ids"], np.int32), _views(made["weights"], np.float32)
-    return [(ids[r[3]], weights[r[3]]) for r in got], [r[2] for r in got], [r[0] for r in got], counts
+    return PackedBags(made["bag"], [r[3] for r in got]), [r[2] for r in got], [r[0] for r in got], counts
 
 
-def _views(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
-    """The values of a binary column as arrays that share its memory."""
-    out = []
-    for chunk in column.chunks:
-        off = offsets(chunk)
-        data = np.frombuffer(chunk.buffers()[2] or b"", np.uint8)
-        out += [data[a:b].view(kind) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
-    return out
+def _packed(bag: tuple[np.ndarray, np.ndarray], press: zstandard.ZstdCompressor) -> bytes:
+    """A bag without loss: steps between its ascending buckets and its weights, equal bytes of all
+    numbers side by side, compressed."""
+    ids, weights = bag
+    both = np.concatenate([np.diff(ids, prepend=0).astype(np.int32).view(np.uint8), weights.view(np.uint8)])
+    return press.compress(both.reshape(-1, 4).T.tobytes())
+
+
+class PackedBags(Sequence):
+    """The bags of a binary column in a given order, each opened when it is asked for."""
+
+    def __init__(self, column: pa.ChunkedArray, order: list[int]) -> None:
+        self._column, self._order, self._open = column, order, zstandard.ZstdDecompressor()
+
+    def __len__(self) -> int:
+        return len(self._order)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        raw = self._open.decompress(self._column[self._order[i]].as_buffer())
+        both = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).reshape(-1)
+        half = len(both) // 2
+        return np.cumsum(both[:half].view(np.int32), dtype=np.int32), both[half:].view(np.float32)
 
 
 def score_batches(batch: pa.RecordBatch, model: SubwordModel):
