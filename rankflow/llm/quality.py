@@ -4,7 +4,9 @@ document's histograms from those of its language.
 A document has two histograms: character classes, and the common words of a
 language (plus one bin for all other words).  Each language's reference is the
 histogram of all its documents together.  The Jensen-Shannon distance (base 2,
-0 to 1) of a document to its reference must stay under a bound.  Texts shorter than a bound are not judged.
+0 to 1) of a document to its reference must stay under a bound.  That of the words follows
+from the reference: the distance of a text with hardly any of its language's common words.
+Texts shorter than a bound are not judged.
 
 Everything is built from DataFrame expressions; the references are one
 aggregate with a row for each listed language (at most ``len(COMMON_WORDS)``).
@@ -12,6 +14,7 @@ aggregate with a row for each listed language (at most ``len(COMMON_WORDS)``).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +34,8 @@ COMMON_WORDS = {
 }
 #: Characters counted by the base rules.
 SYMBOLS = "#*$%&|<>"
+#: Punctuation that is no part of a word at its ends.
+PUNCTUATION = ".,;:!?¡¿'\"()[]{}«»„“”‘’…-"
 #: Character classes, as text of a Java character class; the rest is a class of its own.
 CLASSES = ("a-z", "A-Z", "0-9", " \\t\\n\\x0B\\f\\r", ".,;:!?'\"()\\-", "\\u00C0-\\u024F", "#*$%&|<>{}\\[\\]\\\\/@^_~+=")
 
@@ -38,7 +43,9 @@ CLASSES = ("a-z", "A-Z", "0-9", " \\t\\n\\x0B\\f\\r", ".,;:!?'\"()\\-", "\\u00C0
 @dataclass(frozen=True)
 class QualityRules:
     """Bounds of the rules; the two distances are judged only from ``min_chars`` characters
-    and ``min_words`` words on."""
+    and ``min_words`` words on.  ``least_common``: a text of a listed language must be nearer to its
+    reference than one with this part of the reference's common words; ``max_word_distance``
+    holds for every text."""
 
     base_words: int = 50
     max_repeat_percent: int = 50
@@ -46,6 +53,7 @@ class QualityRules:
     min_words: int = 50
     max_class_distance: float = 0.45
     max_word_distance: float = 0.75
+    least_common: float = 0.02
 
 
 def _words(text: Column) -> Column:
@@ -95,7 +103,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 def histograms(counted: DataFrame) -> DataFrame:
     """Adds ``_classes`` (array<double>, characters by class), ``_tokens`` (number of the lower-cased
-    text's parts between blanks) and ``_common`` (those that any language lists)."""
+    text's words between white space, without outer punctuation) and ``_common`` (those that any language lists)."""
     # one pass per class over what the classes before it left
     df, left, names = counted, "_text", []
     for k, cls in enumerate(CLASSES):
@@ -103,7 +111,10 @@ def histograms(counted: DataFrame) -> DataFrame:
         names.append(F.length(left) - F.length(f"_left{k}"))
         left = f"_left{k}"
     listed = sorted({w for words in COMMON_WORDS.values() for w in words.split()})
-    df = df.withColumn("_parts", F.split(F.lower("_text"), " "))
+    # a separator: punctuation up to white space and all of both behind it (each run is read once)
+    space, marks = "\\x20\\x09-\\x0D", "".join(f"\\{c}" for c in PUNCTUATION)
+    separator = f"(?:(?<![{marks}])[{marks}]++)?+[{space}][{space}{marks}]*+"
+    df = df.withColumn("_parts", F.split(F.btrim(F.lower("_text"), F.lit(SPACES + PUNCTUATION)), separator))
     df = df.withColumn("_classes", F.array(*[c.cast("double") for c in [*names, F.length(left)]]))
     df = df.withColumns({"_common": F.filter("_parts", lambda x: x.isin(listed)), "_tokens": F.size("_parts")})
     return df.drop("_parts", *[f"_left{k}" for k in range(len(CLASSES))])
@@ -146,6 +157,15 @@ def _shares(counts: list[float]) -> list[float]:
     return [c / total for c in counts]
 
 
+def word_bound(shares: list[float], least_common: float) -> float:
+    """Distance to a reference's word shares (the last one: all other words) of a text that has
+    ``least_common`` times as many of each common word."""
+    few = [least_common * q for q in shares[:-1]]
+    part = lambda p, q: p * math.log2(2 * p / (p + q)) if p > 0 else 0.0
+    distance = math.sqrt(max(0.0, sum(part(p, q) + part(q, p) for p, q in zip([*few, 1 - sum(few)], shares)) / 2))
+    return max(distance, 1e-6)  # a reference without common words tells nothing
+
+
 def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """All columns of ``docs`` (but for those replaced) with the base counts, the distances
     and the verdict.
@@ -153,7 +173,7 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     Added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     class_distance and word_distance (null where not judged: a short text, or a language
     that no document's ``lang`` names; a text with an unlisted or null ``lang`` has the
-    distance to the nearest reference), kept.  An empty table gives an empty result.
+    distance to the nearest reference and only ``max_word_distance`` as its bound), kept.  An empty table gives an empty result.
     """
     made = ("_text", "_words", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_classes",
             "_common", "base_failed", "class_distance", "word_distance", "kept")
@@ -162,9 +182,10 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
         docs = docs.withColumn("lang", F.lit(None).cast("string"))
     df = histograms(base_counts(docs))
     slim = histograms(docs.select("lang", F.coalesce("text", F.lit("")).alias("_text")))
+    found = sorted(references(slim).items())
     refs = [F.struct(F.lit(lang).alias("lang"), F.array(*map(F.lit, COMMON_WORDS[lang].split())).alias("words"),
                      F.array(*map(F.lit, _shares(classes))).alias("classes"), F.array(*map(F.lit, _shares(words))).alias("shares"))
-            for lang, (classes, words) in sorted(references(slim).items())]
+            for lang, (classes, words) in found]
     judged = (F.length("_text") >= rules.min_chars) & (F.col("n_words") >= rules.min_words)
     if refs:
         common, n = F.col("_common"), F.col("_tokens").cast("double")
@@ -188,6 +209,9 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
         df = df.withColumns({"class_distance": F.lit(None).cast("double"), "word_distance": F.lit(None).cast("double")})
     failed = (F.col("n_words") < rules.base_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     df = df.withColumn("base_failed", failed)
+    bound = F.lit(rules.max_word_distance)
+    for lang, (_, words) in found:
+        bound = F.when(F.col("lang") == lang, min(rules.max_word_distance, word_bound(_shares(words), rules.least_common))).otherwise(bound)
     fine = (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= rules.max_class_distance) & (
-        F.coalesce(F.col("word_distance"), F.lit(0.0)) <= rules.max_word_distance)
+        F.coalesce(F.col("word_distance"), F.lit(0.0)) <= bound)
     return df.withColumn("kept", ~F.col("base_failed") & fine).drop("_text", "_words", "_classes", "_common", "_tokens")

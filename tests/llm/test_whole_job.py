@@ -1,5 +1,6 @@
 """Whole samples, all places and all rows: what the operators once left out."""
 
+import random
 import zlib
 
 import numpy as np
@@ -7,7 +8,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
-from rankflow.llm import subword, toxicity
+from rankflow.llm import quality, subword, toxicity
 
 
 def crc(i):
@@ -28,3 +29,27 @@ def test_packed_bags_lose_nothing():
     held = subword.PackedBags(pa.chunked_array([[subword._packed(b, press) for b in made[:1]], [subword._packed(b, press) for b in made[1:]]]), [3, 2, 1, 0])
     for (ids, weights), (want_ids, want_weights) in zip(held, made[::-1]):
         assert ids.dtype == np.int32 and (ids == want_ids).all() and weights.dtype == np.float32 and (weights == want_weights).all()
+
+
+def test_texts_without_common_words_of_their_language_are_rejected(spark):
+    rng = random.Random(4)
+    letters = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(4, 9)))
+    own = {x: quality.COMMON_WORDS[x].split() for x in ("en", "de")}
+
+    def prose(lang, n=400):
+        return " ".join(rng.choice(own[lang]) if k % 4 == 0 else letters() for k in range(n))
+
+    rows = [(2 * i + k, prose(x), x) for i in range(60) for k, x in enumerate(("en", "de"))]
+    planted = {1000: " ".join(letters() for _ in range(300)), 1001: "\n".join(letters() for _ in range(300)),
+               1002: prose("de"), 1003: " ".join(f"the&&& {letters()}" for _ in range(200)), 1004: " - " * 200}
+    marked = {2000: prose("en").replace(" ", "\n"), 2001: prose("en").replace(" ", "\t"), 2002: prose("en").replace(" ", "), ("),
+              2003: "“" + prose("en").replace(" ", "”\r\n- “") + "”"}
+    other = {3000: " ".join(letters() for _ in range(300))}  # a language without a list is not judged by lists
+    table = rows + [(i, t, "en") for i, t in (planted | marked).items()] + [(3000, other[3000], "fi"), (3001, other[3000], None)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string")
+    rules = quality.QualityRules(max_repeat_percent=100, max_class_distance=1.0)  # the words alone decide
+    got = {r.doc_id: r for r in quality.quality(docs, rules).collect()}
+    assert not any(got[i].kept for i in planted)
+    assert all(got[i].kept for i in [r[0] for r in rows] + list(marked) + [3000, 3001])
+    plain = got[0].word_distance
+    assert all(got[i].word_distance < plain + 0.1 for i in marked)
