@@ -21,10 +21,15 @@ from rankflow.llm.common import ascii_lower
 # Fixed values of the base scan: phrase, label.
 BASE_PHRASES = (("the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
-#: label | keyword | names (regex alternatives over normalised words) | notices (regex alternatives).
+#: label | keyword | names (regex alternatives over normalised words) | notices (regex alternatives); - for none.
+#: The keyword is a literal part of every name and notice of its line.
 LICENSES = """
-mit | mit | mit license, mit licence, expat license | permission is hereby granted free of charge to any person obtaining a copy, opensource org licenses mit, spdx license identifier mit
-apache-2 | apache | apache license version 2( 0)?, apache license 2 0, apache 2( 0)? license, asl 2 0 | apache org licenses license 2 0, spdx license identifier apache 2 0, unless required by applicable law or agreed to in writing software
+mit | mit | mit license, mit licence | opensource org licenses mit, spdx license identifier mit
+mit | expat | expat license | -
+mit | permission is hereby | - | permission is hereby granted free of charge to any person obtaining a copy
+apache-2 | apache | apache license version 2( 0)?, apache license 2 0, apache 2( 0)? license | apache org licenses license 2 0, spdx license identifier apache 2 0
+apache-2 | asl 2 | asl 2 0 | -
+apache-2 | unless required by | - | unless required by applicable law or agreed to in writing software
 apache-1.1 | apache | apache (software )?license version 1 1, apache license 1 1 | spdx license identifier apache 1 1, this product includes software developed by the apache software foundation
 cc-by-nc | cc | cc by nc | spdx license identifier cc by nc
 cc-by-nc | creative | creative commons attribution non ?commercial | creativecommons org licenses by nc( [0-9])?
@@ -38,11 +43,16 @@ cc-by-sa | cc | cc by sa | spdx license identifier cc by sa
 cc-by-sa | creative | creative commons attribution share ?alike | creativecommons org licenses by sa
 cc-by | cc | cc by( [0-9] [0-9])? | spdx license identifier cc by
 cc-by | creative | creative commons attribution( [0-9] [0-9])? | creativecommons org licenses by [0-9]
-cc0 | cc0 | cc0( 1 0)?, cc zero, creative commons zero | creativecommons org publicdomain zero, spdx license identifier cc0
+cc0 | cc0 | cc0( 1 0)? | spdx license identifier cc0
+cc0 | cc zero | cc zero | -
+cc0 | creative commons zero | creative commons zero | -
+cc0 | publicdomain | - | creativecommons org publicdomain zero
 gpl-2 | gpl | gpl ?v?2( 0)?, gpl version 2 | spdx license identifier gpl 2 0( only| or later)?, gnu org licenses gpl 2 0
 gpl-3 | gpl | gpl ?v?3( 0)?, gpl version 3 | spdx license identifier gpl 3 0( only| or later)?, gnu org licenses gpl 3 0
-gpl-2 | general public | gnu general public license version 2, gnu general public license v2 | published by the free software foundation (either )?version 2 of the license
-gpl-3 | general public | gnu general public license version 3, gnu general public license v3 | published by the free software foundation (either )?version 3 of the license
+gpl-2 | general public | gnu general public license version 2, gnu general public license v2 | -
+gpl-2 | free software foundation | - | published by the free software foundation (either )?version 2 of the license
+gpl-3 | general public | gnu general public license version 3, gnu general public license v3 | -
+gpl-3 | free software foundation | - | published by the free software foundation (either )?version 3 of the license
 gpl | general public | gnu general public license, general public license | this program is free software you can redistribute it and or modify it under the terms of the gnu general public license
 lgpl-2.1 | lgpl | lgpl ?v?2 1, lgpl version 2 1 | spdx license identifier lgpl 2 1( only| or later)?
 lgpl-3 | lgpl | lgpl ?v?3( 0)?, lgpl version 3 | spdx license identifier lgpl 3 0( only| or later)?
@@ -53,9 +63,11 @@ gfdl | free documentation | gnu free documentation license | permission is grant
 bsd-2-clause | bsd | bsd 2 clause, 2 clause bsd, simplified bsd, freebsd license | spdx license identifier bsd 2 clause, opensource org licenses bsd 2 clause
 bsd-3-clause | bsd | bsd 3 clause, 3 clause bsd, new bsd, modified bsd | spdx license identifier bsd 3 clause, opensource org licenses bsd 3 clause
 bsd-4-clause | bsd | bsd 4 clause, 4 clause bsd, original bsd | spdx license identifier bsd 4 clause
-bsd | bsd | bsd license, bsd style license, berkeley license | opensource org licenses bsd license
+bsd | bsd | bsd license, bsd style license | opensource org licenses bsd license
+bsd | berkeley | berkeley license | -
 bsd | redistribution | redistribution and use in source and binary forms | redistribution and use in source and binary forms with or without modification are permitted
-0bsd | 0bsd | 0bsd, zero clause bsd | spdx license identifier 0bsd
+0bsd | 0bsd | 0bsd | spdx license identifier 0bsd
+0bsd | zero clause | zero clause bsd | -
 isc | isc | isc license, isc licence | opensource org licenses isc, spdx license identifier isc
 isc | permission to use | permission to use copy modify and or distribute this software | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 mpl-1.1 | mozilla | mozilla public license version 1 1, mozilla public license 1 1 | mozilla org mpl mpl 1 1
@@ -65,38 +77,47 @@ epl-1 | eclipse | eclipse public license( version| v)? 1( 0)? | eclipse org lega
 epl-2 | eclipse | eclipse public license( version| v)? 2( 0)? | eclipse org legal epl (v20|2 0)
 epl | epl | epl ?v?[12]( 0)? | spdx license identifier epl [12] 0
 edl-1 | eclipse | eclipse distribution license( version| v)?( 1 0)? | eclipse org org documents edl v10
-eupl-1.2 | eupl | eupl( v| version)?( 1 [12])? | spdx license identifier eupl 1 [12]
-eupl-1.2 | european union | european union public licen[cs]e | licensed under the eupl version 1 [12]
+eupl-1.2 | eupl | eupl( v| version)?( 1 [12])? | spdx license identifier eupl 1 [12], licensed under the eupl version 1 [12]
+eupl-1.2 | european union | european union public licen[cs]e | -
 cddl-1 | cddl | cddl( 1 [01])? | spdx license identifier cddl 1 [01]
 cddl-1 | common development | common development and distribution license | subject to the terms of the common development and distribution license
-cpl-1 | common public | common public license( version)?( 1 0)? | ibm com developerworks library os cpl
-ms-pl | microsoft | microsoft public license | opensource org licenses ms pl
-ms-rl | microsoft | microsoft reciprocal license | opensource org licenses ms rl
+cpl-1 | common public | common public license( version)?( 1 0)? | -
+cpl-1 | ibm com | - | ibm com developerworks library os cpl
+ms-pl | microsoft | microsoft public license | -
+ms-pl | ms pl | - | opensource org licenses ms pl
+ms-rl | microsoft | microsoft reciprocal license | -
+ms-rl | ms rl | - | opensource org licenses ms rl
 artistic-2 | artistic | artistic license( version)? 2( 0)? | perlfoundation org artistic license 2 0
 artistic-1 | artistic | artistic license( version)?( 1 0)? | opensource org licenses artistic license
 unlicense | unlicense | the unlicense, unlicense | unlicense org, spdx license identifier unlicense
-unlicense | public domain | free and unencumbered software | this is free and unencumbered software released into the public domain
+unlicense | unencumbered | free and unencumbered software | this is free and unencumbered software released into the public domain
 public-domain | public domain | public domain | released into the public domain, dedicated to the public domain
 wtfpl | wtfpl | wtfpl( version 2)? | spdx license identifier wtfpl
 zlib | zlib | zlib license, zlib libpng license | spdx license identifier zlib
 zlib | as is without | provided as is without any express or implied warranty | this software is provided as is without any express or implied warranty in no event will the authors be held liable
 bsl-1 | boost | boost software license( version)?( 1 0)? | boost org license 1 0, distributed under the boost software license
-busl-1.1 | business source | business source license( 1 1)? | mariadb com bsl11
+busl-1.1 | business source | business source license( 1 1)? | -
+busl-1.1 | mariadb | - | mariadb com bsl11
 sspl-1 | server side | server side public license( version)?( 1)? | mongodb com licensing server side public license
 elastic-2 | elastic | elastic license( version)?( 2 0)? | elastic co licensing elastic license
-ofl-1.1 | open font | sil open font license( version)?( 1 1)?, open font license | scripts sil org ofl
-ofl-1.1 | ofl | ofl 1 1, sil ofl | spdx license identifier ofl 1 1
-psf-2 | python | python software foundation license( version)?( 2)?, psf license | docs python org license
+ofl-1.1 | open font | sil open font license( version)?( 1 1)?, open font license | -
+ofl-1.1 | ofl | ofl 1 1, sil ofl | spdx license identifier ofl 1 1, scripts sil org ofl
+psf-2 | python | python software foundation license( version)?( 2)? | docs python org license
+psf-2 | psf | psf license | -
 php-3 | php | php license( version)?( 3 0[01]?)? | php net license
 postgresql | postgresql | postgresql licen[cs]e | opensource org licenses postgresql
 openssl | openssl | openssl license | this product includes software developed by the openssl project
-odbl-1 | open database | open database license( v| version)?( 1 0)? | opendatacommons org licenses odbl
-odbl-1 | odbl | odbl( v?1 0)? | made available under the open database license
-pddl-1 | public domain dedication | public domain dedication and license | opendatacommons org licenses pddl
-openrail | rail | openrail m?, open rail, bigscience (open )?rail license | use based restrictions as referenced in
+odbl-1 | open database | open database license( v| version)?( 1 0)? | made available under the open database license
+odbl-1 | odbl | odbl( v?1 0)? | opendatacommons org licenses odbl
+pddl-1 | public domain dedication | public domain dedication and license | -
+pddl-1 | pddl | - | opendatacommons org licenses pddl
+openrail | rail | openrail m?, open rail, bigscience (open )?rail license | -
+openrail | use based | - | use based restrictions as referenced in
 llama | llama | llama [0-9] community license( agreement)? | llama meta com license
-all-rights-reserved | rights reserved | all rights reserved | no part of this [a-z]+ may be reproduced
-proprietary | proprietary | proprietary license, proprietary and confidential | unauthorized copying of this file via any medium is strictly prohibited
+all-rights-reserved | rights reserved | all rights reserved | -
+all-rights-reserved | may be reproduced | - | no part of this [a-z]+ may be reproduced
+proprietary | proprietary | proprietary license, proprietary and confidential | -
+proprietary | unauthorized copying | - | unauthorized copying of this file via any medium is strictly prohibited
 """
 #: Templates over a license's names: tier, weight, pattern.
 TEMPLATES = (
@@ -113,8 +134,8 @@ def rules() -> list[dict]:
     for line in LICENSES.strip().splitlines():
         label, keyword, names, notices = (x.strip() for x in line.split(" | ", 3))
         name = "|".join(n.strip() for n in names.split(","))
-        found = [(1, 0.99, n.strip()) for n in notices.split(",")]
-        found += [(tier, weight, t.replace("{name}", name)) for tier, weight, t in TEMPLATES]
+        found = [(1, 0.99, n.strip()) for n in notices.split(",") if notices != "-"]
+        found += [(tier, weight, t.replace("{name}", name)) for tier, weight, t in TEMPLATES if names != "-"]
         out += [{"label": label, "keyword": keyword, "tier": t, "weight": w, "pattern": f" ({p})(?= )"} for t, w, p in found]
     return [{"order": k, **r} for k, r in enumerate(sorted(out, key=lambda r: r["tier"]))]
 

@@ -1,6 +1,7 @@
 """Whole samples, all places and all rows: what the operators once left out."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
-from rankflow.llm import quality, subword, toxicity
+from rankflow.llm import licenses, quality, subword, toxicity
 
 
 def crc(i):
@@ -53,3 +54,33 @@ def test_texts_without_common_words_of_their_language_are_rejected(spark):
     assert all(got[i].kept for i in [r[0] for r in rows] + list(marked) + [3000, 3001])
     plain = got[0].word_distance
     assert all(got[i].word_distance < plain + 0.1 for i in marked)
+
+
+def strings(parsed):
+    """Strings that a parsed pattern matches: each branch, repeats none or once, ends of ranges."""
+    out = [""]
+    for op, arg in parsed:
+        kind = str(op)
+        some = {"LITERAL": lambda a: [chr(a)], "IN": lambda a: [chr(x if str(o) == "LITERAL" else x[0]) for o, x in a],
+                "SUBPATTERN": lambda a: strings(a[3]), "BRANCH": lambda a: [x for b in a[1] for x in strings(b)],
+                "MAX_REPEAT": lambda a: [x * k for k in {a[0], min(a[1], max(a[0], 1))} for x in strings(a[2])], "ASSERT": lambda a: [" "]}[kind](arg)
+        out = [x + y for x in out for y in some]
+    return out
+
+
+def test_license_keywords_are_part_of_every_match():
+    for r in licenses.rules():
+        found = strings(re._parser.parse(r["pattern"]))
+        assert found and all(r["keyword"] in x and re.search(r["pattern"], x) for x in found), r
+
+
+def test_licenses_are_found_without_other_words(spark):
+    cases = [("Creative Commons Zero", "cc0"), ("CC Zero", "cc0"), ("see https://creativecommons.org/publicdomain/zero/1.0/", "cc0"),
+             ("released under the Expat license", "mit"), ("Permission is hereby granted, free of charge, to any person obtaining a copy", "mit"),
+             ("ASL 2.0", "apache-2"), ("Unless required by applicable law or agreed to in writing, software", "apache-2"), ("PSF license", "psf-2"),
+             ("made available under the Open Database License", "odbl-1"), ("Berkeley License", "bsd"), ("zero-clause BSD", "0bsd"),
+             ("Unauthorized copying of this file, via any medium, is strictly prohibited", "proprietary"), ("free and unencumbered software", "unlicense"),
+             ("No part of this book may be reproduced", "all-rights-reserved"), ("opensource.org/licenses/MS-PL", "ms-pl")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(docs).collect()}
+    assert [got[i] for i in range(len(cases))] == [x for _, x in cases]
