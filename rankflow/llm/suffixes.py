@@ -161,12 +161,13 @@ def _compared(suffixes: DataFrame, buckets: int) -> DataFrame:
         g, c, doc, pos = g[order], c[order], doc[order], pos[order]
         new_gram = np.concatenate([[True], g[1:] != g[:-1]])
         new_context = new_gram | np.concatenate([[True], c[1:] != c[:-1]])
+        new_place = new_context | np.concatenate([[True], (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1])])
         group = np.cumsum(new_gram) - 1
         contexts = np.bincount(group, new_context)
         kind = np.full(len(g), -1, np.int8)
         kind[new_context & (contexts[group] > 1)] = GOES_ON
         kind[new_context & ((group == 0) | (group == group[-1]))] = AT_END
-        kind[~new_context] = REPEATED
+        kind[new_place & ~new_context] = REPEATED  # a row listed twice has its places twice: each counts once
         for a in range(0, len(kind), 1 << 16):
             at = a + np.flatnonzero(kind[a:a + (1 << 16)] >= 0)
             yield pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (kind, g, c, doc, pos)], names=["kind", "g", "c", "doc_id", "pos"])
@@ -235,6 +236,7 @@ def _edges(contexts: DataFrame, spec: RepeatSpec) -> DataFrame:
 
     def stretches(rows):
         rows.sort(key=lambda r: (r[0], r[1]))
+        rows = [r for k, r in enumerate(rows) if not k or r[:2] != rows[k - 1][:2]]  # a row listed twice
         doc, pos, left = (np.array([r[k] for r in rows], np.int64) for k in range(3))
         low, high = np.full(len(rows), 1 << 30), np.full(len(rows), -1)
         for o, have, code in _string_codes(left, [r[3] for r in rows], spec):
@@ -310,7 +312,8 @@ def remove_repeats(docs: DataFrame, spec: RepeatSpec = RepeatSpec()) -> DataFram
 
     Bytes are those of the text as UTF-8; a null text is empty.  Strings are compared as they
     stand in the input and never cross documents.  doc_id orders documents and must tell
-    them apart: rows repeating an id with the same text are one document, listed twice.  A row
+    them apart: rows repeating an id with the same text are one document, listed twice, and each
+    has that document's result.  A row
     without an id is compared with nothing and stays whole.  Other columns don't matter.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
+from test_pairs import brute
 
-from rankflow.llm import licenses, quality, subword, toxicity
+from rankflow.llm import licenses, quality, subword, suffixes, toxicity
 
 
 def crc(i):
@@ -84,3 +85,17 @@ def test_licenses_are_found_without_other_words(spark):
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
     got = {r.doc_id: r.labels for r in licenses.scan_licenses(docs).collect()}
     assert [got[i] for i in range(len(cases))] == [x for _, x in cases]
+
+
+def test_a_row_listed_twice_keeps_its_text(spark):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    base = noise(500)
+    rows = [(1, base), (2, noise(400)), (3, noise(60) + base[100:300] + noise(60)), (4, noise(90) + base[150:280] + noise(300)), (5, "ab" * 200)]
+    rows += [(20 + i, noise(50) + base[100:180 + i] + noise(50)) for i in range(30)]
+    want = brute(rows, 100)
+    docs = spark.createDataFrame(rows + [r for r in rows if r[0] in (1, 2, 4, 5, 25)], "doc_id long, text string")
+    for spec in (suffixes.RepeatSpec(), suffixes.RepeatSpec(group=3, bucket_bytes=2000, step_bytes=700)):
+        got = suffixes.remove_repeats(docs, spec).collect()
+        assert len(got) == len(rows) + 5
+        assert all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id] for r in got)
