@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.session import materialize
+
 #: Bytes that are no part of a word become blanks; A-Z are lower-cased.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -41,7 +43,7 @@ class ContaminationRules:
 class SuffixAutomaton:
     """Generalised suffix automaton of word sequences, with what a scan asks of its states."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int) -> None:
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int) -> None:
         self.window = window
         self.names = [name for name, _ in items]
         self.vocab: dict[bytes, int] = {}
@@ -156,7 +158,7 @@ def automata(items: DataFrame, rules: ContaminationRules):
     """Yields one pickled automaton a shard (one shard at a time reaches the driver)."""
     split = F.split(F.btrim(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", " "),
                             F.lit(" ")), " ")
-    own = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("item_id").isNotNull())
+    own = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
     total = own.agg(F.sum(F.size(split))).first()[0] or 0
     n = max(1, -(-int(total) // rules.shard_words))
     window = rules.window
@@ -164,32 +166,40 @@ def automata(items: DataFrame, rules: ContaminationRules):
     def build(pdf):
         import pandas as pd
 
-        own = sorted((str(i), words_of(t)) for i, t in zip(pdf["item_id"], pdf["text"]))
+        own = [(None if pd.isna(i) else str(i), words_of(t)) for i, t in zip(pdf["item_id"], pdf["text"])]
+        own.sort(key=lambda x: (x[0] is None, x[0] or "", x[1]))
         return pd.DataFrame({"automaton": [pickle.dumps(SuffixAutomaton(own, window))]})
 
     for k in range(n):
-        shard = own.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).groupBy(F.lit(k).alias("k"))
+        shard = own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).groupBy(F.lit(k).alias("k"))
         for row in shard.applyInPandas(build, "automaton binary").toLocalIterator():
             yield row["automaton"]
 
 
-def _scan_all(docs: DataFrame, blob, key: str):
+def _scan_all(docs: DataFrame, blob, keys: list[str]):
+    """Per row: ``keys``, n_words, spans, the sorted ids of the items found, and whether an item without an id is."""
+
     def run(batches):
         automaton = pickle.loads(blob.value)
         for batch in batches:
             rows = []
-            for text in batch.column(1):
+            for text in batch.column(len(keys)):
                 words = words_of(text.as_py())
                 hit, items = automaton.scan(words)
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], hit, [0]])))
-                rows.append((len(words), edges[::2].tolist(), edges[1::2].tolist(), sorted(automaton.names[i] for i in items)))
-            n, first, end, items = list(zip(*rows)) or [()] * 4
+                found = {automaton.names[i] for i in items}
+                rows.append((len(words), edges[::2].tolist(), edges[1::2].tolist(), sorted(found - {None}), None in found))
+            n, first, end, items, unnamed = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(end, pa.list_(pa.int64())),
-                 pa.array(items, pa.list_(pa.string()))], names=[key, "n_words", "first", "end", "items"])
+                [*batch.columns[:len(keys)], pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(end, pa.list_(pa.int64())),
+                 pa.array(items, pa.list_(pa.string())), pa.array(unnamed, pa.bool_())],
+                names=[*keys, "n_words", "first", "end", "items", "unnamed"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, "text").mapInArrow(run, f"{key} {kind}, n_words long, first array<long>, end array<long>, items array<string>")
+    kinds = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in keys)
+    found = docs.select(*keys, "text").mapInArrow(
+        run, f"{kinds}, n_words long, first array<long>, end array<long>, items array<string>, unnamed boolean")
+    span = F.transform(F.arrays_zip("first", "end"), lambda x: F.struct(x["first"].alias("first"), x["end"].alias("end")))
+    return found.select(*keys, "n_words", span.alias("spans"), "items", "unnamed")
 
 
 def contamination(docs: DataFrame, items: DataFrame, rules: ContaminationRules = ContaminationRules()) -> DataFrame:
@@ -197,26 +207,27 @@ def contamination(docs: DataFrame, items: DataFrame, rules: ContaminationRules =
     n_hit, items (sorted ids of the items with windows in the text), n_items, contaminated.
 
     Null and empty texts have no words and are clean; null, empty and wordless items have no
-    windows, and items without an id are left out.  Repeated rows of one doc_id are judged
-    each when one automaton holds all items; with more automata than one, doc_id must be unique.
+    windows.  Windows of items without an id are hits as well; these items aren't in ``items`` and
+    count as one in n_items.  Each row is judged by itself, whatever its doc_id, at any number of automata.
     """
     spark = docs.sparkSession
-    parts = [_scan_all(docs, spark.sparkContext.broadcast(blob), "doc_id") for blob in automata(items, rules)]
-    span = F.transform(F.arrays_zip("first", "end"), lambda x: F.struct(x["first"].alias("first"), x["end"].alias("end")))
-    if not parts:
-        parts = [docs.select("doc_id", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<long>").alias("first"),
-                             F.array().cast("array<long>").alias("end"), F.array().cast("array<string>").alias("items"))]
-    found = parts[0].select("doc_id", "n_words", span.alias("spans"), "items")
-    if len(parts) > 1:
-        union = found
-        for p in parts[1:]:
-            union = union.union(p.select("doc_id", "n_words", span.alias("spans"), "items"))
-        found = union.groupBy("doc_id").agg(
+    blobs = [spark.sparkContext.broadcast(blob) for blob in automata(items, rules)]
+    if not blobs:  # no items: words are still counted
+        blobs = [spark.sparkContext.broadcast(pickle.dumps(SuffixAutomaton([], rules.window)))]
+    if len(blobs) == 1:
+        found = _scan_all(docs, blobs[0], ["doc_id"])
+    else:  # one key a row for all scans
+        keyed = materialize(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "keyed-rows")
+        union = None
+        for blob in blobs:
+            part = _scan_all(keyed, blob, ["row", "doc_id"])
+            union = part if union is None else union.union(part)
+        found = union.groupBy("row", "doc_id").agg(
             F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("unnamed").alias("unnamed")).drop("row")
         found = found.withColumn("spans", F.aggregate("spans", F.array().cast("array<struct<first:bigint,end:bigint>>"), _merge))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["first"])
-    found = found.withColumn("n_hit", n_hit).withColumn("n_items", F.size("items").cast("long"))
+    found = found.withColumn("n_hit", n_hit).withColumn("n_items", F.size("items").cast("long") + F.col("unnamed").cast("long")).drop("unnamed")
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= rules.percent * F.col("n_words")))
 
 

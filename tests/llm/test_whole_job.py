@@ -9,8 +9,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 from test_pairs import brute
+from test_text_rules import brute_hits
 
-from rankflow.llm import licenses, quality, subword, suffixes, toxicity
+from rankflow.llm import decontaminate, licenses, quality, subword, suffixes, toxicity
 
 
 def crc(i):
@@ -99,3 +100,22 @@ def test_a_row_listed_twice_keeps_its_text(spark):
         got = suffixes.remove_repeats(docs, spec).collect()
         assert len(got) == len(rows) + 5
         assert all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id] for r in got)
+
+
+def test_rows_are_judged_alone_at_any_number_of_automata(spark):
+    item = " ".join(f"q{i % 9}" for i in range(30))
+    items = [("b", item), ("a", "short one here"), ("c", item.upper()), ("c", "another text of c"), ("g", "q1 q2 q3 " * 6), (None, "lost words"), (None, "other lost ones")]
+    rows = [(1, item), (1, "x " * 300), (1, "x " * 300), (None, "short one here"), (None, "clean words"), (None, None), (2, "some lost words"),
+            (2, "other lost ones and lost words and q1 q2 q3"), (3, "another text of c " + item), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id string, text string")
+    want = []
+    for i, text in rows:
+        n, hit, found = brute_hits(text, [(str(k), t) for k, t in enumerate(t for _, t in items)])
+        ids = {items[int(k)][0] for k in found}
+        want.append((str(i), n, hit, sorted(ids - {None}), len(ids), hit > 0 and 20 * hit >= n))
+    for rules in (decontaminate.ContaminationRules(), decontaminate.ContaminationRules(shard_words=20)):
+        got = decontaminate.contamination(docs, table, rules).collect()
+        assert sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"], r.n_items, r.contaminated) for r in got) == sorted(want)
+    got = decontaminate.contamination(docs, table.limit(0)).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit) for r in got) == sorted((i, n, 0) for i, n, *_ in want)
