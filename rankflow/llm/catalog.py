@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import bpe, decontaminate, langid, licenses, mixing, neardup, quality, secrets, suffixes, tokens, toxicity
+from rankflow.llm import balltree, bpe, decontaminate, langid, licenses, mixing, neardup, quality, secrets, spelling, suffixes, tokens, toxicity
 from rankflow.llm.oracles import ORACLES
 
 
@@ -64,14 +64,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.public_vocabulary()
     return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents"), vocabulary), vocabulary)
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_neardup, op2_decontaminate, op3_suffixes, op4_quality, op5_language, op6_tokens, op7_mixing, op8_licenses, op9_secrets, op10_toxicity,
-                            op12_bpe)}
+                            op11_search, op12_bpe, op13_spelling)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
