@@ -4,7 +4,9 @@
 2. Documents are split once a pass; of each the number of terms and the counts of the items'
    terms are stored.  The numbers of documents and terms, and each term's, follow from these.
 3. A document's vector holds, for each term of the items, what the term adds to the score of an
-   item that has it (an integer); an item's vector is 1 for each of its terms.
+   item that has it (an integer); an item's vector is 1 for each of its terms.  For distances,
+   a term's axis is divided by the spread of its parts over all documents, and the items'
+   axis multiplied by it, which leaves inner products as they are and makes radii tighter.
 4. Documents are ranged over tasks by their two strongest terms and doc_id, so that like ones meet
    and a large group of copies is spread.  A task takes them in blocks of bounded size, and each
    block becomes a ball tree: a node knows its centroid and radius, and is split by the nearer
@@ -48,7 +50,7 @@ class SearchSpec:
     leaves of ``leaf`` documents; ``slack`` is the relative error allowed to sums of doubles."""
 
     top: int = 10
-    leaf: int = 64
+    leaf: int = 16
     block_rows: int = 8192
     block_entries: int = 1_000_000
     item_entries: int = 100_000
@@ -110,11 +112,12 @@ def term_counts(docs: DataFrame, items: Items) -> DataFrame:
 
 @dataclass(frozen=True)
 class Weights:
-    """Each term's weight, and the numbers of documents and of all their terms."""
+    """Each term's weight and the spread of its parts; the numbers of documents and of all their terms."""
 
     weight: np.ndarray
     documents: int
     total: int
+    spread: np.ndarray
 
     def parts(self, n: np.ndarray, terms: np.ndarray, counts: np.ndarray, size: np.ndarray) -> np.ndarray:
         """What each (document, term) adds to a score; ``n`` and ``size`` by document."""
@@ -127,18 +130,38 @@ def weights(stored: DataFrame, n_terms: int) -> Weights:
     weight = np.zeros(n_terms, np.int64)
     for row in stored.select(F.explode("terms").alias("term")).groupBy("term").count().collect():  # at most item_entries rows
         weight[row["term"]] = math.floor(1000 * math.log((2 * facts["documents"] + 2) / (2 * row["count"] + 1)))
-    return Weights(weight, facts["documents"], facts["total"] or 1)
+    known = Weights(weight, facts["documents"], facts["total"] or 1, np.ones(n_terms))
+
+    def sums(batches):
+        first, second = np.zeros(n_terms), np.zeros(n_terms)
+        for batch in batches:
+            lists = batch.column(1)
+            terms = lists.values.to_numpy()
+            part = known.parts(batch.column(0).to_numpy(), terms, batch.column(2).values.to_numpy(), np.diff(lists.offsets.to_numpy())).astype(np.float64)
+            first += np.bincount(terms, weights=part, minlength=n_terms)
+            second += np.bincount(terms, weights=part * part, minlength=n_terms)
+        some = np.flatnonzero(first)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(first[some]), pa.array(second[some])], names=["term", "first", "second"])
+
+    moments = stored.select("n", "terms", "counts").mapInArrow(sums, "term int, first double, second double").groupBy("term").agg(
+        F.sum("first").alias("first"), F.sum("second").alias("second"))
+    spread = np.zeros(n_terms)
+    for row in moments.collect():  # at most item_entries rows; the spread shapes the tree, not the result
+        mean = row["first"] / facts["documents"]
+        spread[row["term"]] = math.sqrt(max(row["second"] / facts["documents"] - mean * mean, 0.0))
+    return Weights(weight, facts["documents"], facts["total"] or 1, spread + 1e-6 * spread.max(initial=0) + 1)
 
 
 class BallTree:
     """A ball tree over sparse rows: ``terms`` and ``parts`` of row i lie at ``start[i]:start[i + 1]``."""
 
-    def __init__(self, start: np.ndarray, terms: np.ndarray, parts: np.ndarray, items: Items, spec: SearchSpec) -> None:
+    def __init__(self, start: np.ndarray, terms: np.ndarray, parts: np.ndarray, items: Items, spread: np.ndarray, spec: SearchSpec) -> None:
         self.items, self.spec = items, spec
         self.scored = 0  # leaves' rows that were scored, over all searches
-        real = parts.astype(np.float64)
+        real = parts / spread[terms]
         norm2 = np.add.reduceat(real * real, start[:-1])
-        norm = np.sqrt(np.diff(items.start))
+        wide = spread[items.terms]
+        norm = np.sqrt(np.add.reduceat(wide * wide, items.start[:-1]))
         order = np.arange(len(start) - 1)
         self.low, self.high, self.left, self.bound = [], [], [], []
         open_nodes = [(0, len(order), -1)]
@@ -157,7 +180,7 @@ class BallTree:
             away = norm2[rows] - 2 * np.add.reduceat(centre[t] * x, base) + centre2
             error = spec.slack * (float(norm2[rows].max()) + centre2)
             radius = math.sqrt(max(float(away.max()), 0.0) + error)
-            inner = np.add.reduceat(centre[items.terms], items.start[:-1])
+            inner = np.add.reduceat(centre[items.terms] * wide, items.start[:-1])
             self.low.append(low)
             self.high.append(high)
             self.left.append([])
@@ -282,7 +305,7 @@ def _pass(docs: DataFrame, entries: DataFrame, spec: SearchSpec) -> DataFrame |
             lists, counts = block["terms"].combine_chunks(), block["counts"].combine_chunks().flatten().to_numpy()
             size, terms = lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy().astype(np.int64)
             parts = facts.parts(block["n"].to_numpy(), terms, counts, size)
-            tree, doc_ids = BallTree(np.concatenate([[0], np.cumsum(size)]), terms, parts, items, spec), block["doc_id"].to_pylist()
+            tree, doc_ids = BallTree(np.concatenate([[0], np.cumsum(size)]), terms, parts, items, facts.spread, spec), block["doc_id"].to_pylist()
             for item in range(len(items.ids)):
                 tree.search(item, best, doc_ids)
         found = [(item, None if none else doc_id, -less) for item, own in enumerate(best.lists) for less, none, doc_id in own]

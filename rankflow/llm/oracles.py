@@ -20,4 +20,54 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
-ORACLES = {"op2_decontaminate": OP2}
+# Terms of the search contract.
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+s AS (SELECT count(*) AS nn, sum(len(w)) AS ll FROM d WHERE len(w) > 0),
+dt AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM dt GROUP BY 1),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM f, s),
+it AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+p AS (SELECT it.item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * nn) // ll))))) AS score
+      FROM it JOIN dt USING (term) JOIN w USING (term), s GROUP BY ALL),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM p WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM k WHERE rank <= 10"""
+
+
+def _crc_table() -> list[int]:
+    """The table of crc32 for the reflected polynomial EDB88320."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+# Words one edit apart share what is left of them after a deletion, or one is what is left of the other.
+OP13 = f"""
+WITH RECURSIVE runs AS (SELECT id, run, count(*) AS n FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+tab AS (SELECT {_crc_table()}::UBIGINT[] AS t),
+coded AS (SELECT run, n, hex(encode(id || ':' || run)) AS x FROM runs),
+hashed AS (SELECT run, n, xor(list_reduce(
+      list_prepend(4294967295::UBIGINT, list_transform(range(1, length(x) // 2 + 1), lambda i: CAST('0x' || substr(x, CAST(2 * i - 1 AS BIGINT), 2) AS UBIGINT))),
+      lambda c, b: xor(t[CAST(xor(c, b) & 255 AS BIGINT) + 1], c >> 8)), 4294967295::UBIGINT) AS h FROM coded, tab),
+cut AS (SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word FROM hashed),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+del AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM v)),
+pair AS (SELECT a.word AS u, b.word AS w, b.n AS wn FROM del a JOIN del b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+         UNION SELECT a.word, v.word, v.n FROM del a JOIN v ON a.rest = v.word
+         UNION SELECT v.word, a.word, a.n FROM del a JOIN v ON a.rest = v.word),
+near AS (SELECT u AS word, count(*) AS n_near, max(wn) AS most FROM pair GROUP BY 1),
+best AS (SELECT near.word, n_near, most, min(w) AS nearest FROM near JOIN pair ON near.word = pair.u AND pair.wn = most GROUP BY ALL),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * v.n THEN nearest END AS form, CASE WHEN most >= 10 * v.n THEN most END AS form_n
+      FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS at, form AS next FROM f UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON walk.next = f.word)
+SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n FROM f JOIN walk ON f.word = walk.word WHERE walk.next IS NULL"""
+
+ORACLES = {"op2_decontaminate": OP2, "op11_search": OP11, "op13_spelling": OP13}
