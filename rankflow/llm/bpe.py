@@ -2,12 +2,14 @@
 
 1. Texts are split by the vocabulary's pattern; each match (a word) is encoded by itself.
 2. Words are counted, and the most frequent ones become a dictionary of bounded size:
-   word -> ids, computed once.  Rarer words are encoded in their rows, each once a text.
+   word -> ids, computed once; its rarer part by 128-bit hashes of the words in place of the
+   words.  Words that it lacks are encoded in their rows, each once a text.
 3. A word is encoded by higher-order functions.  Its bytes stand as the characters
-   U+0000..U+00FF of a string, each piece between two marks above that range.  A step of the
-   fold looks up the ranks of all neighbours joined, and joins the pair of least rank
-   wherever it stands.  The ranks are a literal: an array of small maps, chosen by crc32.
-4. Decoding looks up each id's piece and concatenates the pieces' bytes.
+   U+0000..U+00FF.  A step of the fold joins the leftmost pair of least rank.  The ranks are
+   a literal: an array of small maps, chosen by crc32.
+4. Long words keep their pieces in one string, between marks above U+00FF, and a step joins
+   the pair wherever it stands.
+5. Decoding looks up each id's piece and concatenates the pieces' bytes.
 
 Joining one pair everywhere equals joining the leftmost pair again and again as long as the
 merges that build a token rise in rank (``merges_rise``, tested for the public vocabulary):
@@ -21,19 +23,23 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import json
 import math
+import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import release_memory, steps
+from rankflow.llm.common import release_memory, steps, text_bytes
 from rankflow.session import materialize
 
 #: Marks around a piece, above the 256 characters that stand for bytes.
@@ -41,27 +47,41 @@ OPEN, CLOSE = "Ā", "ā"
 BYTES = "ISO-8859-1"
 
 
+#: White space, and a coarser split that keeps it as the patterns of rank files do: runs of other
+#: characters with a blank before them, and what white space is left.  Words never cross its parts.
+_WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+COARSE = f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
+#: Signs that are one word together when they end a part.
+SIGNS = ".,!?;:)\"%&*#$"
+
+
 @dataclass(frozen=True)
 class EncodeSpec:
-    """The dictionary holds at most ``words`` words of at most ``word_bytes`` bytes.  A task counts
-    at most ``counted`` distinct words before it hands them on."""
+    """The dictionary holds at most ``words`` words of at most ``word_bytes`` bytes as such, and
+    ``hashed`` rarer ones by their hashes.  A task counts about ``counted`` distinct parts of texts
+    before it hands them on, and remembers the ids of ``held`` parts of several words.  Words
+    above ``short`` bytes (255 at most) keep their pieces in one string."""
 
-    words: int = 1 << 19
+    words: int = 1 << 17
+    hashed: int = 1 << 21
     word_bytes: int = 64
-    counted: int = 300_000
-    shards: int = 1 << 14
+    counted: int = 200_000
+    held: int = 50_000
+    short: int = 64
 
 
 class Vocabulary:
     """Ranks of byte strings (the rank is the id) and the pattern that splits texts."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, shards: int = EncodeSpec.shards) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, coarse: str | None = COARSE, shards: int = 1 << 14) -> None:
+        """``coarse``: a quicker split whose parts hold whole matches of ``pattern``; None if there is none.
+        ``shards``: a power of two."""
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the ranks lack the single bytes {missing[:5]}")
         if len(set(ranks.values())) < len(ranks):
             raise ValueError("two byte strings have the same rank")
-        self.ranks, self.pattern, self.shards = ranks, pattern, shards
+        self.ranks, self.pattern, self.coarse, self.shards = ranks, pattern, coarse, shards
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Vocabulary:
@@ -91,12 +111,12 @@ class Vocabulary:
             maps[zlib.crc32(text.encode()) % self.shards][text] = rank
         return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
 
-    def piece_list(self) -> Column:
-        """The literal of pieces by id; an id without a piece is null."""
-        pieces: list[str | None] = [None] * (max(self.ranks.values()) + 1)
+    def pieces(self) -> list[bytes | None]:
+        """Pieces by id; an id without a piece is null."""
+        out: list[bytes | None] = [None] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
-            pieces[rank] = token.decode(BYTES)
-        return F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+            out[rank] = token
+        return out
 
 
 def _let(value: Column, use) -> Column:
@@ -104,12 +124,48 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def fold_merges(word: Column, vocabulary: Vocabulary) -> Column:
+def fold_merges(word: Column, vocabulary: Vocabulary, short: int = EncodeSpec.short) -> Column:
     """Ids of a string column's bytes, taken as one word; an empty word has none."""
-    maps = vocabulary.rank_map()
 
-    def rank(piece: Column) -> Column:
-        return F.try_element_at(F.get(maps, (F.crc32(piece) % vocabulary.shards).cast("int")), piece)
+    def encoded(text: Column, maps: Column) -> Column:
+        def rank(piece: Column) -> Column:
+            return F.try_element_at(F.get(maps, F.crc32(piece).bitwiseAND(vocabulary.shards - 1).cast("int")), piece)
+
+        n = F.length(text)
+        folded = F.when(n <= short, _fold_pieces(text, rank)).otherwise(_fold_marked(text, rank))
+        whole = _let(rank(text), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(folded))
+        return F.when(n == 0, F.array().cast("array<int>")).otherwise(whole)
+
+    text = F.decode(F.encode(word, "UTF-8"), BYTES)
+    return _let(vocabulary.rank_map(), lambda maps: _let(text, lambda t: encoded(t, maps)))  # the literal stands once in the plan
+
+
+def _fold_pieces(text: Column, rank) -> Column:
+    """The fold over an array of pieces beside the best join: rank * 256 + place, null if there is none."""
+
+    def state(pieces: Column) -> Column:
+        def best(p: Column) -> Column:
+            return F.array_min(F.transform(p, lambda x, i: rank(F.concat(x, F.get(p, i + 1))) * 256 + i))
+
+        return _let(pieces, lambda p: F.struct(p.alias("p"), best(p).alias("best")))
+
+    def merge(acc: Column) -> Column:
+        p = acc["p"]
+
+        def join(at: Column) -> Column:
+            return F.transform(F.slice(p, F.lit(1), F.size(p) - 1), lambda x, i: F.when(i < at, x).when(
+                i == at, F.concat(x, F.get(p, i + 1))).otherwise(F.get(p, i + 1)))
+
+        return state(_let(acc["best"] % 256, join))
+
+    n = F.length(text)
+    first = state(F.transform(F.sequence(F.lit(1), n), lambda i: text.substr(i, F.lit(1))))
+    return F.aggregate(F.sequence(F.lit(1), n), first, lambda acc, _: F.when(acc["best"].isNull(), acc).otherwise(merge(acc)),
+                       lambda acc: F.transform(acc["p"], rank))
+
+
+def _fold_marked(text: Column, rank) -> Column:
+    """The fold over a string of marked pieces; a step joins the pair of least rank everywhere."""
 
     def parts(state: Column) -> Column:
         return F.split(state.substr(F.lit(2), F.length(state) - 2), CLOSE + OPEN)
@@ -129,37 +185,26 @@ def fold_merges(word: Column, vocabulary: Vocabulary) -> Column:
 
         return _let(_let(parts(state), best), join)
 
-    def encoded(text: Column) -> Column:
-        first = F.struct(F.regexp_replace(text, "(?s)(.)", f"{OPEN}$1{CLOSE}").alias("pieces"), F.lit(False).alias("done"))
-        folded = F.aggregate(F.sequence(F.lit(2), F.length(text)), first, lambda acc, _: F.when(acc["done"], acc).otherwise(merge(acc["pieces"])),
-                             lambda acc: F.transform(parts(acc["pieces"]), rank))
-        whole = _let(rank(text), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(folded))
-        return F.when(F.length(text) == 0, F.array().cast("array<int>")).otherwise(whole)
-
-    return _let(F.decode(F.encode(word, "UTF-8"), BYTES), encoded)
-
-
-def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The bytes of a column of ids: their pieces one after the other.  An unknown id fails."""
-    pieces = vocabulary.piece_list()
-    known = F.transform(ids, lambda i: F.coalesce(F.get(pieces, i), F.raise_error(F.lit("an id is not in the vocabulary")).cast("string")))
-    return F.encode(F.array_join(known, ""), BYTES)
+    first = F.struct(F.regexp_replace(text, "(?s)(.)", f"{OPEN}$1{CLOSE}").alias("pieces"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(2), F.length(text)), first, lambda acc, _: F.when(acc["done"], acc).otherwise(merge(acc["pieces"])),
+                       lambda acc: F.transform(parts(acc["pieces"]), rank))
 
 
 def word_counts(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSpec(), text: str = "text") -> DataFrame:
     """``word, n``: the words that occur twice or more and fit the dictionary."""
-    pattern, limit, room = vocabulary.pattern, spec.word_bytes, spec.counted
+    pattern, coarse, limit, room = vocabulary.pattern, vocabulary.coarse, spec.word_bytes, spec.counted
 
     def run(batches):
         find, counts = regex.compile(pattern).findall, Counter()
+        split = re.compile(coarse).findall if coarse else find
         for batch in batches:
             for part in steps(batch, 0):
                 for t in part.column(0).to_pylist():
-                    counts.update(find(t))
+                    counts.update(split(t))
                 if len(counts) >= room:
-                    yield _counted(counts, limit)
+                    yield _counted(counts, find, bool(coarse), limit)
                     counts = Counter()
-        yield _counted(counts, limit)
+        yield _counted(counts, find, bool(coarse), limit)
         counts = None
         release_memory()
 
@@ -167,91 +212,253 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = Enco
         F.sum("n").alias("n")).where("n > 1")
 
 
-def _counted(counts: Counter, limit: int) -> pa.RecordBatch:
+def _words_of(part: str, find, coarse: bool):
+    """The words of a part: one, or one and signs, without the pattern where that is plain."""
+    if coarse:
+        if part.isalpha() or part[1:].isalpha() and part[0] == " ":
+            return (part,)
+        body = part.rstrip(SIGNS)
+        if body != part and (body.isalpha() or body[1:].isalpha() and body[0] == " "):
+            return body, part[len(body):]
+    return find(part)
+
+
+def _counted(parts: Counter, find, coarse: bool, limit: int) -> pa.RecordBatch:
+    counts: Counter = Counter()
+    for part, n in parts.items():
+        for word in _words_of(part, find, coarse):
+            counts[word] += n
     kept = [(w, n) for w, n in counts.items() if len(w) * 4 <= limit or len(w.encode()) <= limit]
     return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], names=["word", "n"])
 
 
-def dictionary(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSpec(), text: str = "text") -> dict[str, bytes]:
-    """Ids (32-bit little-endian) of the most frequent words, at most ``spec.words``: words of one
-    step of the frequency scale (an eighth of a doubling) are taken together or not at all."""
+def _hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits of each word's hash."""
+    raw = np.frombuffer(b"".join([xxhash.xxh3_128_digest(w.encode()) for w in words]), "<i8")
+    return raw[::2], raw[1::2].astype(np.int32)
+
+
+class Dictionary:
+    """Frequent words and their ids, and rarer words' hashes (sorted) and ids.  Ids are binary, of 2
+    bytes each if the vocabulary allows, else of 4."""
+
+    def __init__(self, plain: pa.Table, hashed: pa.Table, kind: str) -> None:
+        """``plain``: word, ids; ``hashed``: h1 in ascending order, h2, ids."""
+        self.kind = kind
+        self.words, self.ids = plain["word"].combine_chunks(), plain["ids"].combine_chunks()
+        self.h1, self.h2, self.hashed_ids = hashed["h1"].to_numpy(), hashed["h2"].to_numpy(), hashed["ids"].combine_chunks()
+        self._codes = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_codes": None}
+
+    def codes(self, find, coarse: bool, room: int) -> _Codes:
+        """The frequent words as a mapping, opened once a worker."""
+        if self._codes is None:
+            data, off = text_bytes(self.ids)
+            raw, at = data.view(self.kind).astype("<i4").tobytes(), (off * 4 // np.dtype(self.kind).itemsize).tolist()
+            self._codes = _Codes({w: raw[a:b] for w, a, b in zip(self.words.to_pylist(), at, at[1:])}, find, coarse, room)
+        self._codes.end_text()
+        return self._codes
+
+    def look_up(self, words: list[str]) -> tuple[np.ndarray, pa.ListArray]:
+        """Which words aren't among the hashed ones, and the ids of the others (else null)."""
+        if not len(self.h1) or not words:
+            return np.ones(len(words), bool), pa.array([None] * len(words), pa.list_(pa.int32()))
+        h1, h2 = _hashes(words)
+        at = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
+        lacking = (self.h1[at] != h1) | (self.h2[at] != h2)
+        data, off = text_bytes(self.hashed_ids.take(pa.array(at)))
+        size = np.dtype(self.kind).itemsize
+        ids = pa.ListArray.from_arrays(pa.array((off // size).astype(np.int32)), pa.array(data.view(self.kind).astype(np.int32)), mask=pa.array(lacking))
+        return lacking, ids
+
+
+def dictionary(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSpec(), text: str = "text") -> Dictionary:
+    """The most frequent words: words of one step of the frequency scale (an eighth of a doubling) are
+    taken together or not at all."""
     step = F.floor(F.log2("n") * 8).cast("int")
     counts = materialize(word_counts(docs, vocabulary, spec, text).withColumn("step", step), "bpe-words")
-    least, total = None, 0
+    least, plain, total = None, None, 0
     for row in counts.groupBy("step").count().orderBy(F.desc("step")).collect():  # 8 rows a doubling of the frequency
         total += row["count"]
-        if total > spec.words:
+        if total <= spec.words:
+            plain = row["step"]
+        if total > spec.words + spec.hashed:
             break
         least = row["step"]
-    if least is None:
-        return {}
-    hot = counts.where(F.col("step") >= least).select("word").repartition(docs.sparkSession.sparkContext.defaultParallelism * 4, "word")
-    made = hot.select("word", fold_merges(F.col("word"), vocabulary).alias("ids")).toArrow()  # at most spec.words short words
-    ids = made["ids"].combine_chunks()
-    raw, at = ids.flatten().to_numpy().astype("<i4").tobytes(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]) * 4
-    return {w: raw[a:b] for w, a, b in zip(made["word"].to_pylist(), at.tolist(), at[1:].tolist())}
+    kind = "<u2" if max(vocabulary.ranks.values()) < 1 << 16 else "<u4"
+
+    def packed(batches):
+        for batch in batches:
+            h1, h2 = _hashes(batch.column(0).to_pylist())
+            word, lists = pc.if_else(batch.column(1), batch.column(0), None), batch.column(2)
+            off = (lists.offsets.to_numpy() * np.dtype(kind).itemsize).astype(np.int32)
+            raw = pa.py_buffer(lists.values.to_numpy().astype(kind).tobytes())
+            ids = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(off), raw])
+            yield pa.RecordBatch.from_arrays([word, pa.array(h1), pa.array(h2), ids], names=["word", "h1", "h2", "ids"])
+
+    taken = counts.where(F.col("step") >= least) if least is not None else counts.limit(0)
+    spread = taken.select("word", (F.col("step") >= plain if plain is not None else F.lit(False)).alias("plain")).repartition(
+        docs.sparkSession.sparkContext.defaultParallelism * 4, "word")
+    made = spread.select("word", "plain", fold_merges(F.col("word"), vocabulary, spec.short).alias("ids"))
+    made = materialize(made.mapInArrow(packed, "word string, h1 long, h2 int, ids binary"), "bpe-ids")
+    return Dictionary(made.where("word IS NOT NULL").select("word", "ids").toArrow(),  # at most spec.words rows
+                      made.where("word IS NULL").select("h1", "h2", "ids").orderBy("h1").toArrow(), kind)  # at most spec.hashed rows
 
 
 class _Codes(dict):
-    """The dictionary, which gives a word that it lacks a number of its own: -1, -2, ... a text."""
+    """Ids of parts of texts.  Words that the dictionary lacks have numbers of their own, -1, -2, ...
+    in each text, and parts with such words are forgotten after it."""
 
-    def __init__(self, known: dict[str, bytes]) -> None:
+    def __init__(self, known: dict[str, bytes], find, coarse: bool, room: int) -> None:
         super().__init__(known)
-        self.rare: list[str] = []
-
-    def __missing__(self, word: str) -> bytes:
-        self.rare.append(word)
-        code = self[word] = (-len(self.rare)).to_bytes(4, "little", signed=True)
+        self.find, self.coarse, self.room = find, coarse, room
+        self.rare: dict[str, bytes] = {}
+        self.held: list[str] = []
+        self.passing: list[str] = []
+
+    def __missing__(self, part: str) -> bytes:
+        words = _words_of(part, self.find, self.coarse)
+        if len(words) == 1:
+            return self._rare(part) if words[0] == part else self[words[0]]
+        codes, lacking = [], False
+        for word in words:
+            code = self.get(word)
+            if code is None:
+                lacking, code = True, self._rare(word)
+            codes.append(code)
+        (self.passing if lacking else self.held).append(part)
+        joined = self[part] = b"".join(codes)
+        return joined
+
+    def _rare(self, word: str) -> bytes:
+        code = self.rare.get(word)
+        if code is None:
+            code = self.rare[word] = (-1 - len(self.rare)).to_bytes(4, "little", signed=True)
         return code
 
-    def take_rare(self) -> list[str]:
-        rare, self.rare = self.rare, []
-        for word in rare:
-            del self[word]
+    def end_text(self) -> list[str]:
+        """The words that the text has and the dictionary lacks."""
+        rare = list(self.rare)
+        for part in self.passing:
+            del self[part]
+        if len(self.held) >= self.room:
+            for part in self.held:
+                del self[part]
+            self.held.clear()
+        self.rare.clear()
+        self.passing.clear()
         return rare
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSpec(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, ids``: one row per document."""
-    shared = docs.sparkSession.sparkContext.broadcast(dictionary(docs, vocabulary, spec, text))  # at most spec.words short words
-    pattern, kind = vocabulary.pattern, docs.schema[doc_id].dataType.simpleString()
+def _coded(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec, text: str, doc_id: str) -> DataFrame:
+    """``doc_id, ids, rare``: ids below 0 stand for the ids of words without a place of their own."""
+    shared = docs.sparkSession.sparkContext.broadcast(dictionary(docs, vocabulary, spec, text))  # at most words + hashed short words
+    pattern, coarse, room, kind = vocabulary.pattern, vocabulary.coarse, spec.held, docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
-        find, codes = regex.compile(pattern).findall, _Codes(shared.value)
+        find = regex.compile(pattern).findall
+        split = re.compile(coarse).findall if coarse else find
+        known = shared.value
+        codes = known.codes(find, bool(coarse), room)
         for batch in batches:
             for part in steps(batch, 0):
-                found, rare = [], []
+                found, rare, size = [], [], [0]
                 for t in part.column(0).to_pylist():
-                    found.append(b"".join(map(codes.__getitem__, find(t))))
-                    rare.append(codes.take_rare())
-                size = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(size), pa.array(np.frombuffer(b"".join(found), "<i4")))
-                yield pa.RecordBatch.from_arrays([part.column(1), ids, pa.array(rare, pa.list_(pa.string()))], names=["doc_id", "ids", "rare"])
-        codes = None
+                    found.append(b"".join(map(codes.__getitem__, split(t))))
+                    rare += codes.end_text()
+                    size.append(len(rare))
+                lacking, ids = known.look_up(rare)
+                at = pa.array(np.array(size, np.int32))
+                words = pc.if_else(pa.array(lacking), pa.array(rare, pa.string()), None)
+                yield pa.RecordBatch.from_arrays([part.column(1), _id_lists(found), pa.ListArray.from_arrays(at, words), pa.ListArray.from_arrays(at, ids)],
+                                                 names=["doc_id", "ids", "words", "known"])
         release_memory()
 
     split = docs.select(F.coalesce(text, F.lit("")).alias("text"), F.col(doc_id).alias("doc_id")).mapInArrow(
-        run, f"doc_id {kind}, ids array<int>, rare array<string>")
-    filled = _let(F.transform("rare", lambda w: fold_merges(w, vocabulary)),
-                  lambda own: F.flatten(F.transform("ids", lambda i: F.when(i >= 0, F.array(i)).otherwise(F.get(own, -i - 1)))))
-    return split.select("doc_id", F.when(F.size("rare") == 0, F.col("ids")).otherwise(filled).alias("ids"))
+        run, f"doc_id {kind}, ids array<int>, words array<string>, known array<array<int>>")
+    filled = F.zip_with("words", "known", lambda w, ids: F.when(w.isNull(), ids).otherwise(fold_merges(w, vocabulary, spec.short)))
+    return split.select("doc_id", "ids", filled.alias("rare"))
+
+
+def _id_lists(raw: list[bytes]) -> pa.ListArray:
+    size = np.cumsum([0, *(len(x) // 4 for x in raw)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(size), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+
+
+def _whole_ids(batches):
+    """(doc_ids, all ids, where each document's ids start) of batches of ``_coded``, rare words filled
+    in, in steps of rows."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, 256):
+            part = batch.slice(low, 256)
+            lists, words = part.column(1), part.column(2)
+            ids, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            place = np.flatnonzero(ids < 0)
+            if len(place):
+                own = words.flatten()
+                first = np.cumsum(words.value_lengths().to_numpy()) - words.value_lengths().to_numpy()
+                word = first[np.searchsorted(at, place, side="right") - 1] - ids[place] - 1
+                many = own.value_lengths().to_numpy().astype(np.int64)
+                size = np.ones(len(ids), np.int64)
+                size[place] = many[word]
+                start = np.concatenate([[0], np.cumsum(size)])
+                inside = np.arange(size[place].sum()) - np.repeat(np.cumsum(size[place]) - size[place], size[place])
+                ids = np.repeat(ids, size)
+                ids[np.repeat(start[place], many[word]) + inside] = own.flatten().to_numpy()[np.repeat((np.cumsum(many) - many)[word], many[word]) + inside]
+                at = start[at]
+            yield part.column(0), ids, at
 
 
-def digests(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Per row of ``encode``: the number of ids and SHA-256 of the ids (32-bit little-endian) and of
-    the decoded bytes."""
+def encode(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSpec(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``doc_id, ids``: one row per document."""
+
+    def run(batches):
+        for doc_ids, ids, at in _whole_ids(batches):
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))], names=["doc_id", "ids"])
+        release_memory()
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    return _coded(docs, vocabulary, spec, text, doc_id).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``doc_id, bytes``: each row's pieces one after the other.  An unknown id fails."""
+    pieces, kind = vocabulary.pieces(), encoded.schema["doc_id"].dataType.simpleString()
+
     def run(batches):
         for batch in batches:
-            lists = batch.column(1)
-            flat, at = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
-            sums = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(sums, pa.string()), batch.column(2)],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_joined(ids.values.to_numpy(), pieces) for ids in batch.column(1)], pa.binary())],
+                                             names=["doc_id", "bytes"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, bytes binary")
+
+
+def _joined(ids: np.ndarray, pieces: list[bytes | None]) -> bytes:
+    if len(ids) and (ids.min() < 0 or ids.max() >= len(pieces)):
+        raise ValueError("an id is not in the vocabulary")
+    try:
+        return b"".join(map(pieces.__getitem__, ids.tolist()))
+    except TypeError as e:
+        raise ValueError("an id is not in the vocabulary") from e
+
+
+def digests(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSpec()) -> DataFrame:
+    """Per document: the number of ids, and SHA-256 of the ids (32-bit little-endian) and of the bytes
+    that they decode to."""
+    pieces, kind = vocabulary.pieces(), docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for doc_ids, ids, at in _whole_ids(batches):
+            raw = memoryview(ids.astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [doc_ids, pa.array(np.diff(at)), pa.array([hashlib.sha256(raw[4 * a:4 * b]).hexdigest() for a, b in itertools.pairwise(at.tolist())], pa.string()),
+                 pa.array([hashlib.sha256(_joined(ids[a:b], pieces)).hexdigest() for a, b in itertools.pairwise(at.tolist())], pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         release_memory()
 
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids", F.sha2(decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _coded(docs, vocabulary, spec, "text", "doc_id").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def public_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> Vocabulary:

@@ -69,8 +69,7 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = bpe.public_vocabulary()
-    return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return bpe.digests(_table(spark, sf_dir, "documents"), bpe.public_vocabulary())
 
 
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,15 +31,14 @@ def test_a_vocabulary_whose_merges_fall_is_told_apart():
         bpe.Vocabulary({b"a": 0}, ".")
 
 
-@pytest.mark.parametrize("words", [1, 40, 1 << 19])  # nearly all words rare, some, none
-def test_ids_equal_the_library(spark, odd, vocabulary, library, words):
+@pytest.mark.parametrize("words, hashed", [(0, 0), (40, 3000), (1 << 18, 1 << 21)])  # all words in rows, some in each place, none in rows
+def test_ids_equal_the_library(spark, odd, vocabulary, library, words, hashed):
     texts = ["it's  a\t\ttest\n\n  of x1234567 'LL we'll", "é" * 300, "=" * 1000 + " " * 99, "日本語テキスト 𝔘𝔫𝔦 \u0000Āā ĀāĀ", "<|endoftext|>",
              "aaa aaa aaa bbb aaa", "a" * 5000, "zqxjk" * 40, "ñandú  x", "\r\n", "'s't're"]
     docs = odd.select("doc_id", "text").union(spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
-    rows = bpe.encode(docs, vocabulary, bpe.EncodeSpec(words=words)).withColumn("bytes", bpe.decode(F.col("ids"), vocabulary)).collect()
-    by_ids = sorted((r.doc_id or -1, list(r.ids), bytes(r.bytes)) for r in rows)
-    want = sorted((r.doc_id or -1, library.encode_ordinary(r.text or ""), (r.text or "").encode()) for r in docs.collect())
-    assert by_ids == want
+    encoded = bpe.encode(docs, vocabulary, bpe.EncodeSpec(words=words, hashed=hashed, held=words, short=5 if words == 40 else 64)).persist()
+    assert sorted((r.doc_id or -1, list(r.ids)) for r in encoded.collect()) == sorted((r.doc_id or -1, library.encode_ordinary(r.text or "")) for r in docs.collect())
+    assert sorted((r.doc_id or -1, bytes(r.bytes)) for r in bpe.decode(encoded, vocabulary).collect()) == sorted((r.doc_id or -1, (r.text or "").encode()) for r in docs.collect())
 
 
 def test_query_digests(spark, sf, library):
@@ -53,6 +52,17 @@ def test_query_digests(spark, sf, library):
 
 
 def test_empty_table_and_unknown_ids(spark, empty, vocabulary):
-    assert bpe.digests(bpe.encode(empty, vocabulary), vocabulary).count() == 0
-    with pytest.raises(Exception, match="not in the vocabulary"):
-        spark.range(1).select(bpe.decode(F.array(F.lit(50256)), vocabulary)).collect()
+    assert bpe.digests(empty, vocabulary).count() == 0
+    for wrong in (50256, -1):
+        with pytest.raises(Exception, match="not in the vocabulary"):
+            bpe.decode(spark.range(1).select(F.col("id").alias("doc_id"), F.array(F.lit(wrong)).alias("ids")), vocabulary).collect()
+
+
+def test_coarse_parts_hold_whole_words(vocabulary):
+    """For every character: the pattern splits the coarse parts as it splits the text."""
+    import regex
+
+    find, coarse = regex.compile(vocabulary.pattern).findall, regex.compile(vocabulary.coarse)
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x32000)]):
+        for text in (f"a{c}b {c} {c}1  {c}!\n{c}{c} \u2003x", f"{c} {c}"):
+            assert find(text) == [w for part in coarse.findall(text) for w in bpe._words_of(part, find, True)], hex(ord(c))
