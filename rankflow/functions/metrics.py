@@ -76,10 +76,13 @@ def format_fixed(c: Column | str, digits: int = 2) -> Column:
 
     ``format_number`` rounds the exact binary value half-to-even (Java's
     ``%.2f`` rounds the shortest decimal text half-up, so 1.125 would print
-    1.13 where Python prints 1.12); its grouping commas are removed.
+    1.13 where Python prints 1.12); its grouping commas are removed.  Values
+    that are no finite number print as in Python: ``inf``, ``-inf``, ``nan``.
     """
     v = _c(c).cast("double")
-    return F.replace(F.format_number(v, digits), F.lit(","), F.lit(""))
+    text = F.replace(F.format_number(v, digits), F.lit(","), F.lit(""))
+    infinite = F.abs(v) == F.lit(float("inf"))
+    return F.when(F.isnan(v), "nan").when(infinite, F.when(v > 0, "inf").otherwise("-inf")).otherwise(text)
 
 
 def format_2dp(c: Column | str) -> Column:
@@ -90,7 +93,9 @@ def format_2dp(c: Column | str) -> Column:
 def round_half_even(c: Column | str, digits: int = 2) -> Column:
     """f35: Python's ``round(x, digits)``: half-to-even on the exact binary value
     (0.125 -> 0.12, 0.675 -> 0.68, 0.575 -> 0.57)."""
-    return format_fixed(c, digits).cast("double")
+    v = _c(c).cast("double")
+    finite = ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
+    return F.when(finite, format_fixed(v, digits).cast("double")).otherwise(v)
 
 
 def snapshot_stamp(at: Column | None = None, fmt: str = "yyyyMMddHH") -> Column:

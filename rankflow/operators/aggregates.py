@@ -21,6 +21,17 @@ def dedupe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.dropDuplicates(list(cols)) if cols else df.distinct()
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the least in the order of the other columns, so reruns agree (null keys are
+    equal).  Columns that have no order are compared as JSON."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    order = [F.to_json(F.struct(c)) if "map<" in df.schema[c].dataType.simpleString() else F.col(c) for c in rest]
+    least = F.min_by(F.struct(*rest), F.struct(*order)).alias("_least")
+    return df.groupBy(*keys).agg(least).select(*keys, "_least.*").select(*df.columns)
+
+
 def regroup_tokens(exploded: DataFrame, keys: Sequence[str], token: str = "keyword",
                    pos: str = "pos", out: str = "keywords") -> DataFrame:
     """a03: rebuild an array per key from exploded rows, in ``pos`` order.

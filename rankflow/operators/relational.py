@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.functions.metrics import stamp_prefix
+from rankflow.operators.aggregates import one_per_key
 
 SNAPSHOT_KEY = ("productId", "date")
 
@@ -85,15 +86,14 @@ def join_snapshots(ranking: DataFrame, detail: DataFrame,
                    keys: Sequence[str] = SNAPSHOT_KEY) -> DataFrame:
     """j01: inner join of ranking and detail snapshots on the composite key.
 
-    Detail rows are de-duplicated on the key first (a product can appear in
+    Detail rows are reduced to one per key first, the least (a product can appear in
     several category files, which would fan the join out), and a detail-side
     ``totalSales`` is kept as ``detailTotalSales`` so the ranking side wins.
     """
     d = detail
     if "totalSales" in d.columns and "totalSales" in ranking.columns:
         d = d.withColumnRenamed("totalSales", "detailTotalSales")
-    d = d.dropDuplicates(list(keys))
-    return ranking.join(d, on=list(keys), how="inner")
+    return ranking.join(one_per_key(d, keys), on=list(keys), how="inner")
 
 
 def join_on(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
@@ -111,8 +111,15 @@ def join_keywords(rankings: DataFrame, keywords: DataFrame, key: str = "productI
     return rankings.join(k, on=key, how="inner")
 
 
+def without_keys(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``new`` whose key ``stored`` lacks; a null key equals a null key."""
+    same = [F.col(f"n.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    return new.alias("n").join(stored.select(*keys).alias("s"), functools.reduce(lambda a, b: a & b, same), "left_anti").select("n.*")
+
+
 def not_yet_collected(new: DataFrame, done: DataFrame, keys: Sequence[str] = SNAPSHOT_KEY) -> DataFrame:
-    """j05: rows of ``new`` whose key is absent from ``done`` (left anti join)."""
+    """j05: rows of ``new`` whose key is absent from ``done`` (left anti join).  As in SQL a null key
+    equals none, so such rows are always to be collected; :func:`without_keys` is null-safe."""
     return new.join(done.select(*keys), on=list(keys), how="left_anti")
 
 

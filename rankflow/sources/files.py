@@ -15,31 +15,28 @@ from pyspark.sql import types as T
 
 from rankflow import schemas
 from rankflow.functions.metrics import format_2dp
+from rankflow.operators.aggregates import one_per_key
+from rankflow.operators.relational import without_keys
+from rankflow.sources.records import read_records
 
 # Fixed value: category file-name pattern ("20241127-ranking-bags-summary.csv").
 CATEGORY_FROM_FILE = "ranking-(.*?)-summary\\.csv"
 UNKNOWN_CATEGORY = "unknown"
 
 
-def _reader(spark: SparkSession):
-    # BOM-prefixed UTF-8 headers are handled by the CSV reader.
-    return (spark.read.option("header", True).option("encoding", "UTF-8")
-            .option("mode", "PERMISSIVE").option("multiLine", False))
+#: Every column that a snapshot file may name.
+KNOWN_COLUMNS = tuple(dict.fromkeys(f.name for s in (schemas.RANKING, schemas.DETAIL) for f in s.fields))
 
 
 def read_snapshot(spark: SparkSession, path: str | Sequence[str], kind: str = "ranking") -> DataFrame:
     """s01: CSV snapshot(s) with header, conformed by name to the fixed schema.
 
-    Each path's header is read as text columns and conformed by name, so paths whose
-    header differs in case (``ProductID``) or column order still line up.  (Files of one
-    folder must share a header; :func:`read_by_file_header` reads those that don't.)
+    Each file is read through its own header, so files whose header differs in case
+    (``ProductID``) or column order line up, and quoted fields may hold newlines
+    (``sources.records``).
     """
-    read = [schemas.conform(schemas.normalise_columns(_reader(spark).csv(p)), schemas.SCHEMAS[kind])
-            for p in ([path] if isinstance(path, str) else path)]
-    out = read[0]
-    for other in read[1:]:
-        out = out.unionByName(other)
-    return out
+    raw = read_records(spark, path, KNOWN_COLUMNS, glob="*").drop("_file")
+    return schemas.conform(schemas.normalise_columns(raw), schemas.SCHEMAS[kind])
 
 
 def category_from_filename(name: Column | str) -> Column:
@@ -49,62 +46,17 @@ def category_from_filename(name: Column | str) -> Column:
     return F.when(got == "", F.lit(UNKNOWN_CATEGORY)).otherwise(schemas.normalise_category(got))
 
 
-def read_by_file_header(spark: SparkSession, root: str, key: str = "productId") -> DataFrame:
-    """Every ``*.csv`` below ``root``, each row mapped through its own file's header.
-
-    Spark's CSV reader maps all files positionally to the first file's header,
-    which mixes columns when header families differ in order.  Here files are
-    read header-less, as wide as their widest line; a file's header row names
-    ``key`` and another known column; a small per-file table of headers (one row
-    per file, broadcast by AQE) is joined back, and each row becomes a name ->
-    value map.  A file without such a row raises.
-    Columns come out lower-cased and canonicalised by ``schemas.normalise_columns``.
-    """
-    tree = lambda: spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-    # commas inside quotes make this too wide at most, never too narrow
-    width = tree().text(root).agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
-    cols = [f"_c{i}" for i in range(width)]
-    raw = (tree().schema(", ".join(f"{c} string" for c in cols)).option("header", False).option("mode", "PERMISSIVE")
-           .csv(root).select("*", F.col("_metadata.file_path").alias("_path"),
-                             F.col("_metadata.file_name").alias("_file")))
-    cells = F.array(*[F.col(c) for c in cols])
-    clean = F.transform(cells, lambda x: F.lower(F.trim(F.regexp_replace(x, "^\ufeff", ""))))
-    names = sorted({f.name.lower() for s in (schemas.RANKING, schemas.DETAIL) for f in s.fields})
-    known = F.array_intersect(clean, F.array(*map(F.lit, names)))
-    # (array_contains is NULL when the array holds NULLs and no match: coalesce)
-    is_header = F.coalesce(F.array_contains(clean, F.lit(key.lower())), F.lit(False)) & (
-        F.size(known) >= F.least(F.lit(2), F.size(F.filter(clean, lambda x: x.isNotNull()))))
-    headers = raw.filter(is_header).select("_path", clean.alias("_names")).dropDuplicates(["_path"])
-    data = raw.filter(~is_header).join(headers, "_path", "left")
-    pairs = F.filter(F.arrays_zip(F.col("_names").alias("n"), cells.alias("v")),
-                     lambda p: p["n"].isNotNull() & (p["n"] != ""))
-    missing = F.raise_error(F.concat(F.lit(f"no header row naming {key} in "), F.col("_path")))
-    mapped = data.select("_file", F.coalesce(F.map_from_entries(pairs), missing).alias("_row"))
-    return mapped.select("_file", *[F.col("_row")[n].alias(n) for n in names])
-
-
 def read_tree(spark: SparkSession, root: str, kind: str = "ranking",
-              categories: Iterable[str] | None = None, per_file_header: bool = False) -> DataFrame:
-    """s02-s04: every ``*.csv`` below ``root`` (recursive) as one scan.
-
-    The category comes from each file's name (hidden ``_metadata`` column) when
-    the file has none, and an include-list prunes categories.  With
-    ``per_file_header`` each file is read through its own header
-    (:func:`read_by_file_header`), for trees whose header families differ in
-    column order; by default the faster positional CSV scan is used.
+              categories: Iterable[str] | None = None) -> DataFrame:
+    """s02-s04: every ``*.csv`` below ``root`` (recursive), each through its own header.
+
+    The category comes from each file's name when the file has none, and an
+    include-list keeps these categories.
     """
-    if per_file_header:
-        raw = read_by_file_header(spark, root)
-    else:
-        raw = (_reader(spark).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-               .csv(root).select("*", F.col("_metadata.file_name").alias("_file")))
-    df = schemas.normalise_columns(raw)
-    from_file = category_from_filename("_file")
-    df = df.withColumn("category", F.coalesce(F.col("category"), from_file) if "category" in df.columns else from_file)
+    df = schemas.normalise_columns(read_records(spark, root, (*KNOWN_COLUMNS,)))
+    df = df.withColumn("category", F.coalesce("category", category_from_filename("_file")))
     out = schemas.conform(df, schemas.SCHEMAS[kind], extra=("category",))
-    if categories is not None:
-        out = filter_categories(out, categories)
-    return out
+    return out if categories is None else filter_categories(out, categories)
 
 
 def filter_categories(df: DataFrame, categories: Iterable[str], col: str = "category") -> DataFrame:
@@ -148,8 +100,9 @@ def flatten_arrays(df: DataFrame, sep: str = ",") -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> str:
-    """s08: distributed CSV with header; array columns flattened to text."""
-    flatten_arrays(df, sep).write.mode(mode).option("header", True).csv(path)
+    """s08: distributed CSV with header; array columns flattened to text.  Quotes inside a field are
+    doubled, so fields may hold quotes, commas and newlines."""
+    flatten_arrays(df, sep).write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
 
@@ -162,25 +115,22 @@ def append_distinct(spark: SparkSession, df: DataFrame, path: str, keys: Sequenc
                     partition_by: Sequence[str] = (), range_col: str | None = None) -> None:
     """s10: append only rows not already stored (full row, or ``keys`` when given).
 
-    The new batch is de-duplicated and anti-joined against what is stored, then
-    appended: stored files are never rewritten, so a failed run leaves them
-    intact.  With ``range_col`` (e.g. the snapshot date the table is
-    partitioned by) only stored rows inside the batch's [min, max] of that
-    column are read, so the check does not grow with the whole history.
+    The new batch keeps one row per key (the least; a null key equals a null key) and is
+    anti-joined against what is stored, then appended: stored files are never rewritten, so a
+    failed run leaves them intact.  With ``range_col`` (e.g. the snapshot date the table is
+    partitioned by) only stored rows inside the batch's [min, max] of that column are read, so the
+    check does not grow with the whole history.  ``sources.ledger`` makes a delivery atomic too.
     """
-    from rankflow.session import path_exists
+    from rankflow.session import materialize, path_exists
 
-    new = df.dropDuplicates(list(keys)) if keys else df.distinct()
+    new = materialize(one_per_key(df, keys) if keys else df.distinct(), "append")  # range and rows are of one pick
     # Only a missing path means that nothing is stored; a store that can't be read raises.
     existing = spark.read.parquet(path) if path_exists(spark, path) else None
     if existing is not None:
         if range_col is not None:
             lo, hi = new.agg(F.min(range_col), F.max(range_col)).first()  # two values
             existing = existing.filter(F.col(range_col).isNull() | F.col(range_col).between(lo, hi))
-        if keys:
-            new = new.join(existing.select(*keys), on=list(keys), how="left_anti")
-        else:
-            new = new.subtract(existing.select(*new.columns))
+        new = without_keys(new, existing, keys) if keys else new.subtract(existing.select(*new.columns))
     write_table(new, path, partition_by=partition_by, mode="append")
 
 

@@ -1,13 +1,16 @@
 """Incremental snapshot ingest with Structured Streaming (t01).
 
 Newly landed snapshot files are picked up by a file stream; each key
-``(productId, date)`` is written once.  Two policies:
+``(productId, date)`` is written once.  Three policies:
 
 * ``"anti_join"`` (default): every micro-batch is de-duplicated and anti-joined
   against the keys already stored in the sink, restricted to the batch's own
   date range so the stored side is pruned.  Idempotent under batch retries and
   re-deliveries of any age; the sink itself is the state, nothing grows in the
   state store.
+* ``"ledger"``: as ``"anti_join"``, and each micro-batch is committed by one manifest
+  (``sources.ledger``): readers see it whole or not at all, a retry writes nothing twice.
+  The sink is read through ``BatchLedger(spark, sink).read()``.
 * ``"watermark"``: ``dropDuplicatesWithinWatermark`` keeps keys in the state
   store for ``delay``; re-deliveries older than the watermark are dropped as
   late, so ``delay`` must exceed the re-delivery span.
@@ -21,20 +24,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankflow.operators.aggregates import one_per_key
+from rankflow.operators.relational import without_keys
+from rankflow.session import materialize, path_exists
+from rankflow.sources.ledger import BatchLedger, deliver_stream
+
 
 def _append_new(batch: DataFrame, sink: str, keys: Sequence[str], range_col: str | None,
                 partition_by: Sequence[str]) -> None:
-    from rankflow.session import path_exists
-
     spark = batch.sparkSession
-    fresh = batch.dropDuplicates(list(keys))
+    fresh = materialize(one_per_key(batch, keys), "micro-batch")  # range and rows are of one pick
     if path_exists(spark, sink):  # a sink that exists but can't be read raises
         stored = spark.read.parquet(sink)
         if range_col is not None:
             lo, hi = fresh.agg(F.min(range_col), F.max(range_col)).first()
             stored = stored.filter(F.col(range_col).isNull() | F.col(range_col).between(lo, hi))
-        same = [F.col(f"n.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]  # a null key equals a null key
-        fresh = fresh.alias("n").join(stored.select(*keys).alias("s"), same, "left_anti")
+        fresh = without_keys(fresh, stored, keys)
     w = fresh.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -45,7 +50,7 @@ def ingest_snapshots(spark: SparkSession, source_dir: str, sink: str, checkpoint
                      schema: T.StructType, keys: Sequence[str] = ("productId", "date"),
                      fmt: str = "csv", policy: str = "anti_join", event_time: str | None = None,
                      delay: str = "1 day", partition_by: Sequence[str] = (),
-                     max_files_per_trigger: int | None = None) -> None:
+                     max_files_per_trigger: int | None = None, name: str = "stream") -> None:
     """t01: process every file landed in ``source_dir`` since the last run, then stop.
 
     ``trigger(availableNow=True)`` makes this a restartable batch-style job: the
@@ -73,6 +78,11 @@ def ingest_snapshots(spark: SparkSession, source_dir: str, sink: str, checkpoint
         q = (stream.writeStream.options(**writer_opts)
              .foreachBatch(lambda b, _id: _append_new(b, sink, keys, event_time, partition_by))
              .trigger(availableNow=True).start())
+    elif policy == "ledger":
+        ledger = BatchLedger(spark, sink, schema)
+        q = (stream.writeStream.options(**writer_opts)
+             .foreachBatch(lambda b, i: deliver_stream(ledger, name, b, i, keys, event_time))
+             .trigger(availableNow=True).start())
     else:
         raise ValueError(f"unknown policy {policy!r}")
     q.awaitTermination()

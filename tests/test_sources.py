@@ -129,7 +129,7 @@ def test_read_tree_per_file_header_orders(spark):
            BOM + "productId,brandName,ranking,date\n1,b1,5,20241127\n2,b2,6,20241127\n")
     _write(f"{root}/b/20241127-ranking-shoes-summary.csv",
            "Date,Ranking,ProductID,BrandName\n20241128,7,3,b3\n")
-    rows = sorted(IO.read_tree(spark, root, per_file_header=True).collect())
+    rows = sorted(IO.read_tree(spark, root).collect())
     got = [(r.productId, r.brandName, r.ranking, r.date, r.category) for r in rows]
     assert got == [(1, "b1", 5, 20241127, "bags"), (2, "b2", 6, 20241127, "bags"),
                    (3, "b3", 7, 20241128, "shoes")]
