@@ -17,6 +17,7 @@ from rankflow.operators import aggregates as A
 from rankflow.operators import features as FE
 from rankflow.operators import model as MO
 from rankflow.operators import relational as R
+from rankflow.operators import trees as TR
 from rankflow.operators import windows as W
 from rankflow.sources import files as IO
 
@@ -213,69 +214,45 @@ def recommend_stages(seed: int = 42, label: str = "recommend") -> list:
     return [*feature_stages(), MO.forest(label=label, seed=seed)]
 
 
+def recommendation_cells(features: DataFrame, train: DataFrame) -> DataFrame:
+    """The feature table with ``cells``: numerics (missing ones at the training rows' mean) in bins between
+    the training rows' quantiles, and a cell for the brand, the colours and each keyword."""
+    means = train.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in NUMERIC_FEATURES]).first()
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in NUMERIC_FEATURES}
+    cuts = TR.quantile_cuts(train.withColumns(filled), NUMERIC_FEATURES)
+    cells = F.concat(TR.numeric_cells(cuts), TR.value_cells("brandName"), TR.value_cells("colors"), TR.item_cells("filtered_keywords"))
+    return features.withColumns(filled).withColumn("cells", cells)
+
+
 def recommend(features: DataFrame, categories: Sequence[str] | None = None, train_fraction: float = 0.7,
-              seed: int = 42, split: str = "hash", parallel: int | None = None
+              seed: int = 42, split: str = "hash", forest: TR.ForestSpec | None = None
               ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """c08: one forest per category; returns (test predictions, metric report, confusion).
 
-    * Without ``categories`` every category with training rows gets a forest, rows
-      of a null category one of their own; the report names those trained.
-    * The feature table is written once, and so are the encoded rows, partitioned
-      by category and split: each fit and each scoring reads its own folder.
-    * The encoders (indexers, one-hot, keyword counts, imputer) are fitted once
-      on the training rows of all categories, as the reference fitted them
-      once for all categories, but without its leak of test rows.
-    * The per-category forests are independent Spark jobs submitted from a
-      small thread pool, so small categories do not serialise behind each other.
-    * Every row is scored once into a stored table; all metrics (every
-      category x split) and the confusion counts are aggregates over it.
-    * ``split="hash"`` (default) is an MD5 split on the product key: stable
-      under recomputation and repartitioning; ``"random"`` is ``randomSplit``
-      per category.
+    * All forests grow in one job, a pass a level (``operators.trees``): neither jobs nor plans grow
+      with the number of categories, and a hot category is counted by all tasks.
+    * Without ``categories`` every category with training rows gets a forest, rows of a null category
+      one of their own; the report names those trained.
+    * Means and bins come from the training rows of all categories.
+    * Every row is scored once into a stored table; all metrics (every category x split) and the
+      confusion counts are aggregates over it.
+    * ``split="hash"`` (default) is an MD5 split on the product key: stable under recomputation and
+      repartitioning; ``"random"`` draws each row of the stored feature table with ``seed``.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from rankflow.session import materialize, scratch_path
-
-    # The folder of a category; a null or empty one has its own.
-    folder = F.coalesce(F.concat(F.lit("c-"), F.col("category")), F.lit("none"))
-    data = features.withColumns({c: F.col(c).cast("double") for c in NUMERIC_FEATURES})
-    data = data.withColumns({"recommend": F.col("recommend").cast("double"), "folder": folder})
-    if categories is not None:
-        data = data.filter(F.col("folder").isin([f"c-{c}" for c in categories]))
-    data = materialize(data, "recommend-input")
-
-    if split == "hash":
-        bucket = MO.hash_bucket("productId")
-        data = data.withColumn("split", F.when(bucket < int(round(train_fraction * 100)), "train")
-                               .otherwise("test"))
-    else:
-        named = [r[0] for r in data.select("folder").distinct().collect()]  # one for each model
-        parts = [MO.split_random(data.filter(F.col("folder") == c), train_fraction, seed) for c in named]
-        data = R.union_all([p.withColumn("split", F.lit(n)) for tr, te in parts
-                            for n, p in (("train", tr), ("test", te))])
-    encoders = MO.fit(feature_stages(), data.filter(F.col("split") == "train"))
-    encoded = encoders.transform(data).select("productId", "category", "recommend", "features", "folder", "split")
-    # AQE sizes the files: a hot category is split, small ones are not scattered; rows in a
-    # fixed order, since the forest draws its samples by position
-    spark, path = encoded.sparkSession, scratch_path(features.sparkSession, "recommend-encoded")
-    spark.sql("SELECT /*+ REBALANCE(folder, split) */ * FROM {encoded}", encoded=encoded) \
-         .sortWithinPartitions("folder", "split", "productId").write.partitionBy("folder", "split").parquet(path)
-    encoded = spark.read.schema(encoded.schema).parquet(path)
-    trained = sorted(r[0] for r in encoded.filter(F.col("split") == "train").select("folder").distinct().collect())
-    if not trained:
-        raise ValueError("no category has training rows")
-
-    def one(name: str) -> DataFrame:
-        subset = encoded.filter(F.col("folder") == name)
-        model = MO.fit([MO.forest(label="recommend", seed=seed)], subset.filter(F.col("split") == "train"))
-        return MO.predict(model, subset).select("productId", "category", "recommend", "predicted_recommend",
-                                                 "split")
+    from rankflow.session import materialize
 
-    workers = parallel or min(len(trained), 8)
-    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        scored = R.union_all(list(pool.map(one, trained)))
-    scored = materialize(scored.withColumn("prediction", F.col("predicted_recommend")), "recommend-scores")
+    spec = forest or TR.ForestSpec(seed=seed)
+    data = features if categories is None else features.where(F.col("category").isin(list(categories)))
+    drawn = MO.hash_bucket("productId") < int(round(train_fraction * 100)) if split == "hash" else F.rand(seed) < train_fraction
+    data = materialize(data.withColumn("split", F.when(drawn, "train").otherwise("test")), "recommend-input")
+    train = data.where("split = 'train' AND recommend IS NOT NULL")
+    if train.isEmpty():
+        raise ValueError("no category has training rows")
+    data = materialize(recommendation_cells(data, train).select("productId", "category", "recommend", "split", "cells"), "recommend-cells")
+    model = TR.fit_forests(data.where("split = 'train'"), "category", "recommend", key="productId", spec=spec)
+    scored = TR.predict_forests(data, model, "category", spec=spec).where("prediction IS NOT NULL")
+    scored = materialize(scored.select("productId", "category", F.col("recommend").cast("double").alias("recommend"), "split", "probability", "prediction",
+                                       F.col("prediction").alias("predicted_recommend")), "recommend-scores")
     report = MO.metric_rows(scored, "recommend", "prediction", keys=("category", "split"))
     test = scored.filter(F.col("split") == "test").select(
         "productId", "category", F.col("recommend").cast("int").alias("recommend"), "predicted_recommend")
@@ -297,4 +274,4 @@ def ingest_batch(spark: SparkSession, landing: str, done: DataFrame | None, stam
         hour = lambda d: d.withColumn("_hour", M.stamp_prefix("date", 10))
         current = R.not_yet_collected(hour(current), hour(done).select("productId", "_hour"),
                                       ["productId", "_hour"]).drop("_hour")
-    return current.dropDuplicates(["productId", "date"])
+    return A.one_per_key(current, ["productId", "date"])

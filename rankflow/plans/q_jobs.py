@@ -92,7 +92,7 @@ def c04(spark: SparkSession, sf: str) -> DataFrame:
     kw = J.stopword_keywords(docs, name="text", key="doc_id")
     path = IO.write_csv(kw, scratch_path(spark, "c04"))
     # keywords hold no white space, so every line is a record and files can be split
-    return (spark.read.schema("doc_id bigint, keywords string").option("header", True)
+    return (spark.read.schema("doc_id bigint, keywords string").option("header", True).option("escape", '"')
             .csv(path).fillna({"keywords": ""}))
 
 

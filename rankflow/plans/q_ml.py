@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankflow.operators import aggregates as A
+from rankflow.operators import dictionary as DI
 from rankflow.operators import features as FE
 from rankflow.operators import model as MO
+from rankflow.operators import trees as TR
 from rankflow.plans import driver as D
 from rankflow.plans import jobs as J
 from rankflow.plans.q_relational import labelled
@@ -29,7 +31,7 @@ _BRAND_IDX_SQL = """idx AS (
 SELECT p.p_partkey, p.p_brand, idx.brand_index FROM part p JOIN idx ON p.p_brand = idx.p_brand""")
 def m01(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", "p_brand")
-    return FE.label_indexer("p_brand", "brand_index").fit(p).transform(p)
+    return DI.with_index(p, "p_brand", DI.label_table(p, "p_brand"), "brand_index")
 
 
 @query("m02_one_hot", D.with_ctes(_BRAND_IDX_SQL) + """
@@ -38,17 +40,30 @@ SELECT p.p_partkey, CAST((SELECT count(DISTINCT p_brand) FROM part) AS INTEGER)
 FROM part p JOIN idx ON p.p_brand = idx.p_brand""")
 def m02(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", "p_brand")
-    enc = FE.fit_encoders(p, ["p_brand"]).transform(p)
-    v = FE.sparse_parts("p_brand_ohe")
-    return enc.select("p_partkey", v["size"].alias("width"), F.get(v["indices"], F.lit(0)).alias("hot"))
+    enc = DI.encode(p, {"p_brand": DI.label_table(p, "p_brand")})
+    return enc.select("p_partkey", F.col("p_brand_ohe.size").alias("width"), F.get("p_brand_ohe.indices", F.lit(0)).alias("hot"))
 
 
-@query("m03_encoder_fit")
+def _index_sql(name: str, value: str) -> str:
+    """Ids of the values among the rows before 1998."""
+    return f"""{name} AS (SELECT value, CAST(row_number() OVER (ORDER BY n DESC, value) - 1 AS INTEGER) AS id
+  FROM (SELECT {value} AS value, count(*) AS n FROM ranking WHERE date < 19980101 GROUP BY 1))"""
+
+
+@query("m03_encoder_fit", D.with_ctes(D.RANKING_SQL, _index_sql("b", "brandName"), _index_sql("c", "coalesce(colors, 'unknown')")) + """
+SELECT productId, date, CAST(coalesce(b.id, (SELECT count(*) FROM b)) AS DOUBLE) AS "brandName_index",
+       CAST(coalesce(c.id, (SELECT count(*) FROM c)) AS DOUBLE) AS colors_index,
+       CAST((SELECT count(*) FROM b) AS INTEGER) AS "brandName_width", CAST((SELECT count(*) FROM c) AS INTEGER) AS colors_width,
+       b.id AS "brandName_hot", c.id AS colors_hot
+FROM ranking r LEFT JOIN b ON r.brandName = b.value LEFT JOIN c ON coalesce(r.colors, 'unknown') = c.value""")
 def m03(spark, sf):
-    r = D.ranking(spark, sf).fillna({"colors": "unknown"})
-    out = FE.fit_encoders(r, ["brandName", "colors"]).transform(r)
+    """Encoders of two columns, fitted on the rows before 1998."""
+    r = materialize(D.ranking(spark, sf).fillna({"colors": "unknown"}), "m03-ranking")
+    train = r.filter("date < 19980101")
+    out = DI.encode(r, {c: DI.label_table(train, c) for c in ("brandName", "colors")})
     return out.select("productId", "date", "brandName_index", "colors_index",
-                      FE.vector_cells("brandName_ohe"), FE.vector_cells("colors_ohe"))
+                      *[F.col(f"{c}_ohe.size").alias(f"{c}_width") for c in ("brandName", "colors")],
+                      *[F.get(f"{c}_ohe.indices", F.lit(0)).alias(f"{c}_hot") for c in ("brandName", "colors")])
 
 
 @query("m04_count_vectorizer", """
@@ -56,15 +71,25 @@ SELECT p_partkey, term, count(*) AS count
 FROM (SELECT p_partkey, unnest(string_split(p_name || ' ' || lower(p_type) || ' ' || p_name, ' ')) AS term FROM part)
 GROUP BY p_partkey, term""")
 def m04(spark, sf):
-    p = _t(spark, sf, "part").select(
+    p = _m04_terms(spark, sf)
+    table = DI.term_table(p, "terms")
+    cells = DI.term_vectors(p, "terms", table, ["p_partkey"]).select("p_partkey", F.explode(F.arrays_zip(
+        F.col("vector.indices").alias("id"), F.col("vector.values").alias("c"))).alias("cell"))
+    return cells.select("p_partkey", "cell.id", F.col("cell.c").cast("bigint").alias("count")).join(table, "id").select("p_partkey", "term", "count")
+
+
+def _m04_terms(spark, sf) -> DataFrame:
+    return _t(spark, sf, "part").select(
         "p_partkey", F.split(F.concat_ws(" ", "p_name", F.lower("p_type"), "p_name"), " ").alias("terms"))
-    model = FE.keyword_vectorizer("terms", "tf").fit(p)
-    terms = spark.createDataFrame(list(enumerate(model.vocabulary)), "i int, term string")
-    v = FE.sparse_parts("tf")
-    cells = model.transform(p).select("p_partkey", F.explode(F.arrays_zip(
-        v["indices"].alias("i"), v["values"].alias("c"))).alias("cell"))
-    return cells.select("p_partkey", "cell.i", F.col("cell.c").cast("bigint").alias("count")) \
-                .join(terms, "i").select("p_partkey", "term", "count")
+
+
+@query("m04_term_ids", """
+SELECT term, CAST(row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS INTEGER) AS id
+FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents) GROUP BY term""")
+def m04_ids(spark, sf):
+    """A vocabulary of all terms of the documents: it grows with them."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    return DI.term_table(_t(spark, sf, "documents").select(words.alias("terms")), "terms")
 
 
 @query("m05_assemble", D.with_ctes(D.RANKING_SQL) + """
@@ -83,10 +108,68 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     return J.recommendation_features(rankings, keywords, k=2, tiebreak=("ranking",))
 
 
-@query("m06_forest_per_category")
+# One tree a category, on all rows and all features, has the same splits in SQL.
+
+_TREE = TR.ForestSpec(trees=1, depth=3, features="all", bootstrap=False)
+_TREE_CUTS = {"price": [910.0, 930.0, 950.0, 970.0, 990.0, 1100.0, 1500.0], "discountRate": [1.0, 3.0, 5.0, 7.0, 9.0], "totalSales": [10.0, 20.0, 30.0, 40.0, 60.0]}
+
+
+def _tree_rows(spark: SparkSession, sf: str) -> DataFrame:
+    r = D.ranking(spark, sf).withColumn("keywords", F.split("productName", " "))
+    cells = F.concat(TR.numeric_cells(_TREE_CUTS), TR.value_cells("brandName"), TR.item_cells("keywords"))
+    return materialize(r.select("productId", "date", "category", F.concat_ws(":", "productId", "date").alias("row"), (F.col("ranking") <= 2).cast("int").alias("recommend"),
+                                F.when(MO.hash_bucket("productId") < 70, "train").otherwise("test").alias("split"), cells.alias("cells")), "tree-rows")
+
+
+def _tree_scores(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _tree_rows(spark, sf)
+    model = TR.fit_forests(rows.where("split = 'train'"), "category", "recommend", spec=_TREE)
+    return TR.predict_forests(rows, model, "category", spec=_TREE).where("prediction IS NOT NULL")
+
+
+def _tree_sql() -> str:
+    """``scored``: every row with the share of label 1 at its leaf."""
+    numeric = " UNION ALL ".join(f"SELECT row, '{c}' AS feature, len(list_filter({[*cuts]}, lambda b: b < {c})) AS bin FROM base" for c, cuts in _TREE_CUTS.items())
+    parts = [D.RANKING_SQL, """base AS (SELECT *, productId || ':' || date AS row, CAST(ranking <= 2 AS INTEGER) AS recommend,
+      CASE WHEN ('0x' || substr(md5(CAST(productId AS VARCHAR)), 1, 8))::BIGINT % 100 < 70 THEN 'train' ELSE 'test' END AS split FROM ranking)""",
+             f"""cells AS (SELECT * FROM ({numeric} UNION ALL SELECT row, 'brandName=' || brandName, 1 FROM base
+      UNION ALL SELECT DISTINCT row, 'keywords=' || k, 1 FROM (SELECT row, unnest(string_split(productName, ' ')) AS k FROM base)) WHERE bin > 0)""",
+             "n0 AS (SELECT row, category, recommend, split, 0 AS node FROM base)"]
+    score = "({1} * {1} + ({0} - {1}) * ({0} - {1})) / {0}".format
+    for d in range(_TREE.depth):
+        parts += [
+            f"""t{d} AS (SELECT category, node, CAST(count(*) AS DOUBLE) AS n, CAST(sum(recommend) AS DOUBLE) AS n1 FROM n{d}
+      WHERE split = 'train' AND node >= {2 ** d - 1} GROUP BY ALL)""",
+            f"""h{d} AS (SELECT category, node, feature, bin, count(*) AS c, sum(recommend) AS c1 FROM n{d} JOIN cells USING (row)
+      WHERE split = 'train' AND node >= {2 ** d - 1} GROUP BY ALL)""",
+            f"""r{d} AS (SELECT category, node, feature, bin, n, n1, CAST(sum(c) OVER w AS DOUBLE) AS r, CAST(sum(c1) OVER w AS DOUBLE) AS r1
+      FROM h{d} JOIN t{d} USING (category, node) WINDOW w AS (PARTITION BY category, node, feature ORDER BY bin DESC))""",
+            f"""s{d} AS (SELECT category, node, feature, bin, {score('r', 'r1')} + {score('(n - r)', '(n1 - r1)')} AS score, {score('n', 'n1')} AS whole
+      FROM r{d} WHERE r >= 1 AND n - r >= 1)""",
+            f"""b{d} AS (SELECT * FROM (SELECT * FROM s{d} QUALIFY row_number() OVER (PARTITION BY category, node ORDER BY score DESC, feature, bin) = 1)
+      WHERE score - whole > 1e-9)""",
+            f"""n{d + 1} AS (SELECT a.row, a.category, recommend, split, CASE WHEN b.node IS NULL THEN a.node
+      WHEN coalesce(x.bin, 0) >= b.bin THEN 2 * a.node + 2 ELSE 2 * a.node + 1 END AS node
+      FROM n{d} a LEFT JOIN b{d} b ON a.category = b.category AND a.node = b.node LEFT JOIN cells x ON x.row = a.row AND x.feature = b.feature)"""]
+    last = f"n{_TREE.depth}"
+    parts += [f"leaf AS (SELECT category, node, CAST(sum(recommend) AS DOUBLE) / count(*) AS share FROM {last} WHERE split = 'train' GROUP BY ALL)",
+              f"""scored AS (SELECT base.productId, base.date, category, a.recommend, a.split, share AS probability, CAST(share > 0.5 AS DOUBLE) AS prediction
+      FROM {last} a JOIN leaf USING (category, node) JOIN base USING (row, category))"""]
+    return D.with_ctes(*parts)
+
+
+@query("m06_forest_per_category", _tree_sql() + "SELECT productId, date, category, recommend, split, prediction AS predicted_recommend FROM scored")
 def m06(spark, sf):
-    preds, _, _ = J.recommend(_features(spark, sf))
-    return preds
+    return _tree_scores(spark, sf).select("productId", "date", "category", "recommend", "split", F.col("prediction").alias("predicted_recommend"))
+
+
+@query("m06_tree_splits", _tree_sql() + " UNION ALL ".join(
+    f"SELECT category, CAST(node AS INTEGER) AS node, feature, bin, round(score - whole, 6) AS gain FROM b{d}" for d in range(_TREE.depth)))
+def m06_splits(spark, sf):
+    """The splits of every category's tree."""
+    rows = _tree_rows(spark, sf)
+    model = TR.fit_forests(rows.where("split = 'train'"), "category", "recommend", spec=_TREE)
+    return model.where("feature IS NOT NULL").select(F.col("group").alias("category"), "node", "feature", F.col("bin").cast("bigint").alias("bin"), F.round("gain", 6).alias("gain"))
 
 
 @query("m07_hash_split", """
@@ -98,16 +181,9 @@ def m07(spark, sf):
     return p.select("p_partkey", b.alias("bucket"), (b < 70).alias("is_train"))
 
 
-@query("m08_predict")
+@query("m08_predict", _tree_sql() + "SELECT productId, date, category, round(probability, 9) AS probability FROM scored WHERE split = 'test'")
 def m08(spark, sf):
-    feats = J.recommend_stages()
-    data = _features(spark, sf)
-    data = data.withColumns({c: F.col(c).cast("double") for c in J.NUMERIC_FEATURES}) \
-               .withColumn("recommend", F.col("recommend").cast("double"))
-    train, test = MO.split_hash(data, "productId", 0.7)
-    model = MO.fit(feats, train)
-    return MO.predict(model, test).select("productId", "category", "recommend", "predicted_recommend",
-                                          vector_to_array("probability").alias("probability"))
+    return _tree_scores(spark, sf).where("split = 'test'").select("productId", "date", "category", F.round("probability", 9).alias("probability"))
 
 
 _METRIC_SQL = """
@@ -131,10 +207,26 @@ def m10(spark, sf):
     return MO.metrics(_t(spark, sf, "labels"), "quality", "toxic").select("weighted_precision", "weighted_recall")
 
 
-@query("m11_metric_report")
+@query("m11_metric_report", _tree_sql() + """,
+     cells2 AS (SELECT category, split, CAST(recommend AS DOUBLE) AS y, prediction AS p, count(*) AS n FROM scored GROUP BY ALL),
+     bl AS (SELECT category, split, y, sum(n) AS n_c, sum(CASE WHEN y = p THEN n ELSE 0 END) AS tp_c FROM cells2 GROUP BY ALL),
+     bp AS (SELECT category, split, p AS y, sum(n) AS p_c FROM cells2 GROUP BY ALL),
+     m AS (SELECT category, split, sum(tp_c) / sum(n_c) AS accuracy, sum(n_c * COALESCE(tp_c / NULLIF(p_c, 0), 0.0)) / sum(n_c) AS weighted_precision,
+           sum(n_c * (tp_c / n_c)) / sum(n_c) AS weighted_recall FROM bl LEFT JOIN bp USING (category, split, y) GROUP BY ALL)
+SELECT category, split, metric, round(value, 6) AS value FROM m UNPIVOT (value FOR metric IN (accuracy, weighted_precision, weighted_recall))""")
 def m11(spark, sf):
-    _, report, _ = J.recommend(_features(spark, sf))
-    return report
+    return MO.metric_rows(_tree_scores(spark, sf), "recommend", "prediction", keys=("category", "split"))
+
+
+@query("c08_tree_confusion", _tree_sql() + """,
+     c AS (SELECT category, recommend AS y, prediction AS p, count(*) AS n FROM scored WHERE split = 'test' GROUP BY ALL),
+     k AS (SELECT category, y, p, n FROM c UNION ALL SELECT 'ALL', y, p, n FROM c)
+SELECT category, CAST(coalesce(sum(n) FILTER (WHERE y = 1 AND p = 1), 0) AS BIGINT) AS tp, CAST(coalesce(sum(n) FILTER (WHERE y = 1 AND p = 0), 0) AS BIGINT) AS fn,
+       CAST(coalesce(sum(n) FILTER (WHERE y = 0 AND p = 1), 0) AS BIGINT) AS fp, CAST(coalesce(sum(n) FILTER (WHERE y = 0 AND p = 0), 0) AS BIGINT) AS tn
+FROM k GROUP BY category""")
+def c08_tree(spark, sf):
+    scored = _tree_scores(spark, sf).where("split = 'test'")
+    return A.confusion_by(scored.withColumn("predicted_recommend", F.col("prediction")), "category").select("category", "tp", "fn", "fp", "tn")
 
 
 _ACCT_SQL = "CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_acctbal END"
@@ -185,9 +277,8 @@ SELECT c.c_custkey, CAST((SELECT count(DISTINCT c_mktsegment) FROM train) AS INT
 FROM customer c LEFT JOIN idx ON c.c_mktsegment = idx.c_mktsegment""")
 def m15(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    model = FE.fit_encoders(c.filter(F.col("c_mktsegment") != "MACHINERY"), ["c_mktsegment"])
-    v = FE.sparse_parts("c_mktsegment_ohe")
-    return model.transform(c).select("c_custkey", v["size"].alias("width"), F.get(v["indices"], F.lit(0)).alias("hot"))
+    enc = DI.encode(c, {"c_mktsegment": DI.label_table(c.filter(F.col("c_mktsegment") != "MACHINERY"), "c_mktsegment")})
+    return enc.select("c_custkey", F.col("c_mktsegment_ohe.size").alias("width"), F.get("c_mktsegment_ohe.indices", F.lit(0)).alias("hot"))
 
 
 @query("m17_feature_importance")

@@ -14,6 +14,8 @@ from rankflow.session import materialize, scratch_path
 from rankflow.sources import files as IO
 from rankflow.sources import html as H
 from rankflow.sources import json_items as JS
+from rankflow.sources import ledger as LG
+from rankflow.sources import markup as MK
 from rankflow.streaming.ingest import ingest_snapshots
 
 RANKING_COLS = [f.name for f in schemas.RANKING.fields]
@@ -52,7 +54,7 @@ def s02(spark: SparkSession, sf: str) -> DataFrame:
 @query("s02_csv_tree_by_header", _RANKING_ALL)
 def s02h(spark: SparkSession, sf: str) -> DataFrame:
     """s02 over deliveries whose column order differs: each file read through its own header."""
-    return IO.read_tree(spark, _deliver_tree(spark, sf, "s02h", reorder=True), "ranking", per_file_header=True)
+    return IO.read_tree(spark, _deliver_tree(spark, sf, "s02h", reorder=True), "ranking")
 
 
 _S03_NAME = "concat('2024-ranking-', regexp_extract(url, '/(fr|en|de|es)/', 1), '-summary.csv')"
@@ -112,7 +114,7 @@ def s08(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_partkey").alias("productId"), F.col("p_name").alias("productName"),
         F.split(F.concat("p_name", F.lit(" "), F.lower("p_type")), " ").alias("keywords"))
     path = IO.write_csv(part, scratch_path(spark, "s08"))
-    return spark.read.schema("productId bigint, productName string, keywords string").option("header", True).csv(path)
+    return spark.read.schema("productId bigint, productName string, keywords string").option("header", True).option("escape", '"').csv(path)
 
 
 @query("s09_append_snapshot", _R + """
@@ -136,6 +138,22 @@ def s10(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query("s10_ledger", _R + """
+SELECT CASE WHEN productId % 11 = 0 THEN NULL ELSE productId END AS productId, date, category, max(totalSales) AS totalSales
+FROM ranking GROUP BY 1, 2, 3""")
+def s10_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Three overlapping deliveries, some keys null, one of them repeated under its own id and one under
+    another: each key once."""
+    key = F.when(F.col("productId") % 11 != 0, F.col("productId")).alias("productId")
+    r = D.ranking(spark, sf).select(key, "date", "category", (-F.col("totalSales")).alias("totalSales"))  # the least row is the largest sale
+    r = materialize(r, "s10-ranking")
+    ledger = LG.BatchLedger(spark, scratch_path(spark, "s10-ledger"), r.schema)
+    early, late = r.filter("date IS NULL OR date < 19960101"), r.filter("date >= 19950101")
+    for batch, rows in (("early", early), ("early", early), ("late", late), ("again", r)):
+        ledger.deliver(batch, rows, ["productId", "date", "category"], range_col="date")
+    return ledger.read().withColumn("totalSales", -F.col("totalSales"))
+
+
 @query("s11_publish", _RANKING_ALL)
 def s11(spark: SparkSession, sf: str) -> DataFrame:
     dst = IO.publish(spark, _deliver_tree(spark, sf, "s11"), scratch_path(spark, "s11-lake"))
@@ -283,6 +301,110 @@ def s17(spark: SparkSession, sf: str) -> DataFrame:
     return pages.select("page_id", H.first_numeric(tokens).alias("first_number"))
 
 
+# Stored pages with nested and partly broken markup, rendered from the driver's rows.
+
+def _escaped(c: str) -> F.Column:
+    out = F.col(c)
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        out = F.replace(out, F.lit(sign), F.lit(name))
+    return out
+
+
+def _text(c: F.Column | str) -> F.Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+
+def ranking_pages(ranking: DataFrame, per_page: int = 40) -> DataFrame:
+    """Ranking pages of at most ``per_page`` tiles.  Paragraphs are left open, a page ends within its
+    last tile, and every seventh tile has no discount and every fifth no counters."""
+    viewing, buying = F.col("totalSales") % 50, F.col("totalSales") % 7
+    counters = F.when(F.col("productId") % 5 == 0, F.lit("")).otherwise(F.concat(
+        F.lit('<div class="pt-2.5 x"><div><span>'), _text(viewing), F.lit("명이 <br>보는 중</span>"),
+        F.when(buying > 0, F.concat(F.lit("<span><b>"), _text(buying), F.lit("</b>명이 구매 중</span>"))).otherwise(""), F.lit("</div></div>")))
+    tile = F.concat(
+        F.lit('<div class="a gtm-view-item-list" data-item-id="'), _text("productId"), F.lit('" data-price="'), _text("price"), F.lit('"'),
+        F.when(F.col("productId") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(' data-discount-rate="'), _text("discountRate"), F.lit('"'))),
+        F.lit('><div class="sc-1m4cyao-1 dYjLwF"><span><i></i><span>'), _text("ranking"), F.lit("</span></span>"),
+        F.when(F.col("trending") == 1, F.lit("<div><span><span> 급상승 </span></span></div>")).otherwise("</em>"),
+        F.lit('</div><a><p class="text-etc_11px_semibold">'), _escaped("brandName"), F.lit('<p class="x text-body_13px_reg"> '), _escaped("productName"), F.lit(" </a>"),
+        counters, F.lit('<span class="font-pretendard text-etc_11px_reg sc-1m4cyao-7 eYXbyJ">판매 '), _text("totalSales"), F.lit(" 개</span>"))
+    order = F.floor((F.col("ranking") - 1) / per_page).alias("page")
+    tiles = F.transform(F.array_sort(F.collect_list(F.struct("ranking", "productId", tile.alias("tile")))), lambda t: t["tile"])
+    return ranking.groupBy("category", "date", order).agg(tiles.alias("tiles")).select(
+        "category", "date", F.concat(F.lit("<!DOCTYPE html><html><body><style>p{}</style><p>top<ul><li>1<li>2</ul><div>"),
+                                     F.array_join("tiles", "</div>\n")).alias("html"))
+
+
+@query("s15_tile_records", _R + """
+SELECT productId, brandName, productName, price, CASE WHEN productId % 7 = 0 THEN 0.0 ELSE discountRate END AS discountRate,
+       CASE WHEN productId % 5 = 0 THEN 0 ELSE totalSales % 50 END AS currentlyViewing,
+       CASE WHEN productId % 5 = 0 THEN 0 ELSE totalSales % 7 END AS currentlyBuying,
+       ranking, trending, totalSales, colors, date, category FROM ranking""")
+def s15_records(spark: SparkSession, sf: str) -> DataFrame:
+    return H.ranking_records(ranking_pages(D.ranking(spark, sf))).select(*RANKING_COLS)
+
+
+_ITEM = '<li><a href="([^"]*)">([^<]*)</a></li>'
+
+
+@query("s15_page_items", f"""
+SELECT page_id, CAST(i AS INTEGER) AS pos, links[i] AS link,
+       regexp_replace(replace(labels[i], '&amp;', '&'), '^\\s+|\\s+$', '', 'g') AS label
+FROM (SELECT page_id, regexp_extract_all(html, '{_ITEM}', 1) AS links, regexp_extract_all(html, '{_ITEM}', 2) AS labels FROM pages) t,
+     range(1, len(links) + 1) r(i)""")
+def s15_items(spark: SparkSession, sf: str) -> DataFrame:
+    """The entries of every page's menu."""
+    link = (MK.Step("a", child=True),)
+    return MK.extract_records(D.table(spark, sf, "pages"), MK.Step("li"), {"link": MK.Field(link, "href"), "label": MK.Field(link)})
+
+
+def detail_pages(detail: DataFrame) -> DataFrame:
+    """One detail page per row.  Pages lack what the row lacks; other spans and numbers stand around."""
+    whole = lambda c: F.format_number(F.col(c), 0)
+    like = '<span class="text-xs font-medium font-pretendard">'
+    html = F.concat(
+        F.lit("<html><body><header><span>1</span><img src=x><span>조회수 안내</span></header><p>"),
+        F.when(F.col("views").isNotNull(), F.concat(F.lit("<dl><dt><span>조회수</span><dd><div><span> "), whole("views"), F.lit(" 회</span></div></dl>"))).otherwise(""),
+        F.lit("<div><span>누적판매</span><i>9</i><span>"), whole("totalSales"), F.lit("개</span></div>"),
+        F.lit(f'{like}77</span><button><b><div aria-label="좋아요 버튼"><svg></svg></div></b></button>{like}좋아요</span><div>{like}'), whole("likes"), F.lit("</span></div>"),
+        F.when(F.col("rating").isNotNull(), F.concat(F.lit('<div><span class="text-black font-medium">'), _text("rating"),
+                                                     F.lit("<!-- stars --></span><em><span>5</span></em><span>후기 "), whole("ratingCount"), F.lit("개</span></div>"))).otherwise("<span>8</span>"))
+    return detail.select("productId", "date", html.alias("html"))
+
+
+@query("s16_detail_records", D.with_ctes(D.DETAIL_SQL) + """
+SELECT productId, date, views, likes, rating, CASE WHEN rating IS NOT NULL THEN ratingCount END AS ratingCount, totalSales FROM detail""")
+def s16_records(spark: SparkSession, sf: str) -> DataFrame:
+    return H.detail_records(detail_pages(D.detail(spark, sf)))
+
+
+def _plain(sql: str) -> str:
+    return f"regexp_replace(replace({sql}, '&amp;', '&'), '^\\s+|\\s+$', '', 'g')"
+
+
+_LI = "regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a></li>', 1)"
+
+
+@query("s16_page_nodes", f"""
+SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, CAST(len({_LI}) AS INTEGER) AS n_items,
+       {_plain(_LI + '[1]')} AS first_item, {_plain(_LI + '[2]')} AS next_item,
+       {_plain("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")} AS title,
+       {_plain("regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1)")} AS ad
+FROM pages""")
+def s16_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Menu, title and advertisement of every page by conditions on node numbers."""
+    n = F.col("nodes")
+    menu = MK.bind(MK.first(MK.elements(n, "nav")), lambda nav: MK.elements(n, "li", where=MK.inside(nav)))
+    item = MK.first(menu)
+    onward = lambda of: MK.first(MK.elements(n, "li", where=MK.siblings_after(of)))
+    text = lambda e: MK.bind(e, lambda one: MK.text_of(n, one))
+    ad = MK.bind(MK.first(MK.elements(n, "nav")), lambda nav: MK.first(MK.elements(n, "div", ["ad"], where=MK.after(nav))))
+    return MK.with_nodes(D.table(spark, sf, "pages")).select(
+        "page_id", MK.first(MK.elements(n, "html"))["attrs"]["lang"].alias("lang"), F.size(menu).alias("n_items"),
+        text(item).alias("first_item"), text(MK.bind(item, onward)).alias("next_item"),
+        text(MK.first(MK.elements(n, "h1"))).alias("title"), text(ad).alias("ad"))
+
+
 _S18_TEXT = """CASE event_type WHEN 'view' THEN printf('%.2f', value)
                 WHEN 'click' THEN CAST(k AS VARCHAR) || '.' || CAST(k AS VARCHAR) || '.1'
                 WHEN 'purchase' THEN '.' || CAST(k AS VARCHAR)
@@ -335,6 +457,20 @@ def t01(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+@query("t01_stream_ledger", "SELECT event_id, ts, user_id, event_type FROM events")
+def t01_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """t01 into a ledger; the second delivery is ingested twice, the second time by a stream that has
+    lost its checkpoint."""
+    ev = D.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    src, sink, ckpt, fresh = (scratch_path(spark, f"t01-ledger-{n}") for n in ("landing", "sink", "checkpoint", "checkpoint2"))
+    for low, high, at, name in (("2000-01-01", "2024-01-20", ckpt, "stream"), ("2024-01-10", "2100-01-01", ckpt, "stream"), (None, None, fresh, "restarted")):
+        if low:
+            part = (F.col("ts") >= F.lit(low).cast("timestamp_ntz")) & (F.col("ts") < F.lit(high).cast("timestamp_ntz"))
+            ev.filter(F.coalesce(part, F.lit(True))).write.mode("append").parquet(src)
+        ingest_snapshots(spark, src, sink, at, ev.schema, keys=("event_id",), fmt="parquet", policy="ledger", event_time="ts", name=name)
+    return LG.BatchLedger(spark, sink, ev.schema).read()
+
+
 @query("s13_preview", _R + """SELECT productId, date, ranking, category FROM ranking
 ORDER BY date DESC, ranking, productId LIMIT 20""")
 def s13(spark: SparkSession, sf: str) -> DataFrame:

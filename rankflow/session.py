@@ -8,9 +8,11 @@ unset, which is the local-test case.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,10 +95,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+#: Scopes that are open: each collects the scratch tables written in it.
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """Collects the paths of the tables that :func:`materialize` writes inside; whoever opens the
+    scope may remove them once nothing reads them any more."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+
+
+def remove_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Deletes scratch tables (paths that a scope collected)."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it
     back: later passes scan compact columnar files (with pruning and pushdown)
     instead of recomputing the lineage, and executor loss cannot lose it."""
     path = scratch_path(df.sparkSession, name)
+    for scope in _SCOPES:
+        scope.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -120,7 +120,7 @@ def test_recommend_smoke(spark):
                         recommend=int(i < 60)))
     df = spark.createDataFrame(rows)
     df = df.withColumn("filtered_keywords", F.col("keywords")).fillna({"colors": "unknown"})
-    preds, report, confusion = J.recommend(df, ["pants", "shoes"], parallel=2)
+    preds, report, confusion = J.recommend(df, ["pants", "shoes"])
     vals = [r.value for r in report.collect()]
     assert vals and all(0.0 <= v <= 1.0 for v in vals)
     total = confusion.filter("category = 'ALL'").first()
