@@ -1,11 +1,11 @@
 """Secret scans (operator 9): base patterns, and multipart credentials by linking.
 
 A credential often stands in parts: an access identifier, a secret and an endpoint.
-Each part alone is weak evidence.  Parts are found as spans; each reaches some
-characters to both sides within its scope (a paragraph: text without a blank line).
-Two parts of different roles are linked when their reached intervals overlap, a join
-of intervals by one sweep in start order, which keeps for each role only the reach
-of the spans seen so far and so never lists pairs.  A weak candidate is reported
+Each part alone is weak evidence.  Parts are found as spans; the interval of each is its
+scope (a paragraph: text without a blank line), or with a bound ``reach`` so many
+characters to both sides of it within the scope.  Two parts of different roles are linked
+when their intervals overlap, a join of intervals by one sweep in start order, which keeps
+for each role only the reach of the spans seen so far and so never lists pairs.  A weak candidate is reported
 only when it is linked; base spans are always reported.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -43,9 +44,10 @@ PARAGRAPH = re.compile(r"\n[\x20\t\r]*\n")
 
 @dataclass(frozen=True)
 class LinkRules:
-    """``reach``: characters that a part reaches to either side; parts are linked up to twice as far apart."""
+    """``reach``: characters that a part reaches to either side, so that parts are linked up to twice as
+    far apart; None: to the ends of its scope."""
 
-    reach: int = 120
+    reach: int | None = None
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -67,7 +69,7 @@ def weak_parts(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def linked(text: str, base: list[tuple[int, int, str]], weak: list[tuple[int, int, str]], reach: int) -> list[tuple[int, int, str]]:
+def linked(text: str, base: list[tuple[int, int, str]], weak: list[tuple[int, int, str]], reach: int | None) -> list[tuple[int, int, str]]:
     """The weak parts with a part of another role within reach in their paragraph."""
     if not weak or len(base) + len(weak) < 2:
         return []
@@ -84,19 +86,20 @@ def linked(text: str, base: list[tuple[int, int, str]], weak: list[tuple[int, in
                 scope, far = here, {}
             # forward: ends seen; backward: starts seen (the least start of what follows)
             for other, edge in far.items():
-                if other != role and (s - edge if forward else edge - e) <= 2 * reach:
+                if other != role and (reach is None or (s - edge if forward else edge - e) <= 2 * reach):
                     hit[i] = True
             best = far.get(role)
             mark = e if forward else s
             far[role] = mark if best is None else max(best, mark) if forward else min(best, mark)
     covered = sorted((s, e) for s, e, _ in base)
     starts = [s for s, _ in covered]
+    ends = list(itertools.accumulate((e for _, e in covered), max))  # the furthest end up to each start
     out = []
     for (s, e, kind, _), h in zip(parts, hit):
         if not h or not kind.startswith("part_"):
             continue
         k = bisect.bisect_right(starts, s) - 1  # a part inside base spans says nothing new
-        if any(b <= s and e <= f for b, f in covered[max(0, k - 2):k + 1]):
+        if k >= 0 and e <= ends[k]:
             continue
         out.append((s, e, kind))
     return out
