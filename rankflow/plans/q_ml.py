@@ -260,6 +260,23 @@ def m13(spark, sf):
     return FE.mode_impute(seg, ["segment"])
 
 
+def _gap_columns(spark, sf) -> DataFrame:
+    """Text columns of the rankings with values missing."""
+    r = D.ranking(spark, sf)
+    gap = lambda c, n: F.when(F.col("productId") % n != 0, F.col(c)).alias(c)
+    return r.select("productId", "date", gap("brandName", 3), gap("colors", 1), gap("productName", 5), gap("category", 7))
+
+
+@query("m13_modes", D.with_ctes(D.RANKING_SQL, """gaps AS (SELECT CASE WHEN productId % 3 <> 0 THEN brandName END AS "brandName",
+  CASE WHEN productId % 1 <> 0 THEN colors END AS colors, CASE WHEN productId % 5 <> 0 THEN productName END AS "productName",
+  CASE WHEN productId % 7 <> 0 THEN category END AS category FROM ranking)""") + """
+SELECT "column", value, n FROM (SELECT "column", value, count(*) AS n FROM (UNPIVOT gaps ON COLUMNS(*) INTO NAME "column" VALUE value) GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) = 1""")
+def m13_modes(spark, sf):
+    """The modes of four columns from one scan (one of them has no values)."""
+    return FE.modes_of(_gap_columns(spark, sf), ["brandName", "colors", "productName", "category"])
+
+
 @query("m14_standard_scale", """
 SELECT c_custkey, round(CASE WHEN s = 0 THEN 0.0 ELSE (c_acctbal - m) / s END, 6) AS acct_scaled
 FROM customer, (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS s FROM customer)""")

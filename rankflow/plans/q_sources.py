@@ -105,6 +105,14 @@ def s07(spark: SparkSession, sf: str) -> DataFrame:
     return schemas.conform(spark.read.parquet(path), schemas.RANKING)
 
 
+@query("s07_observed_sink", _R + """
+SELECT count(*) AS "rows", count(*) - count(colors) AS null_colors, CAST(min(date) AS BIGINT) AS first_date, CAST(max(date) AS BIGINT) AS last_date FROM ranking""")
+def s07_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """Row count, nulls and range of a table, observed while it is written."""
+    seen = IO.write_observed(D.ranking(spark, sf), scratch_path(spark, "s07-observed"), ranges=["date"], partition_by=["category"])
+    return spark.createDataFrame([(seen["rows"], seen["nulls.colors"], seen["min.date"], seen["max.date"])], "rows long, null_colors long, first_date long, last_date long")
+
+
 @query("s08_csv_sink", """
 SELECT p_partkey AS productId, p_name AS productName,
        array_to_string(string_split(concat(p_name, ' ', lower(p_type)), ' '), ',') AS keywords
@@ -260,6 +268,33 @@ def c09(spark: SparkSession, sf: str) -> DataFrame:
     return JS.flatten_ranking_json(ranking_documents(spark, sf), "202411271530", keep=("event_id",))
 
 
+def drifted_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranking documents, of each ten events one cut off, one without modules, one null, and one each
+    with a rank as text, prices as text, one label in place of a list, and bare texts as information."""
+    docs, k, value = ranking_documents(spark, sf), F.col("event_id") % 10, F.col("value")
+    drifted = docs.withColumn("value", F.when(k == 1, F.substring(value, 1, 40)).when(k == 2, F.lit('{"data": {"modules": "none"}}')).when(k == 3, F.lit(None).cast("string"))
+                           .when(k == 4, F.regexp_replace(value, '"rank":(\\d+)', '"rank":"$1"'))
+                           .when(k == 5, F.regexp_replace(value, '"(price|original_price)":(\\d+)', '"$1":"$2"'))
+                           .when(k == 6, F.regexp_replace(value, '"labels":\\[(\\{[^}]*\\})\\]', '"labels":$1'))
+                           .when(k == 7, F.regexp_replace(value, '\\{"text":("[^"]*보는 중")\\}', "$1")).otherwise(value))
+    return materialize(drifted, "drifted")  # as documents lie in storage
+
+
+@query("c09_drifted_json", _C09_SQL + " WHERE event_id % 10 NOT IN (1, 2, 3)")
+def c09_drifted(spark: SparkSession, sf: str) -> DataFrame:
+    """c09 by variant paths over drifted documents: the readable ones give the same rows."""
+    items, _ = JS.read_documents(drifted_documents(spark, sf), keep=("event_id",))
+    return JS.flatten_documents(items, "202411271530", keep=("event_id",))
+
+
+@query("s14_quarantine", """
+SELECT CASE event_id % 10 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'no modules' ELSE 'no document' END AS reason, count(*) AS documents, min(event_id) AS first_event
+FROM events WHERE event_id % 10 IN (1, 2, 3) GROUP BY 1""")
+def s14_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    _, bad = JS.read_documents(drifted_documents(spark, sf), keep=("event_id",))
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("documents"), F.min("event_id").alias("first_event"))
+
+
 # -- HTML pages (s15-s18) ------------------------------------------------------
 
 _TILE = '<a\\s[^>]*?href="([^"]*)"[^>]*>([^<]*)</a>'

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,17 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     return path
 
 
+def write_observed(df: DataFrame, path: str, ranges: Sequence[str] = (), partition_by: Sequence[str] = (), mode: str = "overwrite") -> dict[str, object]:
+    """s07 with a12/a14: writes the table and returns what was seen on the way: ``rows``, ``nulls.<column>``
+    of each column, and ``min.<column>``, ``max.<column>`` of ``ranges``.  There is no second scan."""
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls.{c}") for c in df.columns]]
+    for c in ranges:
+        metrics += [F.min(c).alias(f"min.{c}"), F.max(c).alias(f"max.{c}")]
+    write_table(df.observe(seen, *metrics), path, partition_by, mode)
+    return seen.get
+
+
 def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int,
                    partition_by: Sequence[str] = ()) -> DataFrame:
     """s07 variant: a table bucketed (and sorted) by ``keys`` at ``path``.
