@@ -15,12 +15,14 @@ aggregate with a row for each listed language (at most ``len(COMMON_WORDS)``).
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import SPACES
+from rankflow.session import materialize
 
 # Frequent function words, by language.
 COMMON_WORDS = {
@@ -166,27 +168,27 @@ def word_bound(shares: list[float], least_common: float) -> float:
     return max(distance, 1e-6)  # a reference without common words tells nothing
 
 
-def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """All columns of ``docs`` (but for those replaced) with the base counts, the distances
-    and the verdict.
+def quality(docs: DataFrame, rules: QualityRules = QualityRules(), columns: Sequence[str] | None = None) -> DataFrame:
+    """All columns of ``docs``, or ``columns`` of them (but for those replaced), with the base
+    counts, the distances and the verdict.  The result is read from a table written once.
 
     Added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     class_distance and word_distance (null where not judged: a short text, or a language
     that no document's ``lang`` names; a text with an unlisted or null ``lang`` has the
     distance to the nearest reference and only ``max_word_distance`` as its bound), kept.  An empty table gives an empty result.
     """
-    made = ("_text", "_words", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_classes",
-            "_common", "base_failed", "class_distance", "word_distance", "kept")
-    docs = docs.drop(*made)
-    if "lang" not in docs.columns:
-        docs = docs.withColumn("lang", F.lit(None).cast("string"))
-    df = histograms(base_counts(docs))
-    slim = histograms(docs.select("lang", F.coalesce("text", F.lit("")).alias("_text")))
-    found = sorted(references(slim).items())
+    made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept")
+    names = [c for c in (docs.columns if columns is None else columns) if c not in made]
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    row = F.struct(*names) if names else F.struct(F.lit(0).alias("none"))  # names of the input can't meet those made here
+    df = histograms(base_counts(docs.select(row.alias("row"), lang.alias("lang"), "text")))
+    # Texts are read once: each row's counts are written, references and verdicts follow from them.
+    df = materialize(df.select("row", "lang", *made[:5], "_classes", "_tokens", "_common", F.length("_text").alias("_chars")), "quality-counts")
+    found = sorted(references(df).items())
     refs = [F.struct(F.lit(lang).alias("lang"), F.array(*map(F.lit, COMMON_WORDS[lang].split())).alias("words"),
                      F.array(*map(F.lit, _shares(classes))).alias("classes"), F.array(*map(F.lit, _shares(words))).alias("shares"))
             for lang, (classes, words) in found]
-    judged = (F.length("_text") >= rules.min_chars) & (F.col("n_words") >= rules.min_words)
+    judged = (F.col("_chars") >= rules.min_chars) & (F.col("n_words") >= rules.min_words)
     if refs:
         common, n = F.col("_common"), F.col("_tokens").cast("double")
         df = df.withColumn("_refs", F.array(*refs))
@@ -201,7 +203,7 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
             F.concat(r["counts"], F.array(F.greatest(F.lit(0.0), n - _sum(r["counts"])))).alias("counts"),
             F.greatest(n, _sum(r["counts"])).alias("total"))))
         df = df.withColumn("_own", F.transform("_own", lambda r: F.struct(
-            _js_distance(F.col("_classes"), r["classes"], F.length("_text").cast("double")).alias("c"),
+            _js_distance(F.col("_classes"), r["classes"], F.col("_chars").cast("double")).alias("c"),
             _js_distance(r["counts"], r["shares"], r["total"]).alias("w"))))
         df = df.withColumns({"class_distance": F.array_min(F.transform("_own", lambda r: r["c"])),
                              "word_distance": F.array_min(F.transform("_own", lambda r: r["w"]))}).drop("_refs", "_own")
@@ -214,4 +216,4 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
         bound = F.when(F.col("lang") == lang, min(rules.max_word_distance, word_bound(_shares(words), rules.least_common))).otherwise(bound)
     fine = (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= rules.max_class_distance) & (
         F.coalesce(F.col("word_distance"), F.lit(0.0)) <= bound)
-    return df.withColumn("kept", ~F.col("base_failed") & fine).drop("_text", "_words", "_classes", "_common", "_tokens")
+    return df.withColumn("kept", ~F.col("base_failed") & fine).select(*(["row.*"] if names else []), *made)
