@@ -85,3 +85,29 @@ def term_vectors(df: DataFrame, terms: str, table: DataFrame, keys: Sequence[str
     rows = met.groupBy("row").agg(F.array_sort(F.collect_list(entry)).alias("cells"))  # a row's own terms
     return rows.select("row.*", F.struct(size.alias("size"), F.transform("cells", lambda c: c["id"]).alias("indices"),
                                          F.transform("cells", lambda c: c["n"]).alias("values")).alias(out))
+
+
+def numbers(parts: Sequence[Column | str]) -> Column:
+    """m05: a sparse vector of numbers; zeros and missing ones have no cell."""
+    size, indices, values = F.lit(0), [], []
+    for part in parts:
+        c = F.col(part) if isinstance(part, str) else part
+        known = F.coalesce(c, F.lit(0.0)) != 0
+        indices.append(F.when(known, F.array(size)).otherwise(F.array().cast("array<int>")))
+        values.append(F.when(known, F.array(c.cast("double"))).otherwise(F.array().cast("array<double>")))
+        size = size + 1
+    return F.struct(size.alias("size"), F.concat(*indices).alias("indices"), F.concat(*values).alias("values"))
+
+
+def join_vectors(vectors: Sequence[Column | str]) -> Column:
+    """m05: sparse vectors one after the other."""
+    def moved(places: Column, by: Column) -> Column:
+        return F.transform(places, lambda i: i + by)
+
+    size, indices, values = F.lit(0), [], []
+    for v in vectors:
+        c = F.col(v) if isinstance(v, str) else v
+        indices.append(moved(c["indices"], size))
+        values.append(c["values"])
+        size = size + c["size"]
+    return F.struct(size.alias("size"), F.concat(*indices).alias("indices"), F.concat(*values).alias("values"))

@@ -120,7 +120,7 @@ def c06s(spark: SparkSession, sf: str) -> DataFrame:
 def c07(spark: SparkSession, sf: str) -> DataFrame:
     ranking, detail = D.snapshots(spark, sf)
     l = labelled(spark, sf, ranking=ranking).join(detail.drop("totalSales"), ["productId", "date"])
-    return J.feature_importance(l.drop("productName"))
+    return J.feature_importance(l)
 
 
 @query("c08_recommend")

@@ -100,12 +100,43 @@ def m05(spark, sf):
     return out.select("productId", "date", FE.vector_cells("features"))
 
 
+_ASSEMBLED = """rated AS (SELECT r.*, d.views, d.likes, d.rating, d.ratingCount, CASE WHEN d.views <> 0 THEN r.totalSales / d.views ELSE 0.0 END AS rate
+  FROM ranking r JOIN detail d ON r.productId = d.productId AND r.date = d.date),
+whole AS (SELECT * EXCLUDE (rate), CASE WHEN rate > 1 THEN (SELECT max(rate) FROM rated WHERE rate < 1) ELSE rate END AS conversionRate FROM rated),
+b AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS id FROM (SELECT brandName AS v, count(*) AS n FROM whole GROUP BY 1)),
+c AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS id FROM (SELECT coalesce(colors, 'unknown') AS v, count(*) AS n FROM whole GROUP BY 1)),
+k AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS id FROM (SELECT v, count(*) AS n FROM (SELECT unnest(string_split(productName, ' ')) AS v FROM whole) GROUP BY 1)),
+nb AS (SELECT (SELECT count(*) FROM b) AS b, (SELECT count(*) FROM c) AS c, (SELECT count(*) FROM k) AS k),
+kw AS (SELECT productId, date, list({'i': id, 'v': CAST(n AS DOUBLE)} ORDER BY id) AS cells FROM (
+  SELECT productId, date, v, count(*) AS n FROM (SELECT productId, date, unnest(string_split(productName, ' ')) AS v FROM whole) GROUP BY ALL) JOIN k USING (v) GROUP BY ALL),
+vec AS (SELECT w.productId, w.date, nb.b + nb.c + nb.k + 9 AS size, list_concat(
+    [{'i': b.id, 'v': 1.0::DOUBLE}], [{'i': nb.b + c.id, 'v': 1.0::DOUBLE}], list_transform(kw.cells, lambda x: {'i': nb.b + nb.c + x.i, 'v': x.v}),
+    list_filter([{'i': nb.b + nb.c + nb.k, 'v': w.price::DOUBLE}, {'i': nb.b + nb.c + nb.k + 1, 'v': w.discountRate::DOUBLE}, {'i': nb.b + nb.c + nb.k + 2, 'v': w.conversionRate::DOUBLE},
+      {'i': nb.b + nb.c + nb.k + 3, 'v': w.trending::DOUBLE}, {'i': nb.b + nb.c + nb.k + 4, 'v': w.totalSales::DOUBLE}, {'i': nb.b + nb.c + nb.k + 5, 'v': w.views::DOUBLE},
+      {'i': nb.b + nb.c + nb.k + 6, 'v': w.likes::DOUBLE}, {'i': nb.b + nb.c + nb.k + 7, 'v': w.rating::DOUBLE}, {'i': nb.b + nb.c + nb.k + 8, 'v': w.ratingCount::DOUBLE}],
+      lambda x: coalesce(x.v, 0.0) <> 0)) AS cells
+  FROM whole w JOIN b ON w.brandName = b.v JOIN c ON coalesce(w.colors, 'unknown') = c.v JOIN kw ON w.productId = kw.productId AND w.date = kw.date, nb)"""
+
+
+@query("m05_assemble_whole", D.with_ctes(D.RANKING_SQL, D.DETAIL_SQL, _ASSEMBLED) + """
+SELECT productId, date, CAST(size AS INTEGER) AS size, CAST(list_transform(cells, lambda x: x.i) AS INTEGER[]) AS indices,
+       list_transform(cells, lambda x: round(x.v, 9)) AS "values" FROM vec""")
+def m05_whole(spark, sf):
+    """Brand, colours, keywords and nine numbers in one sparse vector."""
+    r = materialize(J.build_product_rankings(*D.snapshots(spark, sf)).fillna({"colors": "unknown"}).withColumn("keywords", F.split("productName", " ")), "assemble")
+    enc = DI.encode(r, {c: DI.label_table(r, c) for c in ("brandName", "colors")})
+    kw = DI.term_vectors(r, "keywords", DI.term_table(r, "keywords"), ["productId", "date"], "keyword_counts")
+    v = DI.join_vectors(["brandName_ohe", "colors_ohe", "keyword_counts", DI.numbers([F.col(c).cast("double") for c in J.NUMERIC_FEATURES])])
+    out = enc.join(kw, ["productId", "date"]).select("productId", "date", v.alias("v"))
+    return out.select("productId", "date", "v.size", "v.indices", F.transform("v.values", lambda x: F.round(x, 9)).alias("values"))
+
+
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     """c08 feature table on the driver tables (label: top-2 of its category and day)."""
     ranking, detail = D.snapshots(spark, sf)
     rankings = J.build_product_rankings(ranking, detail).drop("detailTotalSales")
     keywords = J.build_product_keywords(ranking)
-    return J.recommendation_features(rankings, keywords, k=2, tiebreak=("ranking",))
+    return J.recommendation_features(rankings, keywords, k=2, tiebreak=(F.col("ranking").asc(),))
 
 
 # One tree a category, on all rows and all features, has the same splits in SQL.
@@ -298,11 +329,16 @@ def m15(spark, sf):
     return enc.select("c_custkey", F.col("c_mktsegment_ohe.size").alias("width"), F.get("c_mktsegment_ohe.indices", F.lit(0)).alias("hot"))
 
 
-@query("m17_feature_importance")
+@query("m17_feature_importance", _tree_sql() + """,
+     g AS (""" + " UNION ALL ".join(f"SELECT category, feature, score - whole AS gain FROM b{d}" for d in range(_TREE.depth)) + """),
+     s AS (SELECT feature, sum(gain / total) AS share FROM (SELECT category, feature, sum(gain) AS gain, sum(sum(gain)) OVER (PARTITION BY category) AS total
+           FROM g GROUP BY category, feature) GROUP BY feature)
+SELECT feature, round(share / sum(share) OVER (), 6) AS importance FROM s""")
 def m17(spark, sf):
-    ranking, detail = D.snapshots(spark, sf)
-    l = labelled(spark, sf, ranking=ranking).join(detail.drop("totalSales"), ["productId", "date"])
-    return J.feature_importance(l.drop("brandName", "productName"))
+    """Importances of the features over every category's tree."""
+    rows = _tree_rows(spark, sf)
+    model = TR.fit_forests(rows.where("split = 'train'"), "category", "recommend", spec=_TREE)
+    return TR.importances(model).select("feature", F.round("importance", 6).alias("importance"))
 
 
 @query("m16_dtype_preprocess")
@@ -311,7 +347,7 @@ def m16(spark, sf):
     string -> mode impute + one-hot; one assembled vector per product."""
     ranking, detail = D.snapshots(spark, sf)
     data = labelled(spark, sf, ranking=ranking).join(detail.drop("totalSales"), ["productId", "date"])
-    data = data.drop("category", "keywords", "date", "ranking", "productName")
+    data = data.drop("category", "keywords", "date", "ranking")
     num, cat = FE.split_by_dtype(data, exclude=("productId", "recommend"))
     data = FE.mode_impute(data.withColumns({c: F.col(c).cast("double") for c in num}), cat)
     data = materialize(data, "dtype-preprocess-input")  # each estimator is a pass over it
@@ -319,4 +355,5 @@ def m16(spark, sf):
               FE.scaler("_num", "_num_scaled"), *FE.encoder_stages(cat),
               FE.assembler(["_num_scaled"] + [f"{c}_ohe" for c in cat])]
     out = Pipeline(stages=stages).fit(data).transform(data)
-    return out.select("productId", "recommend", FE.vector_cells("features"))
+    v = FE.sparse_parts("features")
+    return out.select("productId", "recommend", v["size"].alias("width"), v["indices"].alias("indices"), v["values"].alias("values"))

@@ -11,7 +11,9 @@ from rankflow.operators import aggregates as A
 from rankflow.operators import relational as R
 from rankflow.operators import windows as W
 from rankflow.plans import driver as D
+from rankflow.plans import jobs as J
 from rankflow.plans.registry import query
+from rankflow.session import materialize
 
 _R = D.with_ctes(D.RANKING_SQL)
 _RD = D.with_ctes(D.RANKING_SQL, D.DETAIL_SQL)
@@ -239,9 +241,9 @@ _LABELLED_SQL = """labelled AS (
 
 
 def labelled(spark: SparkSession, sf: str, k: int = 2, ranking: DataFrame | None = None) -> DataFrame:
-    """Newest ranking row per product with label and name keywords."""
-    r = (ranking if ranking is not None else D.ranking(spark, sf)).withColumn("keywords", F.split("productName", " "))
-    return R.label_top(W.latest_per_key(r, ["productId"], "date"), "ranking", k)
+    """Rankings with stored keywords, the newest row per product, labelled (the head of c05-c07)."""
+    r = ranking if ranking is not None else materialize(D.ranking(spark, sf), "labelled-ranking")
+    return J.latest_labelled(r, J.build_product_keywords(r), k, tiebreak=(F.col("ranking").asc(),))
 
 
 @query("a06_keyword_counts_by", D.with_ctes(D.RANKING_SQL, _LABELLED_SQL) + """
