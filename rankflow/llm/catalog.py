@@ -30,7 +30,7 @@ def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.quality(_table(spark, sf_dir, "documents"))
+    judged = quality.quality(_table(spark, sf_dir, "documents"), columns=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
