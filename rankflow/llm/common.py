@@ -27,6 +27,14 @@ def ascii_lower(c: Column | str) -> Column:
     return F.translate(F.col(c) if isinstance(c, str) else c, UPPER, LOWER)
 
 
+def unused(names: Iterable[str], like: str) -> str:
+    """A column name that is none of ``names`` in any case."""
+    taken, name = {n.lower() for n in names}, f"_{like}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def release_memory() -> None:
     """Hand back what this worker has freed; Spark keeps idle workers, whose memory counts on."""
     pa.default_memory_pool().release_unused()

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import SPACES
+from rankflow.llm.common import SPACES, unused
 from rankflow.session import materialize
 
 
@@ -25,14 +25,14 @@ from rankflow.session import materialize
 class MixSpec:
     """``weights`` go to sources in code-point order, null last, and repeat.  ``max_copies`` bounds
     a document's copies and a source's target.  ``tolerance``: relative gap at which a source's
-    Newton steps end; ``max_steps`` bounds them.  ``salts``: parts of a group of equal
-    documents.  ``repairs``: rounds of switching single documents."""
+    Newton steps end; ``max_steps`` bounds them.  A group of documents of equal source and size is
+    numbered in parts of about ``part_rows``.  ``repairs``: rounds of switching single documents."""
 
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     max_copies: int = 3
     tolerance: float = 1e-4
     max_steps: int = 30
-    salts: int = 32
+    part_rows: int = 20_000
     repairs: int = 3
 
 
@@ -136,10 +136,10 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     """
     sized = materialize(docs.select("doc_id", "source", text_words(F.col("text")).alias("size")), "sized")
     goals = targets(sized.select("source", "size"), spec)
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(spec.salts)).cast("int")
-    rows = sized.withColumn("salt", salt)
-    salted = materialize(rows.where("size > 0").groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "size-histogram")
-    cells = materialize(salted.groupBy("source", "size").agg(F.sum("n").alias("n")), "sizes")
+    cells = materialize(sized.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    salts = -(-(cells.agg(F.max("n")).first()[0] or 1) // spec.part_rows)  # the largest group's parts
+    rows = sized.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+    salted = rows.where("size > 0").groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n"))
     solved = materialize(multipliers(cells, goals, spec), "multipliers")
 
     # Running sum of the rates' fractions: over a source's sizes, then over a size's salts, then over its documents.
@@ -161,7 +161,7 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     names = ["doc_id", "source", "size"]
     rounded = numbered.alias("d").join(spread.alias("s"), same).select(
         *[F.col(f"d.{c}").alias(c) for c in names], "rate", (F.floor("rate") + extra).cast("long").alias("copies"))
-    worded = _repair(materialize(rounded, "copies"), goals, spec)
+    worded = _repair(materialize(rounded.withColumn("row", F.monotonically_increasing_id()), "copies"), goals, spec)
     wordless = sized.where("size = 0").select(*names, F.lit(1.0).alias("rate"), F.lit(1).cast("long").alias("copies"))
     both = worded.select(*names, "rate", "copies").unionByName(wordless).alias("d")
     return both.join(goals.alias("g"), F.col("d.source").eqNullSafe(F.col("g.source"))).select(
@@ -169,26 +169,49 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
 
 
 def _repair(rounded: DataFrame, goals: DataFrame, spec: MixSpec) -> DataFrame:
-    """Add or take a copy of the one document a source whose size comes nearest to its gap, while that helps."""
-    for _ in range(spec.repairs):
-        taken = rounded.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
+    """Add or take a copy of the one document a source whose size comes nearest to its gap, while that helps.
+
+    All switches are found on the histogram of (source, size, copies), then documents are taken for
+    them by (hash of the id, id), and the rows meet these few once.  ``rounded`` is a written table with a ``row`` key.
+    """
+    cells = materialize(rounded.groupBy("source", "size", "copies").agg(F.count(F.lit(1)).alias("n")), "copies-histogram")
+    switched = None
+    for k in range(spec.repairs):
+        taken = cells.groupBy("source").agg(F.sum(F.col("n") * F.col("copies") * F.col("size")).alias("taken"))
         gap = goals.alias("g").join(taken.alias("t"), F.col("g.source").eqNullSafe(F.col("t.source"))).select(
             F.col("g.source").alias("source"), (F.col("target") - F.col("taken")).alias("gap"))
         step = F.when(F.col("gap") > 0, 1).otherwise(-1)
         able = F.when(F.col("gap") > 0, F.col("copies") < spec.max_copies).otherwise(F.col("copies") > 0)
         left = F.abs(F.abs(F.col("gap")) - F.col("size"))
-        best = rounded.alias("r").join(gap.alias("g"), F.col("r.source").eqNullSafe(F.col("g.source"))).where(
+        best = cells.alias("c").join(gap.alias("g"), F.col("c.source").eqNullSafe(F.col("g.source"))).where(
             able & (left < F.abs(F.col("gap")))).groupBy(F.col("g.source").alias("source")).agg(
-            F.min(F.struct(left.alias("left"), F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("doc_id"), F.col("size").alias("size"),
-                           step.alias("step"))).alias("b"))
-        best = materialize(best.select("source", "b.doc_id", "b.size", "b.step"), "switched")
+            F.min(F.struct(left.alias("left"), F.col("size").alias("size"), F.col("copies").alias("copies"), step.alias("step"))).alias("b"))
+        best = materialize(best.select("source", "b.size", "b.copies", "b.step"), "switches")  # one row a source
         if best.isEmpty():
-            return rounded
-        same = (F.col("r.source").eqNullSafe(F.col("b.source"))) & F.col("r.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("r.size") == F.col("b.size"))
-        change = F.coalesce(F.col("step"), F.lit(0))
-        joined = rounded.alias("r").join(best.alias("b"), same, "left")
-        rounded = joined.select("r.*", F.least(F.lit(spec.max_copies), F.greatest(F.lit(0), F.col("copies") + change)).alias("_c")).drop("copies").withColumnRenamed("_c", "copies")
-    return rounded
+            break
+        switched = best if switched is None else switched.unionByName(best)
+        moved = cells.unionByName(best.select("source", "size", "copies", F.lit(-1).cast("long").alias("n"))).unionByName(
+            best.select("source", "size", (F.col("copies") + F.col("step")).alias("copies"), F.lit(1).cast("long").alias("n")))
+        cells = materialize(moved.groupBy("source", "size", "copies").agg(F.sum("n").alias("n")).where("n > 0"), "copies-histogram")
+    if switched is None:
+        return rounded
+    # A document switched to c copies and one switched away from c cancel out, as far as they go.
+    change = switched.select("source", "size", "copies", F.lit(1).alias("out")).unionByName(
+        switched.select("source", "size", (F.col("copies") + F.col("step")).alias("copies"), F.lit(-1).alias("out"))).groupBy("source", "size", "copies").agg(
+        F.sum("out").cast("int").alias("out"))
+    leave = change.where("out > 0")
+    same = F.col("r.source").eqNullSafe(F.col("c.source")) & (F.col("r.size") == F.col("c.size")) & (F.col("r.copies") == F.col("c.copies"))
+    own = Window.partitionBy("source", "size", "copies").orderBy(F.xxhash64("doc_id"), "doc_id", "row")
+    able = rounded.alias("r").join(leave.alias("c"), same).select("r.row", "r.doc_id", "r.source", "r.size", "r.copies", "out")
+    gone = able.withColumn("k", F.row_number().over(own)).where(F.col("k") <= F.least("out", F.lit(spec.repairs)))
+    # documents that leave cells of a (source, size), in order, go to the cells that gain there
+    seat = Window.partitionBy("source", "size")
+    leaving = gone.withColumn("seat", F.row_number().over(seat.orderBy("copies", "k")))
+    gains = change.where("out < 0").select("source", "size", F.col("copies").alias("to"), F.explode(F.sequence(F.lit(1), -F.col("out"))).alias("k"))
+    arriving = gains.withColumn("seat", F.row_number().over(seat.orderBy("to", "k")))
+    meet = F.col("l.source").eqNullSafe(F.col("a.source")) & (F.col("l.size") == F.col("a.size")) & (F.col("l.seat") == F.col("a.seat"))
+    moves = leaving.alias("l").join(arriving.alias("a"), meet).select("l.row", "to")
+    return rounded.join(moves, "row", "left").withColumn("copies", F.coalesce("to", "copies")).drop("to")
 
 
 def repeated(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
@@ -199,11 +222,12 @@ def repeated(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     """
     names = docs.columns
     plan = mix(docs, spec).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
-    d = docs.withColumn("_size", text_words(F.col("text"))).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d._size") == F.col("p.size"))
-    single = d.join(plan.where("rows = 1 AND copies > 0").alias("p"), same).select("d.*", F.col("p.copies").alias("_n"))
-    own = Window.partitionBy("d.doc_id", "d.source", "d._size").orderBy("d.text")
+    own, n = unused(names, "size"), unused(names, "n")
+    d = docs.withColumn(own, text_words(F.col("text"))).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col(f"d.{own}") == F.col("p.size"))
+    single = d.join(plan.where("rows = 1 AND copies > 0").alias("p"), same).select("d.*", F.col("p.copies").alias(n))
+    within = Window.partitionBy("d.doc_id", "d.source", f"d.{own}").orderBy("d.text")
     several = d.join(plan.where("rows > 1 AND copies > 0").alias("p"), same).select("d.*", (
-        F.floor(F.col("p.copies") / F.col("p.rows")) + (F.row_number().over(own) <= F.col("p.copies") % F.col("p.rows")).cast("int")).alias("_n"))
+        F.floor(F.col("p.copies") / F.col("p.rows")) + (F.row_number().over(within) <= F.col("p.copies") % F.col("p.rows")).cast("int")).alias(n))
     both = single.unionByName(several)
-    return both.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int")))).select(*names)
+    return both.select(*[both[c] for c in names], F.explode(F.array_repeat(F.lit(0), both[n].cast("int"))).alias(own)).select(*names)

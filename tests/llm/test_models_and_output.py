@@ -120,6 +120,8 @@ def test_mix_meets_targets(spark, odd, empty):
         assert abs(sum(r.taken for r in own) - target[s]) <= 0.01 * target[s] + 2
     assert sorted(map(str, out)) == sorted(map(str, mixing.mix(docs.orderBy("text").repartition(3)).collect()))
     assert mixing.mix(empty).count() == 0 and mixing.mix(odd).count() == odd.count()
+    named = mixing.repeated(odd.withColumnsRenamed({"rows": "_n", "copies": "_size", "b": "_copy"}))  # names that the operator uses itself
+    assert named.where("_n <> 8 OR _size <> 7 OR _copy <> 9").isEmpty() and named.count() == mixing.repeated(odd).count()
     again = mixing.repeated(odd)
     assert again.columns == odd.columns and again.count() == sum(r.copies for r in mixing.mix(odd).collect())
 
