@@ -11,7 +11,9 @@ nothing grows on the driver or the executors with the benchmark but the number o
 from __future__ import annotations
 
 import hashlib
+import itertools
 import pickle
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,10 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.llm.common import unused
 from rankflow.session import materialize
 
 #: Bytes that are no part of a word become blanks; A-Z are lower-cased.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+#: The same words in a text as it stands.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -33,11 +38,13 @@ def words_of(text: str | None) -> list[bytes]:
 @dataclass(frozen=True)
 class ContaminationRules:
     """``window``: words of a run that counts.  ``percent``: share of hit words from which a document
-    is contaminated.  ``shard_words``: words of one automaton (an item is never split)."""
+    is contaminated.  ``shard_words``: words of one automaton (an item is never split).
+    ``span_words``: length from which ``without_spans`` removes a span of hit words."""
 
     window: int = 13
     percent: int = 5
     shard_words: int = 200_000
+    span_words: int = 1
 
 
 class SuffixAutomaton:
@@ -153,9 +160,16 @@ class SuffixAutomaton:
                     u = self.short_up[link[u]] if link[u] >= 0 else -1
         return (np.cumsum(hit)[:n] > 0).astype(np.int32), items
 
+    def spans(self, words: list[bytes]) -> tuple[int, list[tuple[int, int]]]:
+        """The number of words, and the maximal runs of hit ones."""
+        hit, _ = self.scan(words)
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], hit, [0]])))
+        return len(words), list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
 
 def automata(items: DataFrame, rules: ContaminationRules):
-    """Yields one pickled automaton a shard (one shard at a time reaches the driver)."""
+    """Yields one pickled automaton a shard.  Items are read once and all automata written to the
+    shared folder; one at a time reaches the driver."""
     split = F.split(F.btrim(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", " "),
                             F.lit(" ")), " ")
     own = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
@@ -163,16 +177,17 @@ def automata(items: DataFrame, rules: ContaminationRules):
     n = max(1, -(-int(total) // rules.shard_words))
     window = rules.window
 
-    def build(pdf):
+    def build(key, pdf):
         import pandas as pd
 
         own = [(None if pd.isna(i) else str(i), words_of(t)) for i, t in zip(pdf["item_id"], pdf["text"])]
         own.sort(key=lambda x: (x[0] is None, x[0] or "", x[1]))
-        return pd.DataFrame({"automaton": [pickle.dumps(SuffixAutomaton(own, window))]})
+        return pd.DataFrame({"shard": [key[0]], "automaton": [pickle.dumps(SuffixAutomaton(own, window))]})
 
+    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).alias("shard")
+    made = materialize(own.groupBy(shard).applyInPandas(build, "shard long, automaton binary"), "automata")
     for k in range(n):
-        shard = own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).groupBy(F.lit(k).alias("k"))
-        for row in shard.applyInPandas(build, "automaton binary").toLocalIterator():
+        for row in made.where(F.col("shard") == k).select("automaton").toLocalIterator():
             yield row["automaton"]
 
 
@@ -211,16 +226,18 @@ def contamination(docs: DataFrame, items: DataFrame, rules: ContaminationRules =
     count as one in n_items.  Each row is judged by itself, whatever its doc_id, at any number of automata.
     """
     spark = docs.sparkSession
-    blobs = [spark.sparkContext.broadcast(blob) for blob in automata(items, rules)]
-    if not blobs:  # no items: words are still counted
-        blobs = [spark.sparkContext.broadcast(pickle.dumps(SuffixAutomaton([], rules.window)))]
-    if len(blobs) == 1:
-        found = _scan_all(docs, blobs[0], ["doc_id"])
-    else:  # one key a row for all scans
+    blobs = automata(items, rules)
+    first = next(blobs, None) or pickle.dumps(SuffixAutomaton([], rules.window))  # without items words are still counted
+    second = next(blobs, None)
+    if second is None:
+        found = _scan_all(docs, spark.sparkContext.broadcast(first), ["doc_id"])
+    else:  # one key a row for all scans; each automaton goes before the next one comes
         keyed = materialize(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "keyed-rows")
         union = None
-        for blob in blobs:
-            part = _scan_all(keyed, blob, ["row", "doc_id"])
+        for blob in itertools.chain((first, second), blobs):
+            shared = spark.sparkContext.broadcast(blob)
+            part = materialize(_scan_all(keyed, shared, ["row", "doc_id"]), "hits")
+            shared.destroy()
             union = part if union is None else union.union(part)
         found = union.groupBy("row", "doc_id").agg(
             F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
@@ -238,13 +255,90 @@ def _merge(runs, s):
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, rules: ContaminationRules = ContaminationRules()) -> DataFrame:
-    """``docs`` without the contaminated ones, all columns and clean texts unchanged.
+    """``docs`` without the contaminated rows, all columns and clean texts unchanged.
+
+    A document at or over the coverage limit goes whole; a lesser hit stays in the text
+    (``without_spans`` takes it out).  Each row is judged by itself, whatever its doc_id.
+    """
+    return _edited(docs, items, rules, lambda n, hits: 100 * sum(b - a for a, b in hits) >= rules.percent * n if hits else False, None)
 
-    A document at or over the coverage limit goes whole; a lesser hit stays in the text.
-    Rows without a doc_id stay.
+
+def without_spans(docs: DataFrame, items: DataFrame, rules: ContaminationRules = ContaminationRules()) -> DataFrame:
+    """``docs`` without the spans of hit words of ``span_words`` words or more, and without the rows
+    that reach the coverage limit.
+
+    A span goes from its first word to its last one; what stands between words outside of spans
+    stays as it is.  Rows without such spans keep their texts unchanged.  All columns are kept.
     """
-    bad = contamination(docs, items, rules).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+    least = rules.span_words
+    return _edited(docs, items, rules, lambda n, hits: 100 * sum(b - a for a, b in hits) >= rules.percent * n if hits else False,
+                   lambda text, hits: cut_spans(text, [h for h in hits if h[1] - h[0] >= least]))
+
+
+def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words ``first:end`` of each span."""
+    if not spans:
+        return text
+    places = [m.span() for m in WORD.finditer(text)]
+    out, at = [], 0
+    for first, end in spans:
+        out.append(text[at:places[first][0]])
+        at = places[end - 1][1]
+    return "".join([*out, text[at:]])
+
+
+def _edited(docs: DataFrame, items: DataFrame, rules: ContaminationRules, drops, edit) -> DataFrame:
+    """Rows of ``docs`` for which not ``drops(number of words, spans)``, their texts edited.  With one
+    automaton all is done in its scan, without a join; with several, the rows meet their spans by
+    a key of their own."""
+    spark, names = docs.sparkSession, docs.columns
+    blobs = automata(items, rules)
+    first = next(blobs, None) or pickle.dumps(SuffixAutomaton([], rules.window))
+    second = next(blobs, None)
+    if second is None:
+        shared = spark.sparkContext.broadcast(first)
+        at = names.index("text")
+
+        def scan(batches):
+            automaton = pickle.loads(shared.value)
+            for batch in batches:
+                yield from _judged(batch, at, lambda text: automaton.spans(words_of(text)), drops, edit)
+
+        return docs.mapInArrow(scan, docs.schema)
+    row, spans = unused(names, "row"), unused(names, "spans")
+    keyed = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "keyed-documents")
+    marked = None
+    for blob in itertools.chain((first, second), blobs):
+        shared = spark.sparkContext.broadcast(blob)
+        hits = materialize(_scan_all(keyed.select(F.col(row).alias("row"), "text"), shared, ["row"]).where(F.size("spans") > 0).select("row", "spans"), "hits")
+        shared.destroy()
+        marked = hits if marked is None else marked.union(hits)
+    merged = marked.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")).select(  # one entry an automaton
+        F.col("row").alias(row), F.aggregate("spans", F.array().cast("array<struct<first:bigint,end:bigint>>"), _merge).alias(spans))
+    joined = keyed.join(merged, row, "left").select(*names, F.col(spans))
+    at, last = names.index("text"), len(names)
+
+    def judge(batches):
+        for batch in batches:
+            found = iter(batch.column(last).to_pylist())
+            yield from _judged(batch.select(names), at, lambda text: (len(words_of(text)), [(s["first"], s["end"]) for s in next(found) or ()]), drops, edit)
+
+    return joined.mapInArrow(judge, docs.schema)
+
+
+def _judged(batch: pa.RecordBatch, at: int, spans_of, drops, edit):
+    """``batch`` without the rows that go, texts edited; ``spans_of`` a text gives its words and spans."""
+    keep, texts, changed = [], [], False
+    for value in batch.column(at):
+        text = value.as_py()
+        n, spans = spans_of(text)
+        keep.append(not drops(n, spans))
+        if edit is not None and keep[-1] and spans:
+            changed, text = True, edit(text, spans)
+        texts.append(text)
+    if changed:
+        batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+    yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 def digest(items) -> str:
