@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import ALNUM, STEP_BYTES, mix64, span_hashes, steps, text_bytes, word_spans
@@ -31,7 +31,7 @@ _B = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class SubwordSpec:
     """Features and training.  ``per_class``: labelled documents of each class that are used at most,
-    those with the least hash of their id.  ``squash``: power of a word's count within a text
+    those with the least hash of their id.  ``labels``: the most frequent labels that are learned.  ``squash``: power of a word's count within a text
     (1: the plain mean over words, 0: the mean over distinct words)."""
 
     sizes: tuple[int, ...] = (2, 3, 4)
@@ -41,6 +41,7 @@ class SubwordSpec:
     rate: float = 0.5
     decay: float = 1e-6
     per_class: int = 2000
+    labels: int = 200
     squash: float = 1.0
     seed: int = 17
 
@@ -190,24 +191,29 @@ def temperature(all_logits: np.ndarray, labels: np.ndarray) -> float:
     return float(best[1])
 
 
-def sampled_bags(docs: DataFrame, label: Column, usable: Column, spec: SubwordSpec) -> tuple[Sequence, list, list, dict]:
+def sampled_bags(docs: DataFrame, label: Column, usable: Column, spec: SubwordSpec, known: DataFrame | None = None) -> tuple[Sequence, list, list, dict]:
     """Bags and labels of at most ``per_class`` usable documents of each label, in a fixed
     order, and the labels' counts among all usable rows.
 
-    The sample is chosen by (hash of the id, id) from ids alone; texts are read again only
-    for it and become bags in tasks, so the driver gets at most ``per_class`` bags a label of
-    at most ``buckets`` entries each, compressed, and opens one at a time.
+    ``label`` is a column of ``docs``, or of ``known``, which is met by doc_id.  The sample is chosen
+    by (hash of the id, id) from ids alone; texts meet only the ids chosen and become bags
+    in tasks, so the driver gets at most ``per_class`` bags of each of ``labels`` labels, of at
+    most ``buckets`` entries each, compressed, and opens one at a time.
     """
-    rows = docs.where(usable).select("doc_id", label.alias("label"), F.xxhash64(F.lit(spec.seed), "doc_id").alias("h"))
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    chosen = None
-    for value in sorted(counts):
-        one = rows.where(F.col("label") == F.lit(value)).orderBy("h", "doc_id").limit(spec.per_class)
-        chosen = one if chosen is None else chosen.union(one)
-    if chosen is None:
+    h = F.xxhash64(F.lit(spec.seed), "doc_id").alias("h")
+    ids, own = docs.where(usable), ["doc_id", "text"]
+    if known is None:
+        rows, own = ids.select("doc_id", label.alias("label"), h), [*own, label.alias("label")]
+    else:
+        rows = ids.select("doc_id").join(known.select("doc_id", label.alias("label")), "doc_id").select("doc_id", "label", h)
+    most = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(spec.labels)
+    counts = {r["label"]: r["count"] for r in most.collect()}
+    if not counts:
         return [], [], [], counts
-    own = docs.where(usable).select("doc_id", "text", label.alias("label"), F.xxhash64(F.lit(spec.seed), "doc_id").alias("h"))
-    own = own.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")  # per_class ids a label
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "doc_id"))
+    chosen = rows.where(F.col("label").isin(list(counts))).withColumn("rank", rank).where(F.col("rank") <= spec.per_class)
+    chosen = F.broadcast(chosen.select("doc_id", "label", "h").distinct())  # per_class ids of each of labels labels
+    own = ids.select(*own).join(chosen, ["doc_id", "label"] if known is None else "doc_id")
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=3)

@@ -37,8 +37,7 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicitySpec = ToxicitySpec(
     without both labels.  A doc_id labelled more than once has its greatest label."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     usable = F.col("text").isNotNull() & ~held_out(spec)
-    joined = docs.select("doc_id", "text").join(known, "doc_id")
-    bags, y, _, counts = subword.sampled_bags(joined, F.col("toxic"), usable, spec.features)
+    bags, y, _, counts = subword.sampled_bags(docs, F.col("toxic"), usable, spec.features, known)
     if sorted(counts) != [0, 1]:
         return None
     priors = np.array([counts[0], counts[1]], float)
