@@ -9,11 +9,13 @@ from rankflow.functions import metrics as M
 from rankflow.functions import text as X
 from rankflow.operators import aggregates as A
 from rankflow.operators import relational as R
+from rankflow.operators.incremental import KeptAggregate, Measure
 from rankflow.operators import windows as W
 from rankflow.plans import driver as D
 from rankflow.plans import jobs as J
 from rankflow.plans.registry import query
-from rankflow.session import materialize
+from rankflow.session import materialize, scratch_path
+from rankflow.sources.ledger import BatchLedger
 
 _R = D.with_ctes(D.RANKING_SQL)
 _RD = D.with_ctes(D.RANKING_SQL, D.DETAIL_SQL)
@@ -256,6 +258,23 @@ def a06(spark, sf):
     return A.keyword_counts_by(ex, ["category", "recommend", "keyword"])
 
 
+@query("a06_kept_counts", D.with_ctes(D.RANKING_SQL, """kw AS (SELECT category, date, totalSales, discountRate / 20 AS rate, unnest(string_split(productName, ' ')) AS keyword FROM ranking)""") + """
+SELECT category, keyword, count(*) AS count, CAST(sum(totalSales) AS BIGINT) AS sales, max(rate) FILTER (WHERE rate < 0.25) AS capped, CAST(max(date) AS BIGINT) AS last_date
+FROM kw GROUP BY category, keyword""")
+def a06_kept(spark, sf):
+    """Keyword figures kept by deliveries, one of them repeated, the first two merged before the last comes."""
+    r = materialize(D.ranking(spark, sf), "kept-ranking")
+    rows = r.select("category", "date", "totalSales", (F.col("discountRate") / 20).alias("rate"), F.explode(F.split("productName", " ")).alias("keyword"))
+    kept = KeptAggregate(BatchLedger(spark, scratch_path(spark, "kept-counts")), ["category", "keyword"],
+                         [Measure("count", "count"), Measure("sales", "sum", "totalSales"), Measure("capped", "max_below", "rate", 0.25), Measure("last_date", "max", "date")])
+    kept.deliver("1995", rows.where("date < 19960101"))
+    kept.deliver("1997", rows.where("date >= 19960101 AND date < 19980101"))
+    kept.compact("to-1997")
+    kept.deliver("1997", rows.where("date >= 19960101 AND date < 19980101"))  # comes again
+    kept.deliver("later", rows.where("date >= 19980101"))
+    return kept.read()
+
+
 _LABELLED_DETAIL_SQL = """ld AS (
   SELECT l.category, l.recommend, d.views, CAST(l.totalSales AS DOUBLE) AS totalSales
   FROM labelled l JOIN detail d ON l.productId = d.productId AND l.date = d.date)"""

@@ -47,13 +47,19 @@ def category_from_filename(name: Column | str) -> Column:
 
 
 def read_tree(spark: SparkSession, root: str, kind: str = "ranking",
-              categories: Iterable[str] | None = None) -> DataFrame:
+              categories: Iterable[str] | None = None, by_name: bool = False) -> DataFrame:
     """s02-s04: every ``*.csv`` below ``root`` (recursive), each through its own header.
 
     The category comes from each file's name when the file has none, and an
-    include-list keeps these categories.
+    include-list keeps these categories.  With ``by_name`` file names are trusted: files whose
+    name gives a category outside the list are left out when files are listed and never opened
+    (rows of a listed category in them too).
     """
-    df = schemas.normalise_columns(read_records(spark, root, (*KNOWN_COLUMNS,)))
+    only = None
+    if by_name and categories is not None:
+        categories = list(categories)
+        only = lambda name: category_from_filename(name).isin([*categories, UNKNOWN_CATEGORY])
+    df = schemas.normalise_columns(read_records(spark, root, KNOWN_COLUMNS, only=only))
     df = df.withColumn("category", F.coalesce("category", category_from_filename("_file")))
     out = schemas.conform(df, schemas.SCHEMAS[kind], extra=("category",))
     return out if categories is None else filter_categories(out, categories)

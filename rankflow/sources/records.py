@@ -22,12 +22,12 @@ from __future__ import annotations
 
 import csv
 import itertools
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankflow.session import materialize
@@ -39,8 +39,9 @@ ROWS = 10_000
 SPLIT_SETTINGS = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
 
 
-def _lines(spark: SparkSession, paths: str | Sequence[str], glob: str) -> DataFrame:
+def _lines(spark: SparkSession, paths: str | Sequence[str], glob: str, only: Callable[[Column], Column] | None = None) -> DataFrame:
     """Lines in file order within each split; ``file`` names the file, ``id`` and ``start`` the split.
+    ``only``: a condition on the name of a file, which is judged when files are listed.
 
     Files are listed and split through a session of their own whose settings are held, so that
     all scans have the same splits even when executors come and go between them.
@@ -50,6 +51,8 @@ def _lines(spark: SparkSession, paths: str | Sequence[str], glob: str) -> DataFr
         reader.conf.set(key, spark.conf.get(key))
     reader.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     read = reader.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("lineSep", "\n").text(paths)
+    if only is not None:
+        read = read.where(only(F.col("_metadata.file_name")))  # other files are never opened
     lines = read.select("value", F.col("_metadata.file_path").alias("path"), F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("file"),
                         F.xxhash64("_metadata.file_path").alias("id"), F.col("_metadata.file_block_start").alias("start"))
     return spark.createDataFrame([], lines.schema).unionByName(lines)  # all else follows the caller's session
@@ -193,10 +196,12 @@ def _named_batches(records: list[str], file: str | None, names: list[str], colum
         yield pa.RecordBatch.from_arrays([pa.array([file] * len(part[0]), pa.string()), *part], names=["_file", *columns])
 
 
-def read_records(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], key: str = "productId", sep: str = ",", glob: str = "*.csv") -> DataFrame:
+def read_records(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], key: str = "productId", sep: str = ",", glob: str = "*.csv",
+                 only: Callable[[Column], Column] | None = None) -> DataFrame:
     """``_file`` (name of the record's file) and the named columns as texts, of every file below the
-    paths; files may name their columns in any order and case."""
-    lines = _lines(spark, paths, glob)
+    paths; files may name their columns in any order and case.  ``only`` is a condition on file
+    names (as the file system gives them): other files aren't opened."""
+    lines = _lines(spark, paths, glob, only)
     splits = _splits(lines)
     layout = _layout(splits, sep, key)
     shared = spark.sparkContext.broadcast(layout)  # one entry a split and a file, as in the driver's own list of them
