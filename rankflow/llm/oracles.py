@@ -70,4 +70,20 @@ f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 *
 walk AS (SELECT word, word AS at, form AS next FROM f UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON walk.next = f.word)
 SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n FROM f JOIN walk ON f.word = walk.word WHERE walk.next IS NULL"""
 
-ORACLES = {"op2_decontaminate": OP2, "op11_search": OP11, "op13_spelling": OP13}
+# Bytes as hex, two digits each; a place in the table is doc_id and byte in one number.
+OP3 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, p, md5(substr(x, 2 * p - 1, 200)) AS h, doc_id * 4294967296 + p AS place
+      FROM d, LATERAL (SELECT unnest(range(1, len(x) // 2 - 98)) AS p)),
+f AS (SELECT h, min(place) AS first FROM w GROUP BY h HAVING count(*) > 1),
+r AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM w JOIN f USING (h) WHERE place > first),
+i AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM r) GROUP BY doc_id, run),
+c AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last FROM i GROUP BY doc_id),
+s AS (SELECT doc_id, lag(b, 1, 1) OVER (PARTITION BY doc_id ORDER BY a) AS a, a AS b FROM i
+      UNION ALL SELECT d.doc_id, coalesce(last, 1), len(x) // 2 + 1 FROM d LEFT JOIN c USING (doc_id)),
+k AS (SELECT doc_id, string_agg(substr(x, CAST(2 * a - 1 AS BIGINT), CAST(2 * (b - a) AS BIGINT)), '' ORDER BY a) AS kept FROM s JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(kept)) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id) JOIN k USING (doc_id)"""
+
+ORACLES = {"op2_decontaminate": OP2, "op3_suffixes": OP3, "op11_search": OP11, "op13_spelling": OP13}
