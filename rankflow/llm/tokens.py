@@ -29,7 +29,7 @@ from rankflow.session import materialize, scratch_path
 #: A special token that stands between words encoded in one call; a word that holds it goes alone.
 BETWEEN = "<|startoftext|>"
 #: Words whose ids a worker remembers (some 150 bytes each), and bytes of text that become words at once.
-CACHE_WORDS, BATCH_BYTES = 300_000, 16_000_000
+CACHE_WORDS, BATCH_BYTES = 300_000, 12_000_000
 
 
 @dataclass(frozen=True)
