@@ -12,6 +12,7 @@ import contextlib
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,9 +59,28 @@ def get_session(master: str | None = None, app: str = "rankflow",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the session's Python workers once, for sessions that were started where
+    they can't import it (Spark serves the archive to all executors)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rankflow_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="run-"), "rankflow.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    z.write(file, os.path.relpath(file, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._rankflow_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
