@@ -250,7 +250,7 @@ def recommend(features: DataFrame, categories: Sequence[str] | None = None, trai
         raise ValueError("no category has training rows")
     data = materialize(recommendation_cells(data, train).select("productId", "category", "recommend", "split", "cells"), "recommend-cells")
     model = TR.fit_forests(data.where("split = 'train'"), "category", "recommend", key="productId", spec=spec)
-    scored = TR.predict_forests(data, model, "category", spec=spec).where("prediction IS NOT NULL")
+    scored = TR.predict_forests(data, model, "category", spec=spec, how="inner")
     scored = materialize(scored.select("productId", "category", F.col("recommend").cast("double").alias("recommend"), "split", "probability", "prediction",
                                        F.col("prediction").alias("predicted_recommend")), "recommend-scores")
     report = MO.metric_rows(scored, "recommend", "prediction", keys=("category", "split"))

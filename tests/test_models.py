@@ -148,3 +148,32 @@ def test_plans_do_not_grow_with_groups(spark, monkeypatch):
             TR.fit_forests(df, "g", "y", spec=TR.ForestSpec(trees=1, depth=2, features="all", bootstrap=False))
         counts.append(len(calls))
     assert counts[0] == counts[1]
+
+
+def test_scores_of_groups_with_a_model_walk_the_trees_once(spark):
+    df = _rows(spark).persist()
+    spec = TR.ForestSpec(trees=3, depth=2)
+    model = TR.fit_forests(df.where("g IN ('a', 'b') OR g IS NULL"), "g", "y", spec=spec, stored=True)
+    key = lambda d: sorted((r.row, r.probability, r.prediction) for r in d.collect())
+    inner = TR.predict_forests(df, model, "g", spec=spec, how="inner")
+    assert key(inner) == key(TR.predict_forests(df, model, "g", spec=spec).where("prediction IS NOT NULL"))
+    assert inner.where("g IS NULL").count() == df.where("g IS NULL").count()
+    plan = inner._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "array_position" in line]
+
+
+def test_the_splits_stay_behind_when_trees_are_dealt_out(spark, monkeypatch):
+    plans, real = [], TR.materialize
+    monkeypatch.setattr(TR, "materialize", lambda d, name: plans.append((name, d._jdf.queryExecution().optimizedPlan().toString())) or real(d, name))
+    TR.fit_forests(_rows(spark), "g", "y", spec=TR.ForestSpec(trees=3, depth=1))
+    dealt = [line for name, plan in plans if name == "forest-histogram" for line in plan.splitlines() if "Generate explode(filter" in line]
+    assert dealt and not any("Generate explode([0,1,2])" in plan for _, plan in plans)
+
+
+def test_cells_of_few_and_many_bounds_count_alike(spark):
+    bounds = [float(x) for x in range(20)]
+    df = spark.createDataFrame([(None,), (-1.0,), (0.0,), (0.5,), (7.0,), (7.5,), (99.0,), (float("nan"),)], "x double")
+    for cuts in (bounds[:8], bounds):
+        for r in df.withColumn("c", TR.numeric_cells({"x": cuts})).collect():
+            n = 0 if r.x is None else len(cuts) if r.x != r.x else sum(b < r.x for b in cuts)
+            assert [tuple(c) for c in r.c] == ([("x", n)] if n else [])
