@@ -63,8 +63,10 @@ def build_product_keywords(ranking: DataFrame, name: str = "productName", key: s
     One dedupe shuffle; the token work is a single higher-order expression per
     row, where the reference exploded and regrouped twice.
     """
-    products = A.dedupe(ranking.select(key, name), [key, name])
-    return R.non_empty(products.withColumn("keywords", X.product_keywords(name)), "keywords")
+    # Keywords wait for the group's count: else the filter moves below the dedupe and cuts every row's name.
+    products = ranking.groupBy(key, name).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = R.non_empty(products.withColumn("keywords", F.when(F.col("_rows") > 0, X.product_keywords(name))), "keywords")
+    return kept.select(key, name, "keywords")
 
 
 # -- c03 ---------------------------------------------------------------------

@@ -117,3 +117,26 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert j.count() == a.join(b, ["productId", "date"]).count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_keywords_are_cut_once_a_product(spark):
+    ranking = spark.createDataFrame([(1, "blue ring"), (1, "blue ring"), (1, None), (2, "-"), (None, "old bolt")], "productId long, productName string")
+    found = J.build_product_keywords(ranking)
+    assert sorted((str(r.productId), r.productName) for r in found.collect()) == [("1", "blue ring"), ("None", "old bolt")]
+    lines = optimized(found).splitlines()
+    at = next(i for i, line in enumerate(lines) if "Aggregate" in line)
+    assert any("Filter" in line for line in lines[:at]) and not any("Filter" in line for line in lines[at:])
+
+
+def test_rankings_alone_carry_no_detail_figures(spark, tmp_path):
+    from rankflow.plans import driver as D
+
+    part = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame([(i, "blue ring", "B", "LARGE" if i % 2 else "SMALL", 1, 900.0) for i in range(6)], part).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(60).selectExpr("id % 6 AS l_partkey", "timestamp_ntz'1997-01-01 00:00:00' AS l_shipdate", "CAST(id AS double) AS l_quantity", "0.05D AS l_discount",
+                               "10.0D AS l_extendedprice", "CAST(id % 7 + 1 AS int) AS l_linenumber", "0.02D AS l_tax").write.parquet(f"{tmp_path}/lineitem.parquet")
+    short = D.lineitem_daily(spark, str(tmp_path), with_detail=False)
+    assert not {"views", "max_line", "rating"} & set(short.columns)
+    whole = D.lineitem_daily(spark, str(tmp_path))
+    assert sorted(D.ranking(spark, str(tmp_path)).collect()) == sorted(D.ranking(spark, str(tmp_path), whole).collect())
+    assert D.detail(spark, str(tmp_path)).where("views IS NOT NULL").count() > 0
