@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankflow.sources import files as IO
+from rankflow.sources import records as R
 from rankflow.sources.records import _lines, _splits, read_records
 
 
@@ -93,3 +94,15 @@ def test_round_trip_through_the_csv_sink(spark, tmp_path):
     IO.write_csv(df.repartition(2), f"{tmp_path}/out")
     got = IO.read_snapshot(spark, f"{tmp_path}/out").orderBy("productId").collect()
     assert [r.productName for r in got] == names
+
+
+def test_plain_lines_are_cut_as_by_csv():
+    names, columns = ["productid", "name", "x", "x"], ("productId", "x", "missing")
+    plain = ["1,a,b,c", "2, é ,,", "", "3,,x y,'"]
+    fields = R._plain_fields(plain, names, columns, ",")
+    assert [f.to_pylist() for f in fields] == R._named(plain, names, columns, ",") == [["1", "2", "3"], ["b", None, "x y"], [None] * 3]
+    assert [len(f) for f in R._plain_fields(["", ""], names, columns, ",")] == [0, 0, 0]
+    for other in ('1,"a",b,c', "1,a,b", "1,a,b,c,d", "1,a\r,b,c", "﻿1,a,b,c", "1,a\0,b,c", " "):
+        assert R._plain_fields([other], names, columns, ",") is None
+        batches = list(R._named_batches(["4,a,b,c", other], "f", names, columns, ","))
+        assert [b.to_pydict()["x"] for b in batches] == [R._named(["4,a,b,c", other], names, columns, ",")[1]]
