@@ -9,7 +9,7 @@ one is shuffled and skewed keys are split at run time.  Encoded values are spars
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +25,14 @@ def label_table(df: DataFrame, col: str) -> DataFrame:
     return _numbered(counts, "label")
 
 
-def term_table(df: DataFrame, terms: str, min_rows: int = 1) -> DataFrame:
+def term_table(df: DataFrame, terms: str, min_rows: int = 1, times: str | None = None) -> DataFrame:
     """m04: ``term, id``: the non-null terms of an array column that ``min_rows`` rows hold or more, ids
-    by the number of occurrences, ties by term."""
-    found = df.select(F.explode(F.filter(terms, lambda t: t.isNotNull())).alias("term")) if min_rows <= 1 else df.select(
-        F.explode(_counted(F.col(terms))).alias("t")).select("t.term", "t.n")
-    counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("n")) if min_rows <= 1 else found.groupBy("term").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= min_rows).drop("rows")
+    by the number of occurrences, ties by term.  ``times``: a column that says how many rows each stands for."""
+    own, n = F.filter(terms, lambda t: t.isNotNull()), F.lit(1) if times is None else F.col(times)
+    found = df.select(F.explode(own).alias("term"), n.alias("n")) if min_rows <= 1 else df.select(
+        F.explode(_counted(F.col(terms))).alias("t"), n.alias("rows")).select("t.term", (F.col("t.n") * F.col("rows")).alias("n"), "rows")
+    counts = found.groupBy("term").agg(F.sum("n").alias("n")) if min_rows <= 1 else found.groupBy("term").agg(
+        F.sum("n").alias("n"), F.sum("rows").alias("rows")).where(F.col("rows") >= min_rows).drop("rows")
     return _numbered(counts, "term")
 
 
@@ -87,27 +88,30 @@ def term_vectors(df: DataFrame, terms: str, table: DataFrame, keys: Sequence[str
                                          F.transform("cells", lambda c: c["n"]).alias("values")).alias(out))
 
 
-def numbers(parts: Sequence[Column | str]) -> Column:
-    """m05: a sparse vector of numbers; zeros and missing ones have no cell."""
-    size, indices, values = F.lit(0), [], []
-    for part in parts:
+def numbers(parts: Sequence[Column | str], first: Column | int = 0, digits: int | None = None) -> Column:
+    """m05: a sparse vector of numbers; zeros and missing ones have no cell.  Places count from ``first``;
+    the cells that are left are rounded to ``digits``, if given."""
+    start, indices, values = F.lit(first) if isinstance(first, int) else first, [], []
+    for i, part in enumerate(parts):
         c = F.col(part) if isinstance(part, str) else part
-        known = F.coalesce(c, F.lit(0.0)) != 0
-        indices.append(F.when(known, F.array(size)).otherwise(F.array().cast("array<int>")))
-        values.append(F.when(known, F.array(c.cast("double"))).otherwise(F.array().cast("array<double>")))
-        size = size + 1
-    return F.struct(size.alias("size"), F.concat(*indices).alias("indices"), F.concat(*values).alias("values"))
+        known, cell = F.coalesce(c, F.lit(0.0)) != 0, c.cast("double")
+        if digits is not None:  # rounding goes by decimals, whole numbers stay
+            cell = F.when(F.rint(cell) == cell, cell).otherwise(F.round(cell, digits))
+        indices.append(F.when(known, F.array(start + i)).otherwise(F.array().cast("array<int>")))
+        values.append(F.when(known, F.array(cell)).otherwise(F.array().cast("array<double>")))
+    return F.struct(F.lit(len(parts)).alias("size"), F.concat(*indices).alias("indices"), F.concat(*values).alias("values"))
 
 
-def join_vectors(vectors: Sequence[Column | str]) -> Column:
-    """m05: sparse vectors one after the other."""
+def join_vectors(vectors: Sequence[Column | str | Callable[[Column], Column]]) -> Column:
+    """m05: sparse vectors one after the other.  A vector may be a function of its first place, which
+    spares it the moving of its places (a lambda, and all below it, runs uncompiled)."""
     def moved(places: Column, by: Column) -> Column:
         return F.transform(places, lambda i: i + by)
 
     size, indices, values = F.lit(0), [], []
     for v in vectors:
-        c = F.col(v) if isinstance(v, str) else v
-        indices.append(moved(c["indices"], size))
+        c = v(size) if callable(v) else F.col(v) if isinstance(v, str) else v
+        indices.append(c["indices"] if callable(v) else moved(c["indices"], size))
         values.append(c["values"])
         size = size + c["size"]
     return F.struct(size.alias("size"), F.concat(*indices).alias("indices"), F.concat(*values).alias("values"))

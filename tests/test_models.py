@@ -177,3 +177,44 @@ def test_cells_of_few_and_many_bounds_count_alike(spark):
         for r in df.withColumn("c", TR.numeric_cells({"x": cuts})).collect():
             n = 0 if r.x is None else len(cuts) if r.x != r.x else sum(b < r.x for b in cuts)
             assert [tuple(c) for c in r.c] == ([("x", n)] if n else [])
+
+
+def test_numbers_start_where_told_and_are_rounded_late(spark):
+    df = spark.createDataFrame([(1.23456789012, 1e-12, None, 7.0, float("inf"))], "a double, b double, c double, d double, e double")
+    got = df.select(DI.join_vectors([lambda at: DI.numbers(["a"], at), lambda at: DI.numbers(["b", "c", "d", "e"], at, 9)]).alias("v")).first().v
+    assert (got.size, got.indices, got["values"]) == (5, [0, 1, 3, 4], [1.23456789012, 0.0, 7.0, float("inf")])
+
+
+@pytest.mark.parametrize("least", [1, 2])
+def test_term_table_of_rows_that_stand_for_many(spark, least):
+    rows = [(["a", "b", "a"], 3), (["b", None], 4), (None, 9), (["c"], 1)]
+    whole = spark.createDataFrame([(t,) for t, n in rows for _ in range(n)], "t array<string>")
+    want = {r.term: r.id for r in DI.term_table(whole, "t", min_rows=least).collect()}
+    table = DI.term_table(spark.createDataFrame(rows, "t array<string>, n long"), "t", min_rows=least, times="n")
+    assert {r.term: r.id for r in table.collect()} == want and table.schema == DI.term_table(whole, "t", min_rows=least).schema
+
+
+def test_assembling_makes_a_products_keywords_once(spark, tmp_path, monkeypatch):
+    """Not once a product and day; the vectors are those of the SQL."""
+    import datetime
+
+    import duckdb
+
+    from rankflow.plans import q_ml
+    from rankflow.plans.catalog import oracle_sql
+
+    parts = [(i, f"Brand#{i % 3}", ["navy blue rose", "rose rose", "", "tin  BLUE"][i % 4], ["PROMO TIN", "LARGE TIN"][i % 2], 900.0 + i) for i in range(9)]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_name string, p_type string, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    rng = random.Random(3)
+    lines = [(rng.randrange(9), datetime.date(1997, 1, 1) + datetime.timedelta(rng.randrange(20)), float(rng.randint(1, 50)), rng.randint(100, 900000) / 100,
+              rng.randint(0, 10) / 100, rng.randint(0, 8) / 100, rng.randint(1, 7)) for _ in range(200)]
+    spark.createDataFrame(lines, "l_partkey long, l_shipdate date, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_linenumber int"
+                          ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    dealt, vectors = [], DI.term_vectors
+    monkeypatch.setattr(DI, "term_vectors", lambda df, *a, **b: dealt.append(df.count()) or vectors(df, *a, **b))
+    got = sorted((r.productId, r.date, r.size, r.indices, r["values"]) for r in q_ml.m05_whole(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    for t in ("part", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    assert got == sorted(con.execute(oracle_sql()["m05_assemble_whole"]).fetchall())
+    assert dealt == [9] and len(got) > 90
