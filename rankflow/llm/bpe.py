@@ -1,14 +1,12 @@
-"""Byte-level BPE (operator 12): ranked merges folded over distinct words.
+"""Byte-level BPE (operator 12): ranked merges of distinct words, many at once.
 
 1. Texts are split by the vocabulary's pattern; each match (a word) is encoded by itself.
 2. Words are counted, and the most frequent ones become a dictionary of bounded size:
    word -> ids, computed once; its rarer part by 128-bit hashes of the words in place of the
    words.  Words that it lacks are encoded in their rows, each once a text.
-3. A word is encoded by higher-order functions.  Its bytes stand as the characters
-   U+0000..U+00FF.  A step of the fold joins the leftmost pair of least rank.  The ranks are
-   a literal: an array of small maps, chosen by crc32.
-4. Long words keep their pieces in one string, between marks above U+00FF, and a step joins
-   the pair wherever it stands.
+3. Many words are encoded at once (``Merges``): their bytes' ids stand one after the other in an
+   array, and a step joins in each word the leftmost pair of least rank.
+4. In long words a step joins the pair wherever it stands.
 5. Decoding looks up each id's piece and concatenates the pieces' bytes.
 
 Joining one pair everywhere equals joining the leftmost pair again and again as long as the
@@ -24,11 +22,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
-import json
 import math
 import re
-import zlib
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,15 +33,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import release_memory, steps, text_bytes
 from rankflow.session import materialize
 
-#: Marks around a piece, above the 256 characters that stand for bytes.
-OPEN, CLOSE = "Ā", "ā"
-BYTES = "ISO-8859-1"
+#: The rank of a pair that the vocabulary lacks.
+NONE = np.iinfo(np.int32).max
 
 
 #: White space, and a coarser split that keeps it as the patterns of rank files do: runs of other
@@ -59,8 +56,8 @@ SIGNS = ".,!?;:)\"%&*#$"
 class EncodeSpec:
     """The dictionary holds at most ``words`` words of at most ``word_bytes`` bytes as such, and
     ``hashed`` rarer ones by their hashes.  A task counts about ``counted`` distinct parts of texts
-    before it hands them on, and remembers the ids of ``held`` parts of several words.  Words
-    above ``short`` bytes (255 at most) keep their pieces in one string."""
+    before it hands them on, and remembers the ids of ``held`` parts of several words.  In words
+    above ``short`` bytes a pair is joined wherever it stands."""
 
     words: int = 1 << 17
     hashed: int = 1 << 21
@@ -73,15 +70,14 @@ class EncodeSpec:
 class Vocabulary:
     """Ranks of byte strings (the rank is the id) and the pattern that splits texts."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, coarse: str | None = COARSE, shards: int = 1 << 14) -> None:
-        """``coarse``: a quicker split whose parts hold whole matches of ``pattern``; None if there is none.
-        ``shards``: a power of two."""
+    def __init__(self, ranks: dict[bytes, int], pattern: str, coarse: str | None = COARSE) -> None:
+        """``coarse``: a quicker split whose parts hold whole matches of ``pattern``; None if there is none."""
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the ranks lack the single bytes {missing[:5]}")
         if len(set(ranks.values())) < len(ranks):
             raise ValueError("two byte strings have the same rank")
-        self.ranks, self.pattern, self.coarse, self.shards = ranks, pattern, coarse, shards
+        self.ranks, self.pattern, self.coarse = ranks, pattern, coarse
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Vocabulary:
@@ -103,14 +99,6 @@ class Vocabulary:
                 return False
         return True
 
-    def rank_map(self) -> Column:
-        """The literal: ``shards`` maps, a byte string in the one of its crc32."""
-        maps: list[dict[str, int]] = [{} for _ in range(self.shards)]
-        for token, rank in self.ranks.items():
-            text = token.decode(BYTES)
-            maps[zlib.crc32(text.encode()) % self.shards][text] = rank
-        return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
-
     def pieces(self) -> list[bytes | None]:
         """Pieces by id; an id without a piece is null."""
         out: list[bytes | None] = [None] * (max(self.ranks.values()) + 1)
@@ -119,75 +107,70 @@ class Vocabulary:
         return out
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
-def fold_merges(word: Column, vocabulary: Vocabulary, short: int = EncodeSpec.short) -> Column:
-    """Ids of a string column's bytes, taken as one word; an empty word has none."""
-
-    def encoded(text: Column, maps: Column) -> Column:
-        def rank(piece: Column) -> Column:
-            return F.try_element_at(F.get(maps, F.crc32(piece).bitwiseAND(vocabulary.shards - 1).cast("int")), piece)
-
-        n = F.length(text)
-        folded = F.when(n <= short, _fold_pieces(text, rank)).otherwise(_fold_marked(text, rank))
-        whole = _let(rank(text), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(folded))
-        return F.when(n == 0, F.array().cast("array<int>")).otherwise(whole)
-
-    text = F.decode(F.encode(word, "UTF-8"), BYTES)
-    return _let(vocabulary.rank_map(), lambda maps: _let(text, lambda t: encoded(t, maps)))  # the literal stands once in the plan
-
-
-def _fold_pieces(text: Column, rank) -> Column:
-    """The fold over an array of pieces beside the best join: rank * 256 + place, null if there is none."""
-
-    def state(pieces: Column) -> Column:
-        def best(p: Column) -> Column:
-            return F.array_min(F.transform(p, lambda x, i: rank(F.concat(x, F.get(p, i + 1))) * 256 + i))
-
-        return _let(pieces, lambda p: F.struct(p.alias("p"), best(p).alias("best")))
-
-    def merge(acc: Column) -> Column:
-        p = acc["p"]
-
-        def join(at: Column) -> Column:
-            return F.transform(F.slice(p, F.lit(1), F.size(p) - 1), lambda x, i: F.when(i < at, x).when(
-                i == at, F.concat(x, F.get(p, i + 1))).otherwise(F.get(p, i + 1)))
-
-        return state(_let(acc["best"] % 256, join))
+class Merges:
+    """The pairs of ids whose bytes together are a token, in ascending order, and that token's id."""
 
-    n = F.length(text)
-    first = state(F.transform(F.sequence(F.lit(1), n), lambda i: text.substr(i, F.lit(1))))
-    return F.aggregate(F.sequence(F.lit(1), n), first, lambda acc, _: F.when(acc["best"].isNull(), acc).otherwise(merge(acc)),
-                       lambda acc: F.transform(acc["p"], rank))
-
-
-def _fold_marked(text: Column, rank) -> Column:
-    """The fold over a string of marked pieces; a step joins the pair of least rank everywhere."""
-
-    def parts(state: Column) -> Column:
-        return F.split(state.substr(F.lit(2), F.length(state) - 2), CLOSE + OPEN)
-
-    def merge(state: Column) -> Column:
-        def best(p: Column) -> Column:
-            n = F.size(p)
-            pairs = F.zip_with(F.slice(p, F.lit(1), n - 1), F.slice(p, F.lit(2), n - 1),
-                               lambda a, b: F.struct(rank(F.concat(a, b)).alias("rank"), a.alias("a"), b.alias("b")))
-            return F.array_min(F.filter(pairs, lambda q: q["rank"].isNotNull()))
-
-        def join(q: Column) -> Column:
-            apart = F.concat(F.lit(OPEN), q["a"], F.lit(CLOSE + OPEN), q["b"], F.lit(CLOSE))
-            joined = F.concat(F.lit(OPEN), q["a"], q["b"], F.lit(CLOSE))
-            return F.when(q.isNull(), F.struct(state.alias("pieces"), F.lit(True).alias("done"))).otherwise(
-                F.struct(F.replace(state, apart, joined).alias("pieces"), F.lit(False).alias("done")))
-
-        return _let(_let(parts(state), best), join)
-
-    first = F.struct(F.regexp_replace(text, "(?s)(.)", f"{OPEN}$1{CLOSE}").alias("pieces"), F.lit(False).alias("done"))
-    return F.aggregate(F.sequence(F.lit(2), F.length(text)), first, lambda acc, _: F.when(acc["done"], acc).otherwise(merge(acc["pieces"])),
-                       lambda acc: F.transform(parts(acc["pieces"]), rank))
+    def __init__(self, vocabulary: Vocabulary, short: int = EncodeSpec.short) -> None:
+        self.ranks, self.short = vocabulary.ranks, short
+        found = []
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                left, right = self.ranks.get(token[:i]), self.ranks.get(token[i:])
+                if left is not None and right is not None:
+                    found.append((left << 32 | right, rank))
+        found.sort()
+        self.pairs = np.array([p for p, _ in found] + [np.iinfo(np.int64).max], np.int64)
+        self.joined = np.array([r for _, r in found] + [NONE], np.int32)
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.first = self._rank(np.repeat(self.single, 256), np.tile(self.single, 256))
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, self.joined[at], NONE)
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All words' ids, and where each word's ids start (and the last one's end).  Each string is
+        taken as one word; an empty word has none."""
+        raw = [w.encode() for w in words]
+        whole = np.array([self.ranks.get(w, -1) for w in raw], np.int64)
+        size = np.array([len(w) for w in raw], np.int64)
+        size[whole >= 0] = 0
+        known, (ids, word) = np.flatnonzero(whole >= 0), self._merged(b"".join(itertools.compress(raw, size)), size)
+        ids, word = np.concatenate([whole[known].astype(np.int32), ids]), np.concatenate([known, word])
+        return ids[np.argsort(word, kind="stable")], np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(raw)))])
+
+    def _merged(self, raw: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of these bytes and sizes, and each id's word; a word's ids are in order."""
+        data, word, long = np.frombuffer(raw, np.uint8), np.repeat(np.arange(len(size)), size), size > self.short
+        ids, done = self.single[data], [(np.zeros(0, np.int32), np.zeros(0, np.int64))]
+        rank = np.full(len(ids), NONE, np.int32)  # of the pair of an id and the next one of its word
+        rank[:-1] = np.where(word[1:] == word[:-1], self.first[data[:-1].astype(np.int64) * 256 + data[1:]], NONE)
+        while len(ids):
+            start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            least, many = np.minimum.reduceat(rank, start), np.diff(np.append(start, len(ids)))
+            live = least < NONE
+            if not live.all():
+                on = np.repeat(live, many)
+                done.append((ids[~on], word[~on]))
+                ids, word, rank, least, many = ids[on], word[on], rank[on], least[live], many[live]
+            best = np.repeat(least, many)
+            at = np.flatnonzero(rank == best)
+            later = np.concatenate([[False], word[at[1:]] == word[at[:-1]]])[:len(at)]
+            if later.any():  # the leftmost; in a long word all, of adjacent ones every other one
+                number = np.arange(len(at))
+                head = np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(at) != 1]), number, 0))
+                at = at[np.where(long[word[at]], (number - head) % 2 == 0, ~later)]
+            ids[at] = best[at]
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            ids, word, rank, at = ids[stay], word[stay], rank[stay], at - np.arange(len(at))
+            rank[at] = NONE
+            anew = np.concatenate([at, at - 1])
+            anew = anew[(anew >= 0) & (anew < len(ids) - 1)]
+            anew = anew[word[anew] == word[anew + 1]]
+            rank[anew] = self._rank(ids[anew], ids[anew + 1])
+        return np.concatenate([i for i, _ in done]), np.concatenate([w for _, w in done])
 
 
 def word_counts(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSpec(), text: str = "text") -> DataFrame:
@@ -261,21 +244,25 @@ class Dictionary:
         self._codes.end_text()
         return self._codes
 
-    def look_up(self, words: list[str]) -> tuple[np.ndarray, pa.ListArray]:
-        """Which words aren't among the hashed ones, and the ids of the others (else null)."""
+    def look_up(self, words: list[str], merges: Merges) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and each word's first place and number among them: those of the hashed words, then those
+        of the words that are encoded here."""
         if not len(self.h1) or not words:
-            return np.ones(len(words), bool), pa.array([None] * len(words), pa.list_(pa.int32()))
+            ids, at = merges.encode(words)
+            return ids, at[:-1], np.diff(at)
         h1, h2 = _hashes(words)
         at = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
-        lacking = (self.h1[at] != h1) | (self.h2[at] != h2)
+        lacking = np.flatnonzero((self.h1[at] != h1) | (self.h2[at] != h2))
         data, off = text_bytes(self.hashed_ids.take(pa.array(at)))
-        size = np.dtype(self.kind).itemsize
-        ids = pa.ListArray.from_arrays(pa.array((off // size).astype(np.int32)), pa.array(data.view(self.kind).astype(np.int32)), mask=pa.array(lacking))
-        return lacking, ids
+        ids, off = data.view(self.kind).astype(np.int32), off // np.dtype(self.kind).itemsize
+        first, many = off[:-1].copy(), np.diff(off)
+        own, off = merges.encode([words[i] for i in lacking])
+        first[lacking], many[lacking] = off[:-1] + len(ids), np.diff(off)
+        return np.concatenate([ids, own]), first, many
 
 
-def dictionary(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSpec(), text: str = "text") -> Dictionary:
-    """The most frequent words: words of one step of the frequency scale (an eighth of a doubling) are
+def dictionary(docs: DataFrame, vocabulary: Vocabulary, merges: Broadcast, spec: EncodeSpec = EncodeSpec(), text: str = "text") -> Dictionary:
+    """The most frequent words (``merges``: the vocabulary's): words of one step of the frequency scale (an eighth of a doubling) are
     taken together or not at all."""
     step = F.floor(F.log2("n") * 8).cast("int")
     counts = materialize(word_counts(docs, vocabulary, spec, text).withColumn("step", step), "bpe-words")
@@ -291,18 +278,17 @@ def dictionary(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = Encod
 
     def packed(batches):
         for batch in batches:
-            h1, h2 = _hashes(batch.column(0).to_pylist())
-            word, lists = pc.if_else(batch.column(1), batch.column(0), None), batch.column(2)
-            off = (lists.offsets.to_numpy() * np.dtype(kind).itemsize).astype(np.int32)
-            raw = pa.py_buffer(lists.values.to_numpy().astype(kind).tobytes())
-            ids = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(off), raw])
-            yield pa.RecordBatch.from_arrays([word, pa.array(h1), pa.array(h2), ids], names=["word", "h1", "h2", "ids"])
+            words = batch.column(0).to_pylist()
+            h1, h2 = _hashes(words)
+            ids, at = merges.value.encode(words)
+            off = (at * np.dtype(kind).itemsize).astype(np.int32)
+            packs = pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(off), pa.py_buffer(ids.astype(kind).tobytes())])
+            yield pa.RecordBatch.from_arrays([pc.if_else(batch.column(1), batch.column(0), None), pa.array(h1), pa.array(h2), packs], names=["word", "h1", "h2", "ids"])
 
     taken = counts.where(F.col("step") >= least) if least is not None else counts.limit(0)
     spread = taken.select("word", (F.col("step") >= plain if plain is not None else F.lit(False)).alias("plain")).repartition(
         docs.sparkSession.sparkContext.defaultParallelism * 4, "word")
-    made = spread.select("word", "plain", fold_merges(F.col("word"), vocabulary, spec.short).alias("ids"))
-    made = materialize(made.mapInArrow(packed, "word string, h1 long, h2 int, ids binary"), "bpe-ids")
+    made = materialize(spread.mapInArrow(packed, "word string, h1 long, h2 int, ids binary"), "bpe-ids")
     return Dictionary(made.where("word IS NOT NULL").select("word", "ids").toArrow(),  # at most spec.words rows
                       made.where("word IS NULL").select("h1", "h2", "ids").orderBy("h1").toArrow(), kind)  # at most spec.hashed rows
 
@@ -352,10 +338,13 @@ class _Codes(dict):
         return rare
 
 
-def _coded(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec, text: str, doc_id: str) -> DataFrame:
-    """``doc_id, ids, rare``: ids below 0 stand for the ids of words without a place of their own."""
-    shared = docs.sparkSession.sparkContext.broadcast(dictionary(docs, vocabulary, spec, text))  # at most words + hashed short words
-    pattern, coarse, room, kind = vocabulary.pattern, vocabulary.coarse, spec.held, docs.schema[doc_id].dataType.simpleString()
+def _coded(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec, text: str) -> Callable:
+    """A function of the batches of a task (text, doc_id): yields, in steps of bounded bytes, doc_ids,
+    all their ids, and where each document's ids start."""
+    context = docs.sparkSession.sparkContext
+    merges = context.broadcast(Merges(vocabulary, spec.short))
+    shared = context.broadcast(dictionary(docs, vocabulary, merges, spec, text))  # at most words + hashed short words
+    pattern, coarse, room = vocabulary.pattern, vocabulary.coarse, spec.held
 
     def run(batches):
         find = regex.compile(pattern).findall
@@ -369,58 +358,43 @@ def _coded(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec, text: str,
                     found.append(b"".join(map(codes.__getitem__, split(t))))
                     rare += codes.end_text()
                     size.append(len(rare))
-                lacking, ids = known.look_up(rare)
-                at = pa.array(np.array(size, np.int32))
-                words = pc.if_else(pa.array(lacking), pa.array(rare, pa.string()), None)
-                yield pa.RecordBatch.from_arrays([part.column(1), _id_lists(found), pa.ListArray.from_arrays(at, words), pa.ListArray.from_arrays(at, ids)],
-                                                 names=["doc_id", "ids", "words", "known"])
-        release_memory()
+                yield part.column(1), *_filled(found, np.array(size), *known.look_up(rare, merges.value))
+
+    return run
+
+
+def _filled(found: list[bytes], rare: np.ndarray, own: np.ndarray, first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of texts, and where each text's ids start.  Ids below 0 stand for the text's words from
+    ``rare`` on, with ``many`` ids each from ``first`` on in ``own``."""
+    ids, at = np.frombuffer(b"".join(found), "<i4"), np.cumsum([0, *(len(x) // 4 for x in found)])
+    place = np.flatnonzero(ids < 0)
+    if len(place):
+        word = rare[np.searchsorted(at, place, side="right") - 1] - ids[place] - 1
+        size = np.ones(len(ids), np.int64)
+        size[place] = many[word]
+        start = np.concatenate([[0], np.cumsum(size)])
+        inside = np.arange(size[place].sum()) - np.repeat(np.cumsum(size[place]) - size[place], size[place])
+        ids = np.repeat(ids, size)
+        ids[np.repeat(start[place], many[word]) + inside] = own[np.repeat(first[word], many[word]) + inside]
+        at = start[at]
+    return ids, at
+
 
-    split = docs.select(F.coalesce(text, F.lit("")).alias("text"), F.col(doc_id).alias("doc_id")).mapInArrow(
-        run, f"doc_id {kind}, ids array<int>, words array<string>, known array<array<int>>")
-    filled = F.zip_with("words", "known", lambda w, ids: F.when(w.isNull(), ids).otherwise(fold_merges(w, vocabulary, spec.short)))
-    return split.select("doc_id", "ids", filled.alias("rare"))
-
-
-def _id_lists(raw: list[bytes]) -> pa.ListArray:
-    size = np.cumsum([0, *(len(x) // 4 for x in raw)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(size), pa.array(np.frombuffer(b"".join(raw), "<i4")))
-
-
-def _whole_ids(batches):
-    """(doc_ids, all ids, where each document's ids start) of batches of ``_coded``, rare words filled
-    in, in steps of rows."""
-    for batch in batches:
-        for low in range(0, batch.num_rows, 256):
-            part = batch.slice(low, 256)
-            lists, words = part.column(1), part.column(2)
-            ids, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-            place = np.flatnonzero(ids < 0)
-            if len(place):
-                own = words.flatten()
-                first = np.cumsum(words.value_lengths().to_numpy()) - words.value_lengths().to_numpy()
-                word = first[np.searchsorted(at, place, side="right") - 1] - ids[place] - 1
-                many = own.value_lengths().to_numpy().astype(np.int64)
-                size = np.ones(len(ids), np.int64)
-                size[place] = many[word]
-                start = np.concatenate([[0], np.cumsum(size)])
-                inside = np.arange(size[place].sum()) - np.repeat(np.cumsum(size[place]) - size[place], size[place])
-                ids = np.repeat(ids, size)
-                ids[np.repeat(start[place], many[word]) + inside] = own.flatten().to_numpy()[np.repeat((np.cumsum(many) - many)[word], many[word]) + inside]
-                at = start[at]
-            yield part.column(0), ids, at
+def _texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    return docs.select(F.coalesce(text, F.lit("")).alias("text"), F.col(doc_id).alias("doc_id"))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSpec(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, ids``: one row per document."""
+    coded = _coded(docs, vocabulary, spec, text)
 
     def run(batches):
-        for doc_ids, ids, at in _whole_ids(batches):
+        for doc_ids, ids, at in coded(batches):
             yield pa.RecordBatch.from_arrays([doc_ids, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))], names=["doc_id", "ids"])
         release_memory()
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return _coded(docs, vocabulary, spec, text, doc_id).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return _texts(docs, text, doc_id).mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -448,9 +422,10 @@ def digests(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSp
     """Per document: the number of ids, and SHA-256 of the ids (32-bit little-endian) and of the bytes
     that they decode to."""
     pieces, kind = vocabulary.pieces(), docs.schema["doc_id"].dataType.simpleString()
+    coded = _coded(docs, vocabulary, spec, "text")
 
     def run(batches):
-        for doc_ids, ids, at in _whole_ids(batches):
+        for doc_ids, ids, at in coded(batches):
             raw = memoryview(ids.astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [doc_ids, pa.array(np.diff(at)), pa.array([hashlib.sha256(raw[4 * a:4 * b]).hexdigest() for a, b in itertools.pairwise(at.tolist())], pa.string()),
@@ -458,7 +433,7 @@ def digests(docs: DataFrame, vocabulary: Vocabulary, spec: EncodeSpec = EncodeSp
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         release_memory()
 
-    return _coded(docs, vocabulary, spec, "text", "doc_id").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _texts(docs, "text", "doc_id").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def public_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> Vocabulary:

@@ -66,3 +66,29 @@ def test_coarse_parts_hold_whole_words(vocabulary):
     for c in map(chr, [*range(0xD800), *range(0xE000, 0x32000)]):
         for text in (f"a{c}b {c} {c}1  {c}!\n{c}{c} \u2003x", f"{c} {c}"):
             assert find(text) == [w for part in coarse.findall(text) for w in bpe._words_of(part, find, True)], hex(ord(c))
+
+
+@pytest.mark.parametrize("short", [0, 5, 64])
+def test_many_words_at_once_equal_the_library(vocabulary, short):
+    """Each word is encoded by itself, whatever stands before and after it."""
+    rng = np.random.default_rng(4)
+    whole = tiktoken.Encoding("whole", pat_str="(?s).+", mergeable_ranks=vocabulary.ranks, special_tokens={})
+    words = ["", *("".join(rng.choice(list("aabceinost \n=é日𝔘\0"), rng.integers(1, top))) for top in (3, 12, 200) for _ in range(300)), "a" * 3001, "", "ab" * 999, "é" * 7, ""]
+    ids, at = bpe.Merges(vocabulary, short).encode(words)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [whole.encode_ordinary(w) for w in words] and len(at) == len(words) + 1
+    assert [x.tolist() for x in bpe.Merges(vocabulary, short).encode([])] == [[], [0]]
+
+
+def test_short_words_join_the_leftmost_pair_of_any_vocabulary():
+    """Merges that fall in rank: joining "ab" makes a pair, "aba", of lower rank than another "ab"."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 300, b"ba": 301, b"aba": 256}
+    library = tiktoken.Encoding("falling", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
+    words = ["abab", "ababab", "baab", "aabab"]
+    ids, at = bpe.Merges(bpe.Vocabulary(ranks, "."), 64).encode(words)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [library.encode_ordinary(w) for w in words]
+
+
+def test_the_plan_has_no_fold(spark, empty, vocabulary):
+    """Words are encoded where their texts are: one pass of Python, no lambda over pieces."""
+    plan = bpe.digests(empty, vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "lambda" not in plan
