@@ -140,3 +140,23 @@ def test_rankings_alone_carry_no_detail_figures(spark, tmp_path):
     whole = D.lineitem_daily(spark, str(tmp_path))
     assert sorted(D.ranking(spark, str(tmp_path)).collect()) == sorted(D.ranking(spark, str(tmp_path), whole).collect())
     assert D.detail(spark, str(tmp_path)).where("views IS NOT NULL").count() > 0
+
+
+def test_details_alone_are_not_ordered(spark, tmp_path):
+    from rankflow.plans import driver as D
+
+    part = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame([(i, "blue ring", "B", "LARGE", 1, 900.0) for i in (0, 1, 1, None)], part).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(60).selectExpr("nullif(id % 4, 3) AS l_partkey", "date_add(DATE'1997-01-01', CAST(id % 5 AS int)) AS l_shipdate", "CAST(id AS double) AS l_quantity", "0.05D AS l_discount",
+                               "10.0D AS l_extendedprice", "CAST(id % 7 + 1 AS int) AS l_linenumber", "0.02D AS l_tax").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert not {"_pid", "_mid"} & set(D.lineitem_daily(spark, str(tmp_path), ranked=False).columns)
+    rows = sorted(D.detail(spark, str(tmp_path)).collect(), key=str)
+    assert rows == sorted(D.detail(spark, str(tmp_path), D.lineitem_daily(spark, str(tmp_path))).collect(), key=str) and len(rows) == 15
+
+
+def test_costly_rows_are_dealt_to_several_tasks_a_core(spark):
+    from rankflow.plans import driver as D
+
+    rows = spark.range(1000).select(F.col("id").alias("productId"), F.lit(1).alias("date")).coalesce(1)
+    found = D.dealt(rows, "productId", "date")
+    assert found.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism and found.count() == 1000
